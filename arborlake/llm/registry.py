@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import token_output
+from . import decontaminate, minhash, token_output
 
 QUERIES = {
     "op1_token_output": token_output.query,
+    "op3_decontaminate": decontaminate.query,
+    "op9_minhash": minhash.query,
 }
 
 SQL: dict[str, str] = {}

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, embed_dedup, minhash, mixing, token_output, url_filter
+from . import decontaminate, embed_dedup, minhash, mixing, token_output, toxicity, url_filter
 
 QUERIES = {
     "op1_token_output": token_output.query,
     "op3_decontaminate": decontaminate.query,
     "op4_mixing": mixing.query,
     "op5_embed_dedup": embed_dedup.query,
+    "op6_toxicity": toxicity.query,
     "op8_url_filter": url_filter.query,
     "op9_minhash": minhash.query,
 }

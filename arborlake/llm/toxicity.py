@@ -78,7 +78,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 600, rate: float = 0.1, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 800, rate: float = 0.1, decay: float = 1e-5) -> tuple[np.ndarray, float]:
     """Non-negative PU learning of a logistic classifier by Adam; rows of 0 and 1."""
     n = positive.shape[1]
     w, m, v = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, embed_dedup, minhash, mixing, token_output, toxicity, url_filter
+from . import decontaminate, embed_dedup, minhash, mixing, secrets, token_counts, token_output, toxicity, url_filter
 
 QUERIES = {
     "op1_token_output": token_output.query,
@@ -10,8 +10,10 @@ QUERIES = {
     "op4_mixing": mixing.query,
     "op5_embed_dedup": embed_dedup.query,
     "op6_toxicity": toxicity.query,
+    "op7_secrets": secrets.query,
     "op8_url_filter": url_filter.query,
     "op9_minhash": minhash.query,
+    "op10_token_counts": token_counts.query,
 }
 
 SQL: dict[str, str] = {}

@@ -9,16 +9,16 @@ similarity of their full sets is at least ``percent`` / 100, decided in integers
    into ``CHUNKS`` chunks. Signatures that differ in at most ``2 * CHUNKS - 1`` places
    have, by the pigeonhole principle, a chunk with at most one difference. Each chunk
    therefore gives ``WIDTH`` keys, one with each place left out: such pairs share a key.
-3. Candidates are checked on the full sets, in waves; pairs that are already in one
-   component need no check. First every member of a key against the smallest. Then, for
-   keys of up to ``SMALL`` members, all pairs whose components differ, a number linear in
-   the rows. Members of larger keys meet again in pairs of large keys (of two chunks);
-   signatures that differ in at most ``2 * (CHUNKS - 1) - 1`` places share one. There,
-   everyone is checked against the smallest, then those outside the largest component
-   against all. No candidate is dropped, whatever the size of its key.
-
-With the defaults, a pair at exactly 0.8 shares no key with probability 2e-6, and no
-pair of keys with 5e-5 (this counts only where all its keys are large). Of the
+3. Candidates are checked on the full sets, in two waves; pairs that are already in one
+   component need no check. First every member of a key against its hub, the member that
+   shares most keys with others. Then, for keys whose members still are in more than one
+   component: of keys of up to ``SMALL`` members all pairs whose components differ, a number
+   linear in the rows; of larger keys, everyone outside the largest component against all
+   members, in blocks of ``BLOCK`` by ``BLOCK`` within a task, which put out only pairs that
+   come near the threshold. A pair that shares several keys is looked at under the first
+   one. No candidate is dropped, whatever the size of its key.
+
+With the defaults, a pair at exactly 0.8 shares no key with probability 2e-6. Of the
 candidates, those whose signatures differ in over ``FAR`` places are not checked: at 0.8
 this has probability 1e-7.
 
@@ -39,7 +39,7 @@ from .components import components
 from .scratch import Scratch
 from .textvec import ALNUM, NONSPACE, Words, constants, mix, shingle_sets
 
-CHUNKS, WIDTH, FAR, SMALL = 10, 5, 27, 32
+CHUNKS, WIDTH, FAR, SMALL, BLOCK = 10, 5, 27, 16, 512
 PLACES = CHUNKS * WIDTH
 _xor, _times = constants(PLACES, 5), constants(PLACES, 6)
 
@@ -79,7 +79,7 @@ def _signed(docs: DataFrame, flags: np.ndarray, size: int) -> DataFrame:
     def sign(batches):
         for batch in batches:
             values, bounds = _sets(batch, flags, size)
-            total = lambda c, v=values, at=bounds: np.diff(np.concatenate(([0], np.cumsum(mix(v ^ c), dtype=np.uint64)))[at]).view(np.int64)
+            total = lambda c, v=values, at=bounds: np.diff(np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(v ^ c), dtype=np.uint64)))[at]).view(np.int64)
             sig = signatures(values, bounds)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(bounds)), pa.array(total(a)), pa.array(total(b)), pa.array([x.tobytes() for x in sig], pa.binary())], ["doc_id", "n_shingles", "h1", "h2", "sig"])
 
@@ -173,9 +173,95 @@ def _open(members: DataFrame) -> DataFrame:
 
 def _cross(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs of members of one key whose components differ."""
-    x = left.select("key", F.col("rep").alias("x"), F.col("comp").alias("cx"))
-    y = right.select("key", F.col("rep").alias("y"), F.col("comp").alias("cy"))
-    return x.join(y, "key").where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    x = left.select("key", F.col("rep").alias("a"), F.col("comp").alias("cx"))
+    y = right.select("key", F.col("rep").alias("b"), F.col("comp").alias("cy"))
+    return x.join(y, "key").where("a < b AND cx <> cy").select("a", "b")
+
+
+def first_shared(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For all pairs of signatures: the number of places that differ, and the first key shared (a number past all keys if none)."""
+    differ = x[:, None, :] != y[None, :, :]
+    parts = differ.reshape(*differ.shape[:2], CHUNKS, WIDTH)
+    count = parts.sum(3, dtype=np.int8)
+    good = count <= 1
+    chunk = good.argmax(2)
+    at = np.take_along_axis(parts, chunk[:, :, None, None], 2)[:, :, 0].argmax(2)
+    return count.sum(2, dtype=np.int16), np.where(good.any(2), chunk * WIDTH + at, PLACES)
+
+
+def _shared_items(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets, over the items that occur on both sides."""
+    items = np.intersect1d(np.concatenate(x), np.concatenate(y))
+
+    def table(sets: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((len(sets), len(items)), np.float32)
+        for i, v in enumerate(sets):
+            at = np.searchsorted(items, v)
+            at = at[items[np.minimum(at, len(items) - 1)] == v] if len(items) else at[:0]
+            out[i, at] = 1
+        return out
+
+    return table(x) @ table(y).T
+
+
+def _block_pairs(left: list, right: list, place: int, percent: int) -> list[tuple[int, int]]:
+    """Pairs of one block, of rows (rep, comp, sig, items), that belong to this key and come within a hundredth of the threshold."""
+    sig = [np.frombuffer(b"".join(r[2] for r in rows), "<u2").reshape(-1, PLACES) for rows in (left, right)]
+    out = []
+    for at in range(0, len(left), 64):
+        rows = left[at : at + 64]
+        distance, owner = first_shared(sig[0][at : at + 64], sig[1])
+        fit = (distance <= FAR) & (owner == place) & (np.array([r[1] for r in rows])[:, None] != np.array([r[1] for r in right])[None])
+        i, j = np.flatnonzero(fit.any(1)), np.flatnonzero(fit.any(0))
+        if not len(i):
+            continue
+        x, y = ([np.frombuffer(r[3], np.uint32) for r in part] for part in ([rows[k] for k in i], [right[k] for k in j]))
+        both = _shared_items(x, y)
+        union = np.array([len(v) for v in x])[:, None] + np.array([len(v) for v in y])[None] - both
+        good = fit[np.ix_(i, j)] & (100 * both >= (percent - 1) * union)
+        out += [tuple(sorted((rows[i[a]][0], right[j[b]][0]))) for a, b in zip(*np.nonzero(good))]
+    return out
+
+
+def _blocks(many: DataFrame, sets: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members (key, place, n, rep, comp) of large keys, those outside the key's largest component against all."""
+    top = many.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), (F.sum("c") - F.max("c")).alias("out"))
+    many = many.join(top, "key")
+    cell = F.pmod(F.xxhash64("rep"), F.lit(1 << 30))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    mine = lambda n: (cell % blocks(F.col(n))).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(F.col(n)) - 1))
+    outer = many.where("comp <> top").select("key", "place", "rep", "comp", mine("out").alias("x"), every("n").alias("y"), F.lit(0).alias("side"))
+    inner = many.select("key", "place", "rep", "comp", every("out").alias("x"), mine("n").alias("y"), F.lit(1).alias("side"))
+
+    def small(batches):
+        for batch in batches:
+            items = [np.unique(np.frombuffer(v.as_buffer(), np.uint64).astype(np.uint32)).tobytes() for v in batch.column("items")]
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(items, pa.binary())], ["rep", "items"])
+
+    brief = sets.join(many.select("rep").distinct(), "rep", "left_semi").mapInArrow(small, "rep long, items binary")
+    rows = outer.unionByName(inner).join(sig.join(brief, "rep"), "rep")
+    rows = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "side")
+
+    def compare(batches):
+        now, held, place = None, ([], []), 0
+
+        def close():
+            pairs = _block_pairs(*held, place, percent) if held[0] and held[1] else []
+            for at in range(0, len(pairs), 1 << 14):
+                a, b = zip(*pairs[at : at + (1 << 14)])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            names = ("key", "x", "y", "side", "place", "rep", "comp", "sig", "items")
+            for key, x, y, side, p, *row in zip(*(batch.column(c).to_pylist() for c in names)):
+                if (key, x, y) != now:
+                    yield from close()
+                    now, held, place = (key, x, y), ([], []), p
+                held[side].append(row)
+        yield from close()
+
+    return rows.mapInArrow(compare, "a long, b long")
 
 
 def links_of(docs: DataFrame, words: np.ndarray = ALNUM, size: int = 5, percent: int = 80, small: int = SMALL) -> DataFrame:
@@ -188,25 +274,18 @@ def links_of(docs: DataFrame, words: np.ndarray = ALNUM, size: int = 5, percent:
     run = _Join(docs, classes, words, size, percent, scratch)
 
     index = _indexed(classes)
-    hubs = index.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub <> last").select("key", "hub")
-    members = scratch.keep(index.join(hubs, "key").dropDuplicates(["key", "rep"]), "members")
+    keys = index.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("n")).where("low <> high").select("key", "n")
+    members = scratch.keep(index.join(keys, "key").dropDuplicates(["key", "rep"]), "members")
     run.sets_of(members)
-    run.check(members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")))
-
-    left = scratch.keep(_open(run.placed(members.drop("hub"))), "open")
-    few, many = left.where(F.col("n") <= small), left.where(F.col("n") > small)
-    twice = many.select("rep", "comp", "key", F.floor(F.col("place") / WIDTH).alias("chunk"))
-    other = twice.select("rep", F.col("key").alias("key2"), F.col("chunk").alias("chunk2"))
-    twice = twice.join(other, "rep").where("chunk < chunk2").select(F.xxhash64("key", "key2").alias("key"), "rep", "comp")
-    twice = scratch.keep(_open(twice.distinct()), "double")
-    hub = twice.where(F.col("n") > small).groupBy("key").agg(F.min("rep").alias("hub"))
-    star = twice.join(hub, "key").where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-    few2 = twice.where(F.col("n") <= small)
-    run.check(_cross(few, few).unionByName(_cross(few2, few2)).unionByName(star))
-
-    big = scratch.keep(_open(run.placed(twice.where(F.col("n") > small).select("key", "rep"))), "rest")
-    top = big.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"))
-    run.check(_cross(big.join(top, "key").where("comp <> top"), big))
+    weight = members.groupBy("rep").agg(F.sum("n").alias("weight"))
+    members = scratch.keep(members.drop("n").join(weight, "rep"), "weighted")
+    hubs = members.groupBy("key").agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("hub"))
+    run.check(members.join(hubs, "key").where("rep <> hub").select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")))
+
+    left = scratch.keep(_open(run.placed(members.drop("weight"))), "open")
+    few = left.where(F.col("n") <= small)
+    near = _blocks(left.where(F.col("n") > small), run.sets, classes.select("rep", "sig"), percent)
+    run.check(_cross(few, few).unionByName(near))
 
     # rows of one doc_id but different sets are one document
     same = full.join(classes.select("n_shingles", "h1", "h2", "rep"), ["n_shingles", "h1", "h2"]).select("doc_id", "rep")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, embed_dedup, minhash, mixing, secrets, token_counts, token_output, toxicity, url_filter
+from . import decontaminate, embed_dedup, line_dedup, minhash, mixing, secrets, token_counts, token_output, toxicity, url_filter
 
 QUERIES = {
     "op1_token_output": token_output.query,
+    "op2_line_dedup": line_dedup.query,
     "op3_decontaminate": decontaminate.query,
     "op4_mixing": mixing.query,
     "op5_embed_dedup": embed_dedup.query,

@@ -30,14 +30,13 @@ from .scratch import Scratch
 
 #: Documents in a bin, on average.
 BIN = 256
-BIG = "decimal(38,0)"
+#: A token: a run of characters other than ASCII white space.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def words(text: Column) -> Column:
-    """Tokens of a text: runs of characters other than white space (ASCII)."""
-    bare = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    bare = F.trim(bare)
-    return F.when(bare == "", 0).otherwise(F.length(bare) - F.length(F.translate(bare, " ", "")) + 1).cast("long")
+    """Tokens of a text."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
 def domain(source: Column) -> Column:
@@ -51,7 +50,6 @@ def divide(nodes: DataFrame, parent: list[str]) -> DataFrame:
     ratio = Window.partitionBy(*parent).orderBy(F.col("capacity").cast("double") / F.col("weight"), *[c for c in nodes.columns if c not in (*parent, "capacity", "weight", "pool")])
     before = ratio.rowsBetween(Window.unboundedPreceding, -1)
     after = ratio.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    big = lambda c: F.col(c).cast(BIG)
     out = nodes.withColumn("__mix_used", F.coalesce(F.sum("capacity").over(before), F.lit(0)).cast("decimal(19,0)"))
     out = out.withColumn("__mix_rest", F.sum("weight").over(after).cast("decimal(10,0)"))
     share = F.expr("CAST(CAST(weight AS DECIMAL(10,0)) * CAST(pool - __mix_used AS DECIMAL(19,0)) AS DECIMAL(29,0))")
@@ -94,7 +92,7 @@ def mix(docs: DataFrame, weights: dict[str, dict], fraction: float = 1.0, epochs
     base = docs.withColumn("__mix_lang", F.coalesce(F.col("lang").cast("string"), F.lit(""))).withColumn("__mix_source", F.coalesce(F.col("source").cast("string"), F.lit(""))).withColumn("__mix_domain", domain(F.col("source"))).withColumn("__mix_tokens", words(F.col("text").cast("string")))
     base = base.withColumn("__mix_key", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     # what decides is small: one row a document without its text
-    slim = scratch.keep(base.where("__mix_tokens > 0").select(*leaf, "__mix_tokens", "__mix_key"), "tokens")
+    slim = scratch.keep(base.select(*leaf, "__mix_tokens", "__mix_key"), "tokens").where("__mix_tokens > 0")
     leaves = slim.groupBy(*leaf).agg(F.sum("__mix_tokens").alias("tokens"), F.count("*").alias("rows")).toDF("domain", "lang", "source", "tokens", "rows")
     leaves = scratch.keep(leaves, "leaves")
     whole, rows = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
@@ -121,7 +119,8 @@ def mix(docs: DataFrame, weights: dict[str, dict], fraction: float = 1.0, epochs
     last = last.withColumn("before", F.col("__mix_first") + F.coalesce(F.sum("t").over(inner), F.lit(0))).where("before < __mix_budget")
     cut = scratch.keep(last.groupBy(*leaf).agg(F.max(F.struct("__mix_epoch", "__mix_bin", "__mix_hash", "__mix_key")).alias("__mix_cut")), "cuts")
 
-    out = placed(base.where("__mix_tokens > 0")).join(cut, leaf)
+    # the tokens themselves aren't needed again: a filter on them would count them twice
+    out = placed(base.where(F.coalesce(F.col("text").cast("string").rlike(WORD), F.lit(False)))).join(cut, leaf)
     taken = F.struct("__mix_epoch", "__mix_bin", "__mix_hash", "__mix_key") <= F.col("__mix_cut")
     return out.where(taken).drop("__mix_cut", "__mix_hash", "__mix_bin", "__mix_leaf", "__mix_key", "__mix_lang", "__mix_source")
 

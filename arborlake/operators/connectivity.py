@@ -46,7 +46,7 @@ def adjacency(edge_table: DataFrame, sources: DataFrame, targets: DataFrame, syn
     ``fractions`` they are divided by all the target's inputs; no input gives null. The
     grid is asked for by the caller; ``edges`` itself never builds it.
     """
-    w = F.col("weight").cast("double")
+    w = F.coalesce(F.col("weight").cast("double"), F.lit(0.0))  # pairs without an edge come from the grid
     if syn_cutoff is not None:
         w = F.least(w, F.lit(float(syn_cutoff)))
     if syn_threshold is not None:
@@ -55,7 +55,7 @@ def adjacency(edge_table: DataFrame, sources: DataFrame, targets: DataFrame, syn
     own = edge_table.join(s, "source", "left_semi").join(t, "target", "left_semi")
     # the grid as a join on a constant array keeps its rows spread over the sources' partitions
     grid = s.join(t, F.lit(True))
-    out = grid.join(own, ["source", "target"], "left").select("source", "target", F.coalesce(w, F.lit(0.0)).alias("weight"))
+    out = grid.join(own, ["source", "target"], "left").select("source", "target", w.alias("weight"))
     if fractions:
         total = (inputs if inputs is not None else edge_table).groupBy("target").agg(F.sum("weight").alias("total"))
         out = out.join(total, "target", "left").select("source", "target", F.try_divide("weight", F.col("total").cast("double")).alias("weight"))

@@ -1,4 +1,8 @@
 """Every query of the engine by name, with SQL where SQL can express it."""
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from __future__ import annotations
+
+from . import activity, network, searching, shapes
+
+QUERIES = {**network.QUERIES, **searching.QUERIES, **activity.QUERIES, **shapes.QUERIES}
+SQL = {**network.SQL, **searching.SQL, **activity.SQL, **shapes.SQL}

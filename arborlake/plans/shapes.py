@@ -1,2 +1,174 @@
-QUERIES: dict = {}
-SQL: dict = {}
+"""Queries on trees, space, clusters, labels, tiles and changes, with their SQL."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ..functions import text
+from ..operators import clustering, mutate, spatial, trees
+from ..sources import lake
+from ..streaming import live
+from . import network
+
+NODES = "n AS (SELECT p_partkey AS node_id, CASE WHEN p_partkey > 0 THEN p_partkey // 2 END AS parent_id, CAST(p_size AS DOUBLE) AS x, p_retailprice AS y, CAST(p_partkey AS DOUBLE) AS z, p_partkey % 5 + 1 AS confidence FROM part), e AS (SELECT a.*, coalesce(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2), 0) AS length FROM n a LEFT JOIN n b ON a.parent_id = b.node_id)"
+UP = NODES + ", r AS (SELECT node_id, parent_id, length AS distance, 0 AS hops FROM e WHERE parent_id IS NULL UNION ALL SELECT e.node_id, e.parent_id, r.distance + e.length, r.hops + 1 FROM e JOIN r ON e.parent_id = r.node_id)"
+
+
+def _round(df, *columns, digits=6):
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+def _chains(spark, d):
+    """Conversations as chains of nodes."""
+    key = F.col("conv_id") * 100_000 + F.col("turn")
+    c = lake.table(spark, d, "conversations").select("conv_id", key.alias("node_id"), "turn").distinct()
+    known = c.select(F.col("node_id").alias("parent_id"), F.lit(True).alias("known"))
+    return c.withColumn("parent_id", F.col("node_id") - 1).join(known, "parent_id", "left").select("conv_id", "node_id", F.when(F.col("known"), F.col("parent_id")).alias("parent_id"), F.lit(0.0).alias("x"), F.col("turn").cast("double").alias("y"), F.lit(0.0).alias("z"))
+
+
+def _top(spark, i):
+    return spark.range(1).select(F.lit(i).cast("long").alias("node_id"))
+
+
+def _pairs(spark, d):
+    n = lake.nodes(spark, d).where("node_id < 60").select("node_id")
+    return n.alias("p").join(n.alias("q"), F.col("p.node_id") < F.col("q.node_id")).select(F.col("p.node_id").alias("a"), F.col("q.node_id").alias("b"))
+
+
+def strahler(spark, d):
+    return trees.strahler(lake.nodes(spark, d))
+
+
+def density(spark, d):
+    contacts = lake.table(spark, d, "part").where("p_partkey < 300").select((F.col("p_partkey") % 7).alias("grp"), F.col("p_partkey").alias("node_id"))
+    return _round(trees.connection_density(lake.nodes(spark, d), contacts, "MEDIAN", 1000.0), "density")
+
+
+def nearest(spark, d):
+    p = lake.points(spark, d).select("point_id", "kind", "x", "y", "z")
+    return _round(spatial.nearest(p.where("kind = 0"), p.where("kind = 1"), 0.15), "distance", digits=9)
+
+
+def within(spark, d):
+    p = lake.points(spark, d).select("point_id", "kind", "x", "y", "z")
+    return spatial.within(p.where("kind = 2"), p.where("kind = 3"), 0.1).select("a", "b")
+
+
+def predicted(spark, d):
+    p = lake.points(spark, d)
+    pre = p.where("kind < 5").select("point_id", F.col("kind").alias("source"), "x", "y", "z")
+    return spatial.predict_connectivity(pre, p.where("kind >= 5").select("point_id", F.col("kind").alias("target"), "x", "y", "z"), 0.08)
+
+
+def _neurons(spark, d):
+    p = lake.points(spark, d)
+    return p.select("point_id", (F.col("point_id") % 6).alias("neuron"), "kind", "x", "y", "z")
+
+
+def placement(spark, d):
+    return _round(spatial.synapse_similarity(_neurons(spark, d), 0.1, 0.2), "similarity")
+
+
+def radius(spark, d):
+    n = trees.with_length(lake.nodes(spark, d)).where("length > 0")
+    return _round(spatial.contact_radius(n, "length"), "radius", digits=4)
+
+
+def mesh(spark, d):
+    v = np.array([[a, b, c] for a in (-0.1, 0.1) for b in (-0.1, 0.1) for c in (-0.1, 0.1)])
+    f = np.array([[0, 1, 3], [0, 3, 2], [4, 6, 7], [4, 7, 5], [0, 4, 5], [0, 5, 1], [2, 3, 7], [2, 7, 6], [0, 2, 6], [0, 6, 4], [1, 5, 7], [1, 7, 3]])
+    return spatial.in_mesh(lake.points(spark, d), v, f).select("point_id")
+
+
+def clusters(spark, d):
+    sim = network.connectivity_similarity(spark, d)
+    return clustering.clusters(clustering.to_distance(sim, "matching_index_synapses"), 5)
+
+
+def labels(spark, d):
+    part = lake.table(spark, d, "part")
+    out = text.label("%0 (%1) - %2", {"0": F.col("p_name"), "1": F.when(F.col("p_size") > 25, F.col("p_brand")), "2": F.col("p_type")})
+    return part.select("p_partkey", out.alias("label"))
+
+
+def tiles(spark, d):
+    n = lake.nodes(spark, d).where("node_id < 50")
+    boxes = n.select(F.col("node_id").alias("box_id"), F.col("y").alias("x1"), (F.col("y") + 500).alias("x2"), (F.col("x") * 100).alias("y1"), (F.col("x") * 100 + 300).alias("y2"), F.col("z").alias("z1"), (F.col("z") + 40).alias("z2"))
+    return spatial.tiles(boxes, 64, 64, (4, 4, 40))
+
+
+def diff(spark, d):
+    n = lake.nodes(spark, d)
+    new = n.where("node_id % 10 <> 3").withColumn("x", F.when(F.col("node_id") % 10 == 4, F.col("x") - 1).otherwise(F.col("x"))).unionByName(n.where("node_id < 5").withColumn("node_id", F.col("node_id") + 10_000_000))
+    return mutate.diff_nodes(n, new)
+
+
+def updated(spark, d):
+    n = lake.nodes(spark, d).select("node_id", "radius", "confidence")
+    return mutate.update(n, n.where("node_id % 3 = 0").select("node_id", (F.col("radius") * 2).alias("radius")), "node_id")
+
+
+def changes(spark, d):
+    e = network.edge_table(spark, d)
+    after = e.where("source % 10 <> 1").withColumn("weight", F.when(F.col("target") % 10 == 2, F.col("weight") + 1).otherwise(F.col("weight")))
+    return live.network_changes(e, after)
+
+
+def landmarks(spark, d):
+    p = lake.table(spark, d, "supplier").select((F.col("s_nationkey") % 2).cast("string").alias("grp"), F.col("s_nationkey").cast("int").alias("k"), F.col("s_acctbal").alias("x"), F.col("s_suppkey").cast("double").alias("y"), F.lit(0.0).alias("z"))
+    loc = p.select("grp", F.floor(F.col("y") / 2).alias("landmark"), "x", "y", "z")
+    return text.match_landmarks(loc.select("grp", "landmark"), loc, "0", "1")
+
+
+def in_box(spark, d):
+    return lake.nodes(spark, d).where(spatial.in_box((10, 900, 0), (40, 1200, 1e9))).select("node_id")
+
+
+def virtual(spark, d):
+    return _round(spatial.virtual_nodes(lake.nodes(spark, d).where("node_id < 400"), 40.0), "x", "y", "z")
+
+
+def _tree(f):
+    return lambda spark, d: f(lake.nodes(spark, d))
+
+
+QUERIES = {
+    "classify_nodes": _tree(trees.classify), "node_children": _tree(lambda n: trees.children(n).select("node_id", F.array_join("children", ",").alias("children"))),
+    "node_depths": _tree(lambda n: _round(trees.depths(n), "distance")), "cable_length": _tree(lambda n: _round(trees.cable(n), "cable", digits=3)),
+    "arbor_confidence": _tree(lambda n: _round(trees.arbor_confidence(n), "arbor_confidence", digits=9)), "strahler": strahler,
+    "subtree": lambda s, d: trees.subtree(lake.nodes(s, d), _top(s, 5)), "cut_distal": lambda s, d: trees.cut_distal(lake.nodes(s, d), _top(s, 5)).select("node_id", "parent_id"), "cut_proximal": lambda s, d: trees.cut_proximal(lake.nodes(s, d), _top(s, 5)).select("node_id", "parent_id"),
+    "small_segments": _tree(lambda n: trees.small_segments(n).select("node_id", "segment")), "segment_lengths": _tree(lambda n: _round(trees.segment_lengths(n), "length")), "prune_by_length": _tree(lambda n: trees.prune_by_length(n, 700.0).select("node_id", "parent_id")),
+    "chain_depths": lambda s, d: trees.depths(_chains(s, d)), "reroot": lambda s, d: trees.reroot(lake.nodes(s, d), 77).select("node_id", "parent_id"), "geodesic": lambda s, d: _round(trees.geodesic(lake.nodes(s, d), _pairs(s, d)), "distance"),
+    "connection_density": density, "longest_path": _tree(lambda n: _round(trees.longest_path(n), "distance")), "swc": _tree(lambda n: trees.to_swc(n).select("node", "parent", "z")),
+    "nodes_in_bbox": in_box, "nearest_points": nearest, "points_within": within, "predict_connectivity": predicted, "synapse_similarity": placement, "contact_radius": radius, "in_mesh": mesh, "virtual_nodes": virtual,
+    "cluster_by_connectivity": clusters, "neuron_labels": labels, "image_tiles": tiles, "diff_nodes": diff, "update_radii": updated, "network_changes": changes, "match_landmarks": landmarks,
+}
+
+PTS = "p AS (SELECT vec_id AS point_id, label AS kind, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, embedding[3]::DOUBLE AS z FROM embeddings)"
+DIST = "sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2)"
+SQL = {
+    "classify_nodes": f"WITH {NODES} SELECT n.node_id, CASE WHEN parent_id IS NULL THEN 'root' WHEN coalesce(k, 0) = 0 THEN 'end' WHEN k = 1 THEN 'slab' ELSE 'branch' END AS type FROM n LEFT JOIN (SELECT parent_id AS node_id, count(*) AS k FROM n GROUP BY 1) c USING (node_id)",
+    "node_children": f"WITH {NODES} SELECT parent_id AS node_id, string_agg(CAST(node_id AS VARCHAR), ',' ORDER BY node_id) AS children FROM n WHERE parent_id IS NOT NULL GROUP BY 1",
+    "node_depths": f"WITH RECURSIVE {UP} SELECT node_id, CAST(0 AS BIGINT) AS root, hops, round(distance, 6) AS distance FROM r",
+    "cable_length": f"WITH {NODES} SELECT round(sum(length), 3) AS cable FROM e",
+    "arbor_confidence": f"WITH RECURSIVE {NODES}, r AS (SELECT node_id, 1.0::DOUBLE AS c FROM n WHERE parent_id IS NULL UNION ALL SELECT n.node_id, r.c * ([1.0, 0.9, 0.6, 0.4, 0.2][6 - n.confidence])::DOUBLE FROM n JOIN r ON n.parent_id = r.node_id) SELECT node_id, round(c, 9) AS arbor_confidence FROM r",
+    "subtree": f"WITH RECURSIVE {NODES}, r AS (SELECT 5::BIGINT AS node_id UNION ALL SELECT n.node_id FROM n JOIN r ON n.parent_id = r.node_id) SELECT node_id FROM r",
+    "cut_distal": f"WITH RECURSIVE {NODES}, r AS (SELECT 5::BIGINT AS node_id UNION ALL SELECT n.node_id FROM n JOIN r ON n.parent_id = r.node_id) SELECT node_id, parent_id FROM n WHERE node_id = 5 OR node_id NOT IN (SELECT node_id FROM r)",
+    "cut_proximal": f"WITH RECURSIVE {NODES}, r AS (SELECT 5::BIGINT AS node_id UNION ALL SELECT n.node_id FROM n JOIN r ON n.parent_id = r.node_id) SELECT node_id, CASE WHEN node_id <> 5 THEN parent_id END AS parent_id FROM n WHERE node_id IN (SELECT node_id FROM r)",
+    "chain_depths": "WITH RECURSIVE c AS (SELECT DISTINCT conv_id * 100000 + turn AS node_id FROM conversations), r AS (SELECT node_id, node_id AS root, 0 AS hops FROM c WHERE node_id - 1 NOT IN (SELECT node_id FROM c) UNION ALL SELECT c.node_id, r.root, r.hops + 1 FROM c JOIN r ON c.node_id = r.node_id + 1) SELECT node_id, root, hops, CAST(hops AS DOUBLE) AS distance FROM r",
+    "reroot": f"WITH RECURSIVE {NODES}, w AS (SELECT 77::BIGINT AS node_id, NULL::BIGINT AS p UNION ALL SELECT n.parent_id, w.node_id FROM w JOIN n USING (node_id) WHERE n.parent_id IS NOT NULL) SELECT n.node_id, CASE WHEN w.node_id IS NOT NULL THEN w.p ELSE n.parent_id END AS parent_id FROM n LEFT JOIN w USING (node_id)",
+    "geodesic": f"WITH RECURSIVE {UP}, an AS (SELECT node_id, node_id AS a FROM n WHERE node_id < 60 UNION ALL SELECT an.node_id, n.parent_id FROM an JOIN n ON n.node_id = an.a WHERE n.parent_id IS NOT NULL), l AS (SELECT x.node_id AS a, y.node_id AS b, max(r.distance) AS lca FROM an x JOIN an y ON x.a = y.a AND x.node_id < y.node_id JOIN r ON r.node_id = x.a GROUP BY 1, 2) SELECT a, b, round(p.distance + q.distance - 2 * lca, 6) AS distance FROM l JOIN r p ON p.node_id = a JOIN r q ON q.node_id = b",
+    "longest_path": f"WITH RECURSIVE {UP} SELECT CAST(0 AS BIGINT) AS root, max_by(node_id, distance) AS leaf, round(max(distance), 6) AS distance FROM r",
+    "nodes_in_bbox": f"WITH {NODES} SELECT node_id FROM n WHERE x BETWEEN 10 AND 40 AND y BETWEEN 900 AND 1200",
+    "nearest_points": f"WITH {PTS}, d AS (SELECT a.point_id AS a, b.point_id AS b, {DIST} AS distance FROM p a JOIN p b ON a.kind = 0 AND b.kind = 1) SELECT a, b, round(distance, 9) AS distance FROM d WHERE distance <= 0.15 QUALIFY row_number() OVER (PARTITION BY a ORDER BY distance, b) = 1",
+    "points_within": f"WITH {PTS} SELECT a.point_id AS a, b.point_id AS b FROM p a JOIN p b ON a.kind = 2 AND b.kind = 3 WHERE {DIST} <= 0.1",
+    "predict_connectivity": f"WITH {PTS} SELECT a.kind AS source, b.kind AS target, count(DISTINCT a.point_id) AS weight FROM p a JOIN p b ON a.kind < 5 AND b.kind >= 5 WHERE {DIST} < 0.08 GROUP BY 1, 2",
+    "synapse_similarity": f"WITH {PTS}, s AS (SELECT *, point_id % 6 AS neuron FROM p), own AS (SELECT a.point_id, count(*) FILTER ({DIST} <= 0.2) AS dense FROM s a JOIN s b USING (neuron, kind) GROUP BY 1), m AS (SELECT a.point_id, a.neuron AS na, b.neuron AS nb, min({DIST}) AS d, arg_min(b.point_id, ({DIST}, b.point_id)) AS n FROM s a JOIN s b ON a.kind = b.kind GROUP BY 1, 2, 3), t AS (SELECT na, nb, sum(exp(-abs(x.dense - y.dense) / (x.dense + y.dense)) * exp(-d * d / (2 * 0.1 * 0.1))) AS v FROM m JOIN own x ON x.point_id = m.point_id JOIN own y ON y.point_id = m.n GROUP BY 1, 2), z AS (SELECT neuron, count(*) AS k FROM s GROUP BY 1) SELECT x.neuron AS a, y.neuron AS b, round(coalesce(v, 0) / x.k, 6) AS similarity FROM z x CROSS JOIN z y LEFT JOIN t ON na = x.neuron AND nb = y.neuron",
+    "contact_radius": f"WITH {NODES} SELECT round(count(*) / sum(1 / length) + 2 * (quantile_cont(length, 0.75) - quantile_cont(length, 0.25)), 4) AS radius FROM e WHERE length > 0",
+    "in_mesh": f"WITH {PTS} SELECT point_id FROM p WHERE x BETWEEN -0.1 AND 0.1 AND y BETWEEN -0.1 AND 0.1 AND z BETWEEN -0.1 AND 0.1",
+    "neuron_labels": "SELECT p_partkey, p_name || CASE WHEN p_size > 25 THEN ' (' || p_brand ELSE '' END || ') - ' || p_type AS label FROM part",
+    "diff_nodes": "SELECT p_partkey AS node_id, CASE p_partkey % 10 WHEN 3 THEN 'deleted' WHEN 4 THEN 'moved' ELSE 'mutual' END AS state FROM part UNION ALL SELECT p_partkey + 10000000, 'added' FROM part WHERE p_partkey < 5",
+    "update_radii": "SELECT p_partkey AS node_id, CAST(p_size AS DOUBLE) * CASE WHEN p_partkey % 3 = 0 THEN 2 ELSE 1 END AS radius, CAST(p_partkey % 5 + 1 AS INT) AS confidence FROM part",
+    "network_changes": f"WITH {network.CTE} SELECT source, target, 'gone' AS change, NULL::BIGINT AS weight FROM edges WHERE source % 10 = 1 UNION ALL SELECT source, target, 'changed', weight + 1 FROM edges WHERE source % 10 <> 1 AND target % 10 = 2",
+}

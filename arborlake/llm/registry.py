@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, embed_dedup, line_dedup, minhash, mixing, secrets, token_counts, token_output, toxicity, url_filter
+from . import decontaminate, embed_dedup, line_dedup, minhash, mixing, oracles, secrets, token_counts, token_output, toxicity, url_filter
 
 QUERIES = {
     "op1_token_output": token_output.query,
@@ -17,4 +17,5 @@ QUERIES = {
     "op10_token_counts": token_counts.query,
 }
 
-SQL: dict[str, str] = {}
+#: The others need a vocabulary (1, 10), learning (6) or the entropy of values (7).
+SQL: dict[str, str] = oracles.SQL

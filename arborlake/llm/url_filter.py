@@ -107,4 +107,5 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], ratio: float = 1.
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), RULES)
+    out = judge(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), RULES)
+    return out.withColumns({c: F.round(c, 9) for c in ("trust", "distrust")})

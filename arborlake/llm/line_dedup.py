@@ -175,10 +175,13 @@ def decide(docs: DataFrame) -> DataFrame:
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     # a shared first half (side 0) leaves edits to the last one, and the other way round
     active = keys.join(shared, "key").groupBy("doc_id", "line", "h1").agg(F.bit_or(F.when(F.col("side") % 2 == 0, 1).otherwise(2)).alias("sides"))
-    near = scratch.keep(_neighbours(docs, active), "variants")
+    # one shuffle of the variants serves both sides of this join; few hashes are met twice
+    near = scratch.keep(_neighbours(docs, active), "variants").repartition("hash")
+    twice = near.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    near = scratch.keep(near.join(twice, "hash"), "met")
     place = near.groupBy("hash", "place").agg(F.min(at).alias("low"))
     # of a hash: the whole line, if there is one, the earliest line less a character, and by place
-    meet = near.groupBy("hash").agg(F.min(F.when(F.col("place") < 0, at)).alias("whole"), F.min(F.when(F.col("place") >= 0, at)).alias("less"), F.count("*").alias("n")).where("n > 1").drop("n")
+    meet = near.groupBy("hash").agg(F.min(F.when(F.col("place") < 0, at)).alias("whole"), F.min(F.when(F.col("place") >= 0, at)).alias("less"))
     met = near.join(meet, "hash").join(place, ["hash", "place"])
     earlier = F.when(F.col("place") < 0, F.col("less")).otherwise(F.least("low", F.col("whole")))
     pairs = met.select("doc_id", "line", earlier.alias("to")).where(F.col("to") < at).groupBy("doc_id", "line").agg(F.min("to").alias("to"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import activity, network, searching, shapes
+from . import activity, network, neurons, searching, shapes
 
-QUERIES = {**network.QUERIES, **searching.QUERIES, **activity.QUERIES, **shapes.QUERIES}
-SQL = {**network.SQL, **searching.SQL, **activity.SQL, **shapes.SQL}
+QUERIES = {**network.QUERIES, **searching.QUERIES, **activity.QUERIES, **shapes.QUERIES, **neurons.QUERIES}
+SQL = {**network.SQL, **searching.SQL, **activity.SQL, **shapes.SQL, **neurons.SQL}

@@ -69,9 +69,10 @@ def spread(edges: DataFrame, seeds: DataFrame, scratch: Scratch, iterations: int
     rank = start.select("host", F.col("start").alias("score"))
     kept = None
     for i in range(iterations):
-        moved = rank.join(steps, rank["host"] == steps["src"]).groupBy("dst").agg(F.sum(F.col("score") * F.col("share")).alias("moved"))
-        both = moved.select(F.col("dst").alias("host"), (F.col("moved") * damping).alias("score")).unionByName(start.select("host", (F.col("start") * (1 - damping)).alias("score")))
-        rank = both.groupBy("host").agg(F.sum("score").alias("score"))
+        moved = rank.join(steps, rank["host"] == steps["src"]).select(F.col("dst").alias("host"), (F.col("score") * F.col("share")).alias("moved"), F.lit(None).cast("double").alias("start"))
+        both = moved.unionByName(start.select("host", F.lit(None).cast("double").alias("moved"), "start"))
+        score = F.coalesce(F.sum("moved"), F.lit(0.0)) * damping + F.coalesce(F.sum("start"), F.lit(0.0)) * (1 - damping)
+        rank = both.groupBy("host").agg(score.alias("score"))
         if i % 5 == 4 or i == iterations - 1:
             before, kept = kept, scratch.keep(rank, "rank")
             rank = kept

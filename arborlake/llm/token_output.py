@@ -129,7 +129,8 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: i
     """Encode whole texts and write the shards under ``folder``; returns the manifest, a row a shard.
 
     The one shuffle deals documents by ranges of their id; a shard is a partition's
-    documents. Equal ids may lie in one range only, so rows of one id stay together.
+    documents. Ranges also cut by the hash of the text, so a repeated id may span shards;
+    the order within an id is that of the hash throughout.
     """
     spark, vocabulary = docs.sparkSession, vocabulary or default_vocabulary()
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))

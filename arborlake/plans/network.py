@@ -76,6 +76,11 @@ def get_partners(spark, d):
     return c.partners(_edges(spark, d), query, _sizes(spark, d), threshold=2, min_size=5).where("relation = 'downstream'").drop("relation")
 
 
+def partners_all(spark, d):
+    """get_partners from all neurons."""
+    return c.partners(_edges(spark, d), _customers(spark, d, "true"), _sizes(spark, d), threshold=2, min_size=5).where("relation = 'downstream'").drop("relation")
+
+
 def partners_wide(spark, d):
     query = _customers(spark, d, "c_custkey < 4")
     long = c.partners(_edges(spark, d), query, _sizes(spark, d)).where("relation = 'downstream'")
@@ -149,7 +154,7 @@ def filter_connectivity(spark, d):
 QUERIES = {
     "edges": edge_table, "edges_min_confidence": edges_confident, "adjacency_matrix": adjacency_matrix, "adjacency_fractions": adjacency_fractions,
     "group_matrix_sum": _grouped("SUM"), "group_matrix_average": _grouped("AVERAGE"), "group_matrix_min": _grouped("MIN"), "group_matrix_max": _grouped("MAX"),
-    "get_partners": get_partners, "get_partners_wide": partners_wide, "shared_partners": shared_partners, "connector_details": connector_details,
+    "get_partners": get_partners, "get_partners_all": partners_all, "get_partners_wide": partners_wide, "shared_partners": shared_partners, "connector_details": connector_details,
     "connectors_between": connectors_between, "connectivity_counts_links": _counts(True), "connectivity_counts_connectors": _counts(False),
     "sparseness_lts": sparseness_lts, "sparseness_ltk": sparseness_ltk, "nth_partners": nth_partners, "get_paths": get_paths,
     "connectivity_similarity": connectivity_similarity, "filter_connectivity": filter_connectivity,

@@ -36,12 +36,19 @@ def _pairs(spark, d):
     return n.alias("p").join(n.alias("q"), F.col("p.node_id") < F.col("q.node_id")).select(F.col("p.node_id").alias("a"), F.col("q.node_id").alias("b"))
 
 
+def geodesic_segments(spark, d):
+    """Every node below the root with the lower end of its unbranched stretch: pairs linear in the nodes."""
+    n = lake.nodes(spark, d)
+    pairs = trees.small_segments(n).select(F.col("node_id").alias("a"), F.col("segment").alias("b"))
+    return _round(trees.geodesic(n, pairs), "distance")
+
+
 def strahler(spark, d):
     return trees.strahler(lake.nodes(spark, d))
 
 
 def density(spark, d):
-    contacts = lake.table(spark, d, "part").where("p_partkey < 300").select((F.col("p_partkey") % 7).alias("grp"), F.col("p_partkey").alias("node_id"))
+    contacts = lake.table(spark, d, "part").select((F.col("p_partkey") % 7).alias("grp"), F.col("p_partkey").alias("node_id"))
     return _round(trees.connection_density(lake.nodes(spark, d), contacts, "MEDIAN", 1000.0), "density")
 
 
@@ -93,7 +100,7 @@ def labels(spark, d):
 
 
 def tiles(spark, d):
-    n = lake.nodes(spark, d).where("node_id < 50")
+    n = lake.nodes(spark, d)
     boxes = n.select(F.col("node_id").alias("box_id"), F.col("y").alias("x1"), (F.col("y") + 500).alias("x2"), (F.col("x") * 100).alias("y1"), (F.col("x") * 100 + 300).alias("y2"), F.col("z").alias("z1"), (F.col("z") + 40).alias("z2"))
     return spatial.tiles(boxes, 64, 64, (4, 4, 40))
 
@@ -126,7 +133,7 @@ def in_box(spark, d):
 
 
 def virtual(spark, d):
-    return _round(spatial.virtual_nodes(lake.nodes(spark, d).where("node_id < 400"), 40.0), "x", "y", "z")
+    return _round(spatial.virtual_nodes(lake.nodes(spark, d), 40.0), "x", "y", "z")
 
 
 def _tree(f):
@@ -139,7 +146,7 @@ QUERIES = {
     "arbor_confidence": _tree(lambda n: _round(trees.arbor_confidence(n), "arbor_confidence", digits=9)), "strahler": strahler,
     "subtree": lambda s, d: trees.subtree(lake.nodes(s, d), _top(s, 5)), "cut_distal": lambda s, d: trees.cut_distal(lake.nodes(s, d), _top(s, 5)).select("node_id", "parent_id"), "cut_proximal": lambda s, d: trees.cut_proximal(lake.nodes(s, d), _top(s, 5)).select("node_id", "parent_id"),
     "small_segments": _tree(lambda n: trees.small_segments(n).select("node_id", "segment")), "segment_lengths": _tree(lambda n: _round(trees.segment_lengths(n), "length")), "prune_by_length": _tree(lambda n: trees.prune_by_length(n, 700.0).select("node_id", "parent_id")),
-    "chain_depths": lambda s, d: trees.depths(_chains(s, d)), "reroot": lambda s, d: trees.reroot(lake.nodes(s, d), 77).select("node_id", "parent_id"), "geodesic": lambda s, d: _round(trees.geodesic(lake.nodes(s, d), _pairs(s, d)), "distance"),
+    "chain_depths": lambda s, d: trees.depths(_chains(s, d)), "reroot": lambda s, d: trees.reroot(lake.nodes(s, d), 77).select("node_id", "parent_id"), "geodesic": lambda s, d: _round(trees.geodesic(lake.nodes(s, d), _pairs(s, d)), "distance"), "geodesic_segments": geodesic_segments,
     "connection_density": density, "longest_path": _tree(lambda n: _round(trees.longest_path(n), "distance")), "swc": _tree(lambda n: trees.to_swc(n).select("node", "parent", "z")),
     "nodes_in_bbox": in_box, "nearest_points": nearest, "points_within": within, "predict_connectivity": predicted, "synapse_similarity": placement, "contact_radius": radius, "in_mesh": mesh, "virtual_nodes": virtual,
     "cluster_by_connectivity": clusters, "neuron_labels": labels, "image_tiles": tiles, "diff_nodes": diff, "update_radii": updated, "network_changes": changes, "match_landmarks": landmarks,

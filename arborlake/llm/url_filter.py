@@ -4,7 +4,8 @@ Rules come first: a rule (host and path prefix) fits its host and all subdomains
 those that fit, the longest decides. Every other page gets the verdict of its host:
 personalised PageRank from trusted seed hosts along links, and reversed PageRank from
 blocked seed hosts against links (whoever links to a blocked host is distrusted). A host
-is blocked when its distrust exceeds ``ratio`` times its trust.
+is blocked when its distrust exceeds ``ratio`` times its trust; equal ones are allowed.
+Sums of doubles depend on their order, so values within ``TIE`` of the larger one are equal.
 
 Edges are host pairs with a count, from absolute links in the pages' html, and from each
 host to its parent domain and back. Pages of one host are aggregated before any shuffle,
@@ -27,6 +28,7 @@ from .scratch import Scratch
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ITERATIONS, DAMPING = 10, 0.85
+TIE = 1e-9  # far above the rounding of sums, and relative: scores shrink as hosts grow in number
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -82,6 +84,11 @@ def spread(edges: DataFrame, seeds: DataFrame, scratch: Scratch, iterations: int
     return rank
 
 
+def exceeds(distrust: Column, bound: Column) -> Column:
+    """Whether distrust is above ``bound`` by more than rounding."""
+    return distrust - bound > F.lit(TIE) * F.greatest(distrust, bound)
+
+
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], ratio: float = 1.0, iterations: int = ITERATIONS) -> DataFrame:
     """Per page: page_id, host, path, rule (or null), verdict, and its host's trust and distrust."""
     spark = pages.sparkSession
@@ -103,7 +110,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], ratio: float = 1.
     out = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path")).join(known, "host", "left")
     fits = F.element_at(F.filter("rules", lambda r: F.startswith(F.col("path"), r["path"])), 1)
     out = out.withColumn("fit", F.when(F.size(F.filter("rules", lambda r: F.startswith(F.col("path"), r["path"]))) > 0, fits))
-    verdict = F.coalesce(F.col("fit.verdict"), F.when(F.col("distrust") > F.lit(float(ratio)) * F.col("trust"), "block").otherwise("allow"))
+    verdict = F.coalesce(F.col("fit.verdict"), F.when(exceeds(F.col("distrust"), F.lit(float(ratio)) * F.col("trust")), "block").otherwise("allow"))
     return out.select("page_id", "host", "path", F.concat("fit.host", "fit.path").alias("rule"), verdict.alias("verdict"), "trust", "distrust")
 
 

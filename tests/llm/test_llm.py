@@ -395,6 +395,18 @@ def test_urls(spark):
     assert got[5]["verdict"] == "block" and got[0]["verdict"] == "allow"
 
 
+def test_urls_of_equal_scores(spark):
+    scores = [(0.1 + 0.2, 0.3, False), (0.3, 0.1 + 0.2, False), (3e-12 + 3e-27, 3e-12, False), (3.01e-12, 3e-12, True), (0.0, 0.0, False), (1e-15, 0.0, True)]
+    df = spark.createDataFrame(scores, "d double, t double, above boolean")
+    assert all(r["above"] == r["got"] for r in df.withColumn("got", url_filter.exceeds(F.col("d"), F.col("t"))).collect())
+    # a domain that is a trusted and a blocked seed: in exact arithmetic all its hosts tie, in doubles as the sums fall out
+    pages = [(i, f"http://h{i % 7}.a{i % 13}.com/x", f'<a href="http://h{j % 7}.a{j % 13}.com/">' * (i % 3 + 1)) for i, j in zip(range(91), range(1, 92))]
+    both = pages + [(1000 + i, f"http://{b}/", f'<a href="{u}">') for i, u, h in pages for b in [h.split("//")[1].split("/")[0]] for _ in range(i % 3 + 1)]
+    docs = spark.createDataFrame(both, "page_id long, url string, html string")
+    got = url_filter.judge(docs, [("allow", "com", "/fr/"), ("block", "com", "/de/")]).collect()
+    assert any(r["trust"] != r["distrust"] for r in got) and all(abs(r["trust"] - r["distrust"]) < 1e-12 and r["verdict"] == "allow" for r in got)
+
+
 # 9 --------------------------------------------------------------------------------------------
 
 

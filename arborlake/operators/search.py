@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .trees import cut
+
 
 def name_matches(name: Column, query: str, allow_partial: bool = False) -> Column:
     """A predicate on names. The query is trimmed; one prefix ``annotation:`` and then one ``~`` are ignored. A leading ``/`` makes
@@ -73,17 +75,19 @@ def entity_graph(annotations: DataFrame, entities: DataFrame) -> DataFrame:
     return annotations.join(entities.select("entity_id").distinct(), "entity_id", "left_semi").select(F.col("annotation").alias("source"), F.col("entity_id").alias("target")).distinct()
 
 
-def sub_annotations(meta: DataFrame, start: DataFrame, depth: int = 10) -> DataFrame:
-    """(annotation, level): the closure under meta-annotation edges (parent, child), by first level; ``start`` has level 0."""
+def sub_annotations(meta: DataFrame, start: DataFrame, depth: int | None = None) -> DataFrame:
+    """(annotation, level): the closure under meta-annotation edges (parent, child), by first level; ``start`` has level 0. Ends where no new annotation follows, or at ``depth``."""
     front = seen = start.select("annotation").distinct().withColumn("level", F.lit(0))
     edges = meta.select(F.col("parent").alias("annotation"), "child")
-    for level in range(1, depth + 1):
-        front = front.join(edges, "annotation").select(F.col("child").alias("annotation")).distinct().join(seen.select("annotation"), "annotation", "left_anti").withColumn("level", F.lit(level))
+    level = 0
+    while depth is None or level < depth:
+        level += 1
+        front = cut(front.join(edges, "annotation").select(F.col("child").alias("annotation")).distinct().join(seen.select("annotation"), "annotation", "left_anti").withColumn("level", F.lit(level)))
+        if front.isEmpty():
+            break
         seen = seen.unionByName(front)
         if level % 3 == 0:
-            seen, front = seen.checkpoint(), front.checkpoint()
-            if front.isEmpty():
-                break
+            seen = cut(seen)
     return seen
 
 

@@ -45,6 +45,13 @@ def sub_annotations(spark, d):
     return s.sub_annotations(tree, start, 2)
 
 
+def sub_annotations_all(spark, d):
+    """The whole closure, from all roots."""
+    tree = lake.nodes(spark, d).where("parent_id IS NOT NULL").select(F.col("parent_id").cast("string").alias("parent"), F.col("node_id").cast("string").alias("child"))
+    roots = tree.select(F.col("parent").alias("annotation")).join(tree.select(F.col("child").alias("annotation")), "annotation", "left_anti").distinct()
+    return s.sub_annotations(tree, roots)
+
+
 def find_neurons(spark, d):
     part, ann = _part(spark, d), lake.annotations(spark, d)
     sets = [s.filter_by_query(part, "name", "/[a-m].*"), ann.where("annotation LIKE 'Brand#1%'")]
@@ -60,7 +67,7 @@ def resolve(spark, d):
 QUERIES = {
     "filter_by_query_regex": _by_name("/[a-m].*", False), "filter_by_query_partial": _by_name("annotation:an", True), "skids_by_annotation_union": _by_annotation(["/Brand#1.*", "~/Brand#[12].*"], False),
     "skids_by_annotation_intersect": _by_annotation(["/Brand#1.*", "~/Brand#12"], True), "has_annotation": has_annotation, "get_annotations": annotations_of,
-    "annotation_counts": annotation_counts, "entity_graph": entity_graph, "sub_annotations": sub_annotations, "find_neurons": find_neurons, "eval_skids": resolve,
+    "annotation_counts": annotation_counts, "entity_graph": entity_graph, "sub_annotations": sub_annotations, "sub_annotations_all": sub_annotations_all, "find_neurons": find_neurons, "eval_skids": resolve,
 }
 
 SQL = {

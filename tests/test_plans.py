@@ -2,7 +2,8 @@
 
 import pytest
 
-from arborlake.plans import network, shapes
+from arborlake.operators import search
+from arborlake.plans import network, searching, shapes
 
 ROWS = 500
 
@@ -48,3 +49,11 @@ def test_density_of_all_contacts(spark, folder):
 
 def test_partners_of_all_neurons(spark, folder):
     assert sorted(r["query"] for r in network.QUERIES["get_partners_all"](spark, folder).collect()) == list(range(ROWS))
+
+
+def test_closure_has_no_depth(spark, folder):
+    chain = spark.createDataFrame([(str(i), str(i + 1)) for i in range(13)] + [("13", "3")], "parent string, child string")
+    start = spark.createDataFrame([("0",)], "annotation string")
+    assert {r["annotation"]: r["level"] for r in search.sub_annotations(chain, start).collect()} == {str(i): i for i in range(14)}
+    assert search.sub_annotations(chain, start, 2).count() == 3
+    assert searching.QUERIES["sub_annotations_all"](spark, folder).count() == ROWS

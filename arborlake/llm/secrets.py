@@ -4,11 +4,20 @@ Base spans are found by fixed patterns in whole texts. Their values, hashed, are
 over the whole corpus by distinct repositories and distinct owners: a value that many
 owners hold is a copied example, one that few owners hold and that looks random is live.
 The method adds a span of kind ``repeat`` wherever a live value stands elsewhere as a bare
-token that no base span covers; base spans always stay.
+token, or as a part of one, that no base span touches; base spans always stay.
 
-One scan writes spans and hashes; the corpus-wide counts are two-step aggregations
-(distinct owners of a value, then their number), so a value in a third of all documents
-is combined before each shuffle. Only hashes that occur as base values are matched with
+Values and tokens are compared without "." and "=" at their ends, which are full stops and
+padding. A token also swallows what stands before and behind a value (``k=VALUE``,
+``host/path/VALUE``), so each of its parts between "=", "/" and "." is looked up too, and so
+is all that stands before or behind each of these signs: a value that holds such signs itself
+is found at either end of a token, not between two others.
+
+By default a source is an owner and each of its documents a repository, so a value that
+is pasted into many documents of one source is a copied example as well.
+
+One scan writes spans and hashes; the corpus-wide counts are aggregations in steps
+(distinct repositories of a value and owner, distinct owners, their number), so a value in a
+third of all documents is spread over its repositories before it is combined. Only hashes that occur as base values are matched with
 tokens, by a join.
 
 Offsets are code points, ends exclusive. Nulls: a null text is empty; a null repository
@@ -37,6 +46,7 @@ LEAST = {"assign": 12, "access": 18, "hex": 16}
 KINDS = ("assign", "access", "hex", "repeat")
 
 TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
+CUT, ENDS = re.compile(r"[=/.]+"), ".="
 MAX_OWNERS, MAX_REPOSITORIES, ENTROPY = 2, 3, 3.0
 FOUND = "doc_id long, repository string, owner string, base array<struct<kind:string,start:int,stop:int,hash:long,live:boolean>>, tokens array<struct<start:int,stop:int,hash:long>>"
 
@@ -59,15 +69,35 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def normal(start: int, value: str) -> tuple[int, str]:
+    """The value as it is compared, and its place."""
+    bare = value.lstrip(ENDS)
+    return start + len(value) - len(bare), bare.rstrip(ENDS)
+
+
+def candidates(token: str) -> set[tuple[int, str]]:
+    """(place, value): the token, its parts, and what stands before or behind a cut."""
+    out = {normal(0, token)}
+    at = 0
+    for m in [*CUT.finditer(token), None]:
+        stop = m.start() if m else len(token)
+        pieces = [(at, token[at:stop])] + ([(0, token[:stop]), (m.end(), token[m.end() :])] if m else [])
+        out |= {normal(i, s) for i, s in pieces if len(s) >= LEAST["assign"]}
+        at = m.end() if m else stop
+    return {(i, s) for i, s in out if any(c.isdigit() for c in s)}
+
+
 def bare_tokens(text: str, spans: list[tuple[str, int, int, str]]) -> list[tuple[int, int, str]]:
-    """Long tokens with a digit that no base span touches."""
-    out, at, stop = [], 0, 0
+    """Candidates with a digit, of long tokens, that no base span touches."""
+    out, near, at = [], [], 0
     for m in TOKEN.finditer(text):
         while at < len(spans) and spans[at][1] < m.end():
-            stop = max(stop, spans[at][2])
+            near.append(spans[at][1:3])
             at += 1
-        if stop <= m.start() and any(c.isdigit() for c in m[0]):
-            out.append((m.start(), m.end(), m[0].rstrip(".=")))
+        near = [(a, b) for a, b in near if b > m.start()]
+        if any(c.isdigit() for c in m[0]):
+            found = [(m.start() + i, m.start() + i + len(s), s) for i, s in candidates(m[0])]
+            out += sorted(f for f in found if not any(a < f[1] and f[0] < b for a, b in near))
     return out
 
 
@@ -81,8 +111,9 @@ def scan(docs: DataFrame, repository: str, owner: str) -> DataFrame:
             for text in batch.column(3):
                 text = text.as_py() or ""
                 spans = base_spans(text)
-                base.append([{"kind": k, "start": a, "stop": b, "hash": value_hash(v), "live": looks_random(v)} for k, a, b, v in spans])
-                tokens.append([{"start": a, "stop": a + len(v), "hash": value_hash(v)} for a, _, v in bare_tokens(text, spans)])
+                values = [normal(0, v)[1] for *_, v in spans]
+                base.append([{"kind": k, "start": a, "stop": b, "hash": value_hash(v), "live": looks_random(v)} for (k, a, b, _), v in zip(spans, values)])
+                tokens.append([{"start": a, "stop": b, "hash": value_hash(v)} for a, b, v in bare_tokens(text, spans)])
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(base, pa.list_(span)), pa.array(tokens, pa.list_(token))], ["doc_id", "repository", "owner", "base", "tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(repository).cast("string"), F.lit("")).alias("repository"), F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"), F.col("text").cast("string").alias("text"))
@@ -98,7 +129,7 @@ def ownership(found: DataFrame) -> DataFrame:
     return counts.select("hash", "owners", "repositories", (F.col("random") & (F.col("owners") <= MAX_OWNERS) & (F.col("repositories") <= MAX_REPOSITORIES)).alias("live"))
 
 
-def find(docs: DataFrame, repository: str = "source", owner: str = "source") -> DataFrame:
+def find(docs: DataFrame, repository: str = "doc_id", owner: str = "source") -> DataFrame:
     """Per row: doc_id and spans (kind, start, stop, hash, live), in order. ``live``: random looking and held by few owners."""
     scratch = Scratch(docs.sparkSession, "secrets")
     found = scratch.keep(scan(docs, repository, owner).withColumn("row", F.monotonically_increasing_id()), "found")
@@ -108,6 +139,10 @@ def find(docs: DataFrame, repository: str = "source", owner: str = "source") ->
     tokens = found.select("row", F.explode("tokens").alias("s")).select("row", F.lit("repeat").alias("kind"), "s.start", "s.stop", "s.hash")
     spans = base.join(values.select("hash", "live"), "hash").unionByName(tokens.join(values.where("live").select("hash", "live"), "hash"))
     spans = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", order.alias("order"), "kind", "stop", "hash", "live"))).alias("spans"))
+    # of repeats one within another, the outer one
+    repeats = F.filter("spans", lambda s: s["kind"] == "repeat")
+    inner = lambda s: F.exists(repeats, lambda t: (t["start"] <= s["start"]) & (t["stop"] >= s["stop"]) & (t["stop"] - t["start"] > s["stop"] - s["start"]))
+    spans = spans.select("row", F.filter("spans", lambda s: (s["kind"] != "repeat") | ~inner(s)).alias("spans"))
     return found.select("row", "doc_id").join(spans, "row", "left").select("doc_id", F.coalesce("spans", F.array().cast("array<struct<start:int,order:int,kind:string,stop:int,hash:bigint,live:boolean>>")).alias("spans"))
 
 

@@ -345,6 +345,20 @@ def test_secrets(spark):
     assert secrets.base_spans("password: token = abcdefghijklmnop") == []
 
 
+def test_secrets_in_other_places(spark):
+    padded, ended, plain = "QWxhZGRpb3pvcGV1MTIz", "aB3dE5gH7jK9mN1p", "Zx9Qw8Er7Ty6Ui5Op4As"
+    texts = [f"password={padded}==", f"bare {padded}== and {padded}", f"secret: {ended}.", f"secret: {ended}", f"passwd={plain}", f"k={plain} at http://host.example/path/{plain}?x=1 and host/v1/{plain}/end", f"{plain}/secret=otherValue123", "token: mM1nN2oO3pP4qQ5"]
+    texts += ["token: rR1sS2tT3uU4vV5"] * 5 + ["bare rR1sS2tT3uU4vV5", "no/a1/b2/c3/d4.e5=f6", "apikey=Ab1/Cd2+Ef3/Gh4=", "q=Ab1/Cd2+Ef3/Gh4="]
+    rows = [(i, t, "en", "src", 0) for i, t in enumerate(texts)]
+    got = collect(secrets.find(spark.createDataFrame(rows, DOCS)))
+    repeats = {i: [texts[i][s["start"] : s["stop"]] for s in r["spans"] if s["kind"] == "repeat"] for i, r in got.items()}
+    assert repeats[1] == [padded] * 2 and repeats[5] == [plain] * 3 and repeats[6] == [plain]
+    assert got[2]["spans"][0]["hash"] == got[3]["spans"][0]["hash"] and got[2]["spans"][0]["live"]
+    # one owner, but more documents than a live value has
+    assert not got[8]["spans"][0]["live"] and repeats[13] == [] and got[7]["spans"][0]["live"]
+    assert repeats[14] == [] and repeats[16] == ["Ab1/Cd2+Ef3/Gh4"]
+
+
 # 8 --------------------------------------------------------------------------------------------
 
 

@@ -22,9 +22,10 @@ With the defaults, a pair at exactly 0.8 shares no key with probability 2e-6. Of
 candidates, those whose signatures differ in over ``FAR`` places are not checked: at 0.8
 this has probability 1e-7.
 
-Nulls: a null text, or one without words, is an empty set, linked with nothing. A null
-doc_id is linked with nothing and kept. Rows of one doc_id count as one document, whose
-links are those of all its rows. Extra columns are ignored by ``links_of`` and kept by
+Nulls: a null text, or one without words, is an empty set, linked with nothing. To
+``links_of``, a null doc_id is linked with nothing and kept, and rows of one doc_id count as
+one document, whose links are those of all its rows. To ``keep_first`` each row is a
+document, whatever its doc_id. Extra columns are ignored by ``links_of`` and kept by
 ``keep_first``.
 """
 
@@ -296,9 +297,17 @@ def links_of(docs: DataFrame, words: np.ndarray = ALNUM, size: int = 5, percent:
 
 
 def keep_first(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with all its columns and one document of each component, the one of the smallest id."""
-    gone = links_of(docs, **how).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("__gone"), "left_anti").select(*docs.columns)
+    """``docs`` with all its columns and one row of each component, the one of the smallest id (null: the last), the first of rows of one id."""
+    rows = Scratch(docs.sparkSession, "minhash-rows").keep(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    found = links_of(rows.select(F.col("__row").alias("doc_id"), "text"), **how).where("NOT kept")
+    # only rows with links: components of several rows
+    linked = found.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__root"))
+    linked = linked.unionByName(linked.select(F.col("__root").alias("__row"), "__root").distinct())
+    held = rows.select("__row", F.col("doc_id").cast("long").alias("__id")).join(linked, "__row")
+    order = F.struct(F.col("__id").isNull(), "__id", "__row")
+    first = held.groupBy("__root").agg(F.min_by("__row", order).alias("__first"))
+    gone = held.join(first, "__root").where("__row <> __first").select("__row")
+    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

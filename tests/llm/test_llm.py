@@ -469,6 +469,14 @@ def test_minhash_nulls(spark):
     assert got == sorted([(None, None, True), (4, 2, False), (2, 2, True), (2, 2, True), (9, 2, False), (7, 7, True)], key=str)
 
 
+def test_one_row_of_each_group_stays(spark):
+    same, other = "a b c d e f", "q r s t u v"
+    rows = [(None, same, 0), (4, same, 1), (None, other, 2), (None, other, 3), (2, same, 4), (2, same, 5), (2, "x y z u v w", 6), (None, None, 7), (8, "", 8), (9, "x y z u v w", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int").coalesce(1)
+    assert sorted(r["n"] for r in minhash.keep_first(docs).collect()) == [2, 4, 6, 7, 8]
+    assert minhash.keep_first(docs).columns == docs.columns
+
+
 def test_components(spark):
     r = random.Random(12)
     pairs = [(i, i + 1) for i in range(0, 60)] + [(r.randint(100, 300), r.randint(100, 300)) for _ in range(120)] + [(5, 5)]

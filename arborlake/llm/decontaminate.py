@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .textvec import Words, windows
+from .textvec import Words, slices, windows
 
 BROADCAST_BYTES = 16 << 20
 BITMAP = 20
@@ -119,7 +119,7 @@ def find(docs: DataFrame, benchmark: DataFrame, n: int = 10, limit: int = BROADC
     held = docs.sparkSession.sparkContext.broadcast(_windows_of(groups[0], n))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             words = Words(batch.column(1))
             hit, items = held.value.scan(words)
             hits = np.concatenate(([0], np.cumsum(hit)))[words.first]
@@ -140,7 +140,7 @@ def _merged(docs: DataFrame, groups: list[DataFrame], n: int) -> DataFrame:
         held = docs.sparkSession.sparkContext.broadcast(_windows_of(group, n))
 
         def scan(batches, held=held):
-            for batch in batches:
+            for batch in slices(batches, 1):
                 words = Words(batch.column(1))
                 hit, items = held.value.scan(words)
                 hits = np.concatenate(([0], np.cumsum(hit)))[words.first]
@@ -157,7 +157,7 @@ def _merged(docs: DataFrame, groups: list[DataFrame], n: int) -> DataFrame:
     found = found.groupBy("row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("runs")).alias("runs"))
 
     def finish(batches):
-        for batch in batches:
+        for batch in slices(batches, "text"):
             words = Words(batch.column("text"))
             hit = np.zeros(len(words.hash), bool)
             for i, runs in enumerate(batch.column("runs").to_pylist()):
@@ -180,7 +180,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, remove: st
         held = docs.sparkSession.sparkContext.broadcast(_windows_of(group, n))
 
         def clean(batches, held=held):
-            for batch in batches:
+            for batch in slices(batches, place):
                 words = Words(batch.column(place))
                 hit, _ = held.value.scan(words)
                 hits = np.diff(np.concatenate(([0], np.cumsum(hit)))[words.first])

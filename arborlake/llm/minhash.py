@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .scratch import Scratch
-from .textvec import ALNUM, NONSPACE, Words, constants, mix, shingle_sets
+from .textvec import ALNUM, NONSPACE, Words, constants, mix, shingle_sets, slices
 
 CHUNKS, WIDTH, FAR, SMALL, BLOCK = 10, 5, 27, 16, 512
 PLACES = CHUNKS * WIDTH
@@ -78,7 +78,7 @@ def _signed(docs: DataFrame, flags: np.ndarray, size: int) -> DataFrame:
     a, b = constants(2, 7)
 
     def sign(batches):
-        for batch in batches:
+        for batch in slices(batches, "text"):
             values, bounds = _sets(batch, flags, size)
             total = lambda c, v=values, at=bounds: np.diff(np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(v ^ c), dtype=np.uint64)))[at]).view(np.int64)
             sig = signatures(values, bounds)
@@ -114,11 +114,9 @@ class _Join:
         flags, size = self.flags, self.size
 
         def give(batches):
-            for batch in batches:
-                for at in range(0, batch.num_rows, 256):
-                    part = batch.slice(at, 256)
-                    values, bounds = _sets(part, flags, size)
-                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([values[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary())], ["rep", "items"])
+            for part in slices(batches, "text"):
+                values, bounds = _sets(part, flags, size)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([values[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary())], ["rep", "items"])
 
         wanted = members.select(F.col("rep").alias("doc_id")).distinct()
         self.sets = self.scratch.keep(self.docs.join(wanted, "doc_id", "left_semi").mapInArrow(give, "rep long, items binary"), "sets")

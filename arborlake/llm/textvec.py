@@ -7,13 +7,28 @@ Texts of any length are handled in pieces of ``PIECE`` bytes that end between wo
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-PIECE = 1 << 21
+PIECE, SLICE = 1 << 18, 1 << 20
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+def slices(batches: Iterable[pa.RecordBatch], text: int | str, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in parts of at most ``limit`` bytes of text, or of one row: what a task holds doesn't follow the batch size."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            upto = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(at, upto - at)
+            at = upto
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser."""
     x = x.astype(np.uint64, copy=True)

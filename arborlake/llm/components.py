@@ -4,6 +4,9 @@ Each round lets every node point to its smallest neighbour, follows these pointe
 their ends and contracts the links to what remains, so a round at least halves the nodes
 that still have links. Every step is a shuffle join or a partial aggregation; nothing
 about the graph reaches the driver but counts.
+
+A node is any value that can be ordered. Nulls in links, loops and repeated links change nothing;
+without links the result is empty. Columns other than a and b are not read.
 """
 
 from __future__ import annotations
@@ -39,6 +42,6 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         found = scratch.keep(up, "components")
         made.append(found)
     if found is None:
-        return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        found = scratch.keep(links.select(F.col("a").alias("node"), F.col("b").alias("root")), "components")
     scratch.drop(*[t for t in made if t is not found])
     return found

@@ -6,12 +6,16 @@ fewer words, but not none, gives its whole sequence. The hashes of these windows
 every task as one sorted array with a bitmap before it; each hash hit is verified on the
 words themselves. Documents are scanned once, as read, without a shuffle.
 
-The windows are broadcast only while the benchmark's text is within ``BROADCAST_BYTES``,
-which is measured first. A larger benchmark is split into groups within that bound; the
-documents are scanned with each group in turn and the hits of a document are merged.
+The windows are broadcast only while the benchmark's text is within ``limit`` bytes, which
+is measured first. What is sent are arrays: about 60 bytes a word, 10 times the text at six
+bytes a word and at most 30 times where every word is a single letter. A larger benchmark is split into groups within
+that bound; the documents are scanned with each group in turn and the hits of a document are merged.
 
 Nulls and texts without words have no windows and are never hit; null item ids mark
-hits but are not listed. Repeated items and rows are allowed. Extra columns stay as they are.
+hits but are not listed; a null doc_id is kept. Repeated items hit alike and are listed once each;
+repeated rows of documents have a row each, so ties don't arise. Without items nothing is hit, and
+empty documents give no rows. Texts of any length are scanned whole, about a megabyte of text at a
+time. Extra columns, whatever their names, stay as they are in ``decontaminate`` and aren't read by ``find``.
 """
 
 from __future__ import annotations
@@ -23,38 +27,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .textvec import Words, slices, windows
+from .textvec import Words, mix, slices, windows
 
-BROADCAST_BYTES = 16 << 20
+BROADCAST_BYTES = 8 << 20
 BITMAP = 20
 FOUND = "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start:long,stop:long>>"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
 class Windows:
-    """Window hashes of benchmark items by length, with the words behind each hash."""
+    """The windows of benchmark items in arrays, by length: sorted hashes, one place of each window in the items' words, and its items.
+
+    With its words, a window takes about 60 bytes, however it is spelled.
+    """
 
     def __init__(self, items: list[tuple[object, str | None]], n: int):
-        self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.meaning: dict[tuple[int, int], dict[bytes, set[str]]] = {}
-        words = Words(pa.array([t for _, t in items], pa.string()))
-        hashes: dict[int, list[np.ndarray]] = {}
-        for i, (item, _) in enumerate(items):
-            first, count = int(words.first[i]), int(words.counts[i])
-            if not count:
-                continue
-            size = min(n, count)
-            own = windows(words.hash[first : first + count], size)
-            hashes.setdefault(size, []).append(own)
-            for j, h in enumerate(own.tolist()):
-                known = self.meaning.setdefault((size, h), {}).setdefault(spelled(words, first + j, size), set())
-                if item is not None:
-                    known.add(str(item))
-        for size, parts in hashes.items():
-            values = np.unique(np.concatenate(parts))
+        self.names = [None if i is None else str(i) for i, _ in items]
+        self.words = words = Words(pa.array([t for _, t in items], pa.string()))
+        self.by_length: dict[int, tuple[np.ndarray, ...]] = {}
+        item = np.repeat(np.arange(len(items)), words.counts)
+        sizes = np.minimum(n, words.counts)
+        for size in np.unique(sizes[words.counts > 0]).tolist():
+            place = np.arange(max(len(item) - size + 1, 0))
+            place = place[(sizes[item[place]] == size) & (place + size <= words.first[item[place] + 1])]
+            h, second = windows(words.hash, size)[place], windows(mix(words.hash), size)[place]
+            order = np.lexsort((place, second, h))
+            h, second, place = h[order], second[order], place[order]
+            new = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (second[1:] != second[:-1]))))
             bitmap = np.zeros(1 << BITMAP, bool)
-            bitmap[values >> np.uint64(64 - BITMAP)] = True
-            self.by_length[size] = values, bitmap
+            bitmap[h[new] >> np.uint64(64 - BITMAP)] = True
+            self.by_length[size] = bitmap, h[new], place[new], np.append(new, len(h)), item[place].astype(np.int32)
+        words.hash = words.begin = words.stop = None  # not needed to verify
 
     def scan(self, words: Words) -> tuple[np.ndarray, list[set[str]]]:
         """Flags of hit words, and the items found in each text."""
@@ -62,17 +65,21 @@ class Windows:
         depth = np.zeros(total + 1, np.int32)
         doc = np.repeat(np.arange(len(words.counts)), words.counts)
         items: list[set[str]] = [set() for _ in words.counts]
-        for size, (values, bitmap) in self.by_length.items():
+        for size, (bitmap, values, place, first, member) in self.by_length.items():
             h = windows(words.hash, size)
             maybe = np.flatnonzero(bitmap[h >> np.uint64(64 - BITMAP)])
             maybe = maybe[maybe + size <= words.first[doc[maybe] + 1]]
             at = np.searchsorted(values, h[maybe])
-            for i in maybe[values[np.minimum(at, len(values) - 1)] == h[maybe]].tolist():
-                found = self.meaning[size, int(h[i])].get(spelled(words, i, size))
-                if found is not None:
-                    depth[i] += 1
-                    depth[i + size] -= 1
-                    items[doc[i]] |= found
+            same = values[np.minimum(at, len(values) - 1)] == h[maybe]
+            for i, k in zip(maybe[same].tolist(), at[same].tolist()):
+                own = spelled(words, i, size)
+                while k < len(values) and values[k] == h[i]:
+                    if spelled(self.words, int(place[k]), size) == own:
+                        depth[i] += 1
+                        depth[i + size] -= 1
+                        items[doc[i]].update(x for m in member[first[k] : first[k + 1]] if (x := self.names[m]) is not None)
+                        break
+                    k += 1
         return np.cumsum(depth[:total]) > 0, items
 
 

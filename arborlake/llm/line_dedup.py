@@ -14,13 +14,16 @@ N - N // 2 characters are equal. Lines that share neither half with another line
 partner, and of the others only the half that isn't shared gives variants. This loses
 nothing.
 
-"Earliest" is by doc_id, then by the line's place; rows of one doc_id are equally early.
-Removal is decided against all lines, also those that are removed themselves. Lines of
-under ``LEAST`` characters, without the white space around them, always stay. Lines are
-compared without that white space.
-
-Nulls: a null text has no lines and stays null; a null doc_id is later than all others.
-Extra columns are not read by ``decide`` and kept by ``remove_lines``.
+"Earliest" is by doc_id, then by the line's place; lines that tie in both, of repeated rows,
+are equally early, and neither removes the other. Removal is decided against all lines, also those that
+are removed themselves. Lines of under ``least`` characters, without the blanks around them,
+always stay. Lines are compared without blanks (space, tab, vertical tab, form feed,
+carriage return) around them. ``edits`` is 1, or 0 for exact copies only.
+
+Nulls: a null text has no lines and stays null; a null doc_id is later than all others, and
+all null ones tie. An empty text or table stays as it is. Texts and lines may be of any length:
+a line of n characters gives up to n variants. Extra columns are not read by ``decide`` and
+kept by ``remove_lines``; only names that begin with two underscores are taken.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ from .scratch import Scratch
 from .textvec import constants, mix
 
 LEAST = 10
+BLANK = " \t\x0b\x0c\r"  # white space around a line that doesn't count
 LATE = (1 << 63) - 1
 _base = constants(1, 21)[0]
 
@@ -89,14 +93,26 @@ def within_one(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i:] == b[i + 1 :]
 
 
-def _lines(text: str | None) -> list[tuple[int, str]]:
-    return [(i, s) for i, x in enumerate(text.split("\n")) if len(s := x.strip()) >= LEAST] if text else []
+def _lines(text: str | None, least: int) -> list[tuple[int, str]]:
+    return [(i, s) for i, x in enumerate(text.split("\n")) if len(s := x.strip(BLANK)) >= least] if text else []
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, text): null ids come last."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LATE)).alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text"))
+
+
+def _wanted(docs: DataFrame, lines: DataFrame, *columns: str) -> DataFrame:
+    """(doc_id, text, wanted): one of the rows of each doc_id and text in ``lines``, with its wanted lines, at most those it has."""
+    key = ["doc_id", "text_hash"]
+    wanted = lines.groupBy(*key).agg(F.collect_set(F.struct("line", *columns)).alias("wanted"))
+    return _keyed(docs).join(wanted, key).groupBy(*key).agg(F.first("text").alias("text"), F.first("wanted").alias("wanted"))
 
 
 OCCURS = "doc_id long, text_hash long, line int, h1 long, h2 long, halves array<long>"
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
+def occurrences(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Every line that counts: its document, place, 128-bit hash and the keys of its halves."""
 
     def run(batches):
@@ -105,7 +121,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for doc, tag, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                for i, s in _lines(text.as_py()):
+                for i, s in _lines(text.as_py(), least):
                     raw = s.encode()
                     out.append((doc, tag, i, _h(raw, 1), _h(raw, 2), halves(s)))
                     if len(out) == 8192:
@@ -114,69 +130,81 @@ def occurrences(docs: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LATE)), F.xxhash64("text"), F.col("text").cast("string")).mapInArrow(run, OCCURS)
+    return _keyed(docs).mapInArrow(run, OCCURS)
 
 
 def _neighbours(docs: DataFrame, active: DataFrame) -> DataFrame:
-    """(hash, place, doc_id, line): variants of the lines in ``active`` (doc_id, line, sides), each read from its document."""
-    wanted = active.groupBy("doc_id").agg(F.collect_list(F.struct("line", "sides", "h1")).alias("wanted"))
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LATE)).alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted, "doc_id")
+    """(hash, place, doc_id, text_hash, line): variants of the lines in ``active`` (doc_id, text_hash, line, sides), each read from its document."""
+    names = ["hash", "place", "doc_id", "text_hash", "line"]
 
     def run(batches):
         for batch in batches:
             held, size = [], 0
-            for doc, text, lines in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            for doc, tag, text, lines in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
                 parts = (text.as_py() or "").split("\n")
                 for w in lines.as_py():
-                    s = parts[w["line"]].strip() if w["line"] < len(parts) else ""
-                    if len(s) < LEAST or _h(s.encode(), 1) != w["h1"]:
-                        continue  # another row of this doc_id
-                    h, p = variants(s, w["sides"])
-                    held.append((h, p, np.full(len(h), doc), np.full(len(h), w["line"], np.int32)))
+                    h, p = variants(parts[w["line"]].strip(BLANK), w["sides"])
+                    held.append((h, p, np.full(len(h), doc), np.full(len(h), tag), np.full(len(h), w["line"], np.int32)))
                     size += len(h)
                     if size >= 1 << 16:
-                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], ["hash", "place", "doc_id", "line"])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names)
                         held, size = [], 0
             if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], ["hash", "place", "doc_id", "line"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names)
 
-    return texts.select("doc_id", "text", "wanted").mapInArrow(run, "hash long, place int, doc_id long, line int")
+    return _wanted(docs, active, "sides").select("doc_id", "text_hash", "text", "wanted").mapInArrow(run, "hash long, place int, doc_id long, text_hash long, line int")
 
 
 def _texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(doc_id, line, h1, s) of given first occurrences (doc_id, line, h1)."""
-    wanted = lines.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("line", "h1")).alias("wanted"))
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LATE)).alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted, "doc_id")
+    """(doc_id, text_hash, line, s) of given first occurrences (doc_id, text_hash, line)."""
 
     def run(batches):
         for batch in batches:
             out = []
-            for doc, text, lines in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            for doc, tag, text, lines in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
                 parts = (text.as_py() or "").split("\n")
-                for w in lines.as_py():
-                    s = parts[w["line"]].strip() if w["line"] < len(parts) else ""
-                    if _h(s.encode(), 1) == w["h1"]:
-                        out.append((doc, w["line"], s))
+                out += [(doc, tag, w["line"], parts[w["line"]].strip(BLANK)) for w in lines.as_py()]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int64(), pa.int32(), pa.string()])], ["doc_id", "line", "s"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int64(), pa.int64(), pa.int32(), pa.string()])], ["doc_id", "text_hash", "line", "s"])
 
-    return texts.select("doc_id", "text", "wanted").mapInArrow(run, "doc_id long, line int, s string")
+    return _wanted(docs, lines).select("doc_id", "text_hash", "text", "wanted").mapInArrow(run, "doc_id long, text_hash long, line int, s string")
 
 
-def decide(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, lines, removed): per row key, how many lines count and the places of those to remove."""
+def decide(docs: DataFrame, least: int = LEAST, edits: int = 1) -> DataFrame:
+    """(doc_id, text_hash, lines, removed): per doc_id and text, how many lines count and the places of those to remove."""
+    if edits not in (0, 1):
+        raise ValueError("the bound is 0 or 1 edits")
     scratch = Scratch(docs.sparkSession, "line-dedup")
-    found = scratch.keep(occurrences(docs), "lines")
-    at = F.struct("doc_id", "line")
+    found = scratch.keep(occurrences(docs, least), "lines")
+    # the first occurrence of a line; the text's hash tells rows of one doc_id apart and decides nothing
+    at = F.struct("doc_id", "line", "text_hash")
     classes = found.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.first("halves").alias("halves"))
-    classes = scratch.keep(classes.select("h1", "h2", F.col("first.doc_id").alias("doc_id"), F.col("first.line").alias("line"), "halves"), "classes")
+    key = ["doc_id", "text_hash", "line"]
+    classes = scratch.keep(classes.select("h1", "h2", *[F.col(f"first.{c}").alias(c) for c in key], "halves"), "classes")
+    heads = classes.withColumn("gone", F.lit(False))
+    if edits:
+        gone = _gone(docs, classes, scratch).withColumn("gone", F.lit(True))
+        heads = classes.join(gone, key, "left").withColumn("gone", F.coalesce("gone", F.lit(False)))
+    heads = heads.select("h1", "h2", F.struct("doc_id", "line").alias("first"), "gone")
+    each = found.select("doc_id", "text_hash", "line", "h1", "h2").join(heads, ["h1", "h2"])
+    drop = F.col("gone") | (F.struct("doc_id", "line") > F.col("first"))
+    out = each.groupBy("doc_id", "text_hash").agg(F.collect_set(F.when(drop, F.col("line"))).alias("removed"), F.count_distinct("line").cast("long").alias("lines"))
+    out = scratch.keep(out, "decided")
+    scratch.drop(found, classes)
+    return out
 
-    keys = classes.select("doc_id", "line", "h1", F.posexplode("halves").alias("side", "key"))
+
+def _gone(docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, text_hash, line) of the classes with an earlier line within one edit."""
+    key = ["doc_id", "text_hash", "line"]
+    at = F.struct("doc_id", "line", "text_hash")
+    keys = classes.select(*key, F.posexplode("halves").alias("side", "key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     # a shared first half (side 0) leaves edits to the last one, and the other way round
-    active = keys.join(shared, "key").groupBy("doc_id", "line", "h1").agg(F.bit_or(F.when(F.col("side") % 2 == 0, 1).otherwise(2)).alias("sides"))
+    active = keys.join(shared, "key").groupBy(*key).agg(F.bit_or(F.when(F.col("side") % 2 == 0, 1).otherwise(2)).alias("sides"))
     # one shuffle of the variants serves both sides of this join; few hashes are met twice
-    near = scratch.keep(_neighbours(docs, active), "variants").repartition("hash")
+    every = scratch.keep(_neighbours(docs, active), "variants")
+    near = every.repartition("hash")
     twice = near.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     near = scratch.keep(near.join(twice, "hash"), "met")
     place = near.groupBy("hash", "place").agg(F.min(at).alias("low"))
@@ -184,35 +212,31 @@ def decide(docs: DataFrame) -> DataFrame:
     meet = near.groupBy("hash").agg(F.min(F.when(F.col("place") < 0, at)).alias("whole"), F.min(F.when(F.col("place") >= 0, at)).alias("less"))
     met = near.join(meet, "hash").join(place, ["hash", "place"])
     earlier = F.when(F.col("place") < 0, F.col("less")).otherwise(F.least("low", F.col("whole")))
-    pairs = met.select("doc_id", "line", earlier.alias("to")).where(F.col("to") < at).groupBy("doc_id", "line").agg(F.min("to").alias("to"))
-    pairs = scratch.keep(pairs.select("doc_id", "line", F.col("to.doc_id").alias("to_doc"), F.col("to.line").alias("to_line")), "pairs")
-    heads = classes.select("doc_id", "line", "h1")
-    both = pairs.select("doc_id", "line").unionByName(pairs.select(F.col("to_doc").alias("doc_id"), F.col("to_line").alias("line"))).join(heads, ["doc_id", "line"])
+    pairs = met.select(*key, earlier.alias("to")).where(F.struct("to.doc_id", "to.line") < F.struct("doc_id", "line")).groupBy(*key).agg(F.min("to").alias("to"))
+    pairs = scratch.keep(pairs.select(*key, *[F.col(f"to.{c}").alias(f"to_{c}") for c in key]), "pairs")
+    both = pairs.select(*key).unionByName(pairs.select(*[F.col(f"to_{c}").alias(c) for c in key]))
     texts = scratch.keep(_texts(docs, both), "texts")
-    a = texts.withColumnRenamed("s", "a")
-    b = texts.select(F.col("doc_id").alias("to_doc"), F.col("line").alias("to_line"), F.col("s").alias("b"))
+    a, b = texts.withColumnRenamed("s", "a"), texts.select(*[F.col(c).alias(f"to_{c}") for c in key], F.col("s").alias("b"))
 
     def verify(batches):
         for batch in batches:
             good = [within_one(x, y) for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())]
-            yield batch.select(["doc_id", "line"]).filter(pa.array(good, pa.bool_()))
+            yield batch.select(key).filter(pa.array(good, pa.bool_()))
 
-    gone = pairs.join(a, ["doc_id", "line"]).join(b, ["to_doc", "to_line"]).select("doc_id", "line", "a", "b").mapInArrow(verify, "doc_id long, line int").distinct()
-    heads = classes.join(gone.withColumn("gone", F.lit(True)), ["doc_id", "line"], "left")
-    heads = heads.select("h1", "h2", at.alias("first"), F.coalesce("gone", F.lit(False)).alias("gone"))
-    each = found.select("doc_id", "text_hash", "line", "h1", "h2").join(heads, ["h1", "h2"])
-    drop = F.col("gone") | (F.struct("doc_id", "line") > F.col("first"))
-    return each.groupBy("doc_id", "text_hash").agg(F.collect_set(F.when(drop, F.col("line"))).alias("removed"), F.count_distinct("line").cast("long").alias("lines"))
+    gone = pairs.join(a, key).join(b, [f"to_{c}" for c in key]).select(*key, "a", "b").mapInArrow(verify, "doc_id long, text_hash long, line int").distinct()
+    gone = scratch.keep(gone, "gone")
+    scratch.drop(every, near, pairs, texts)
+    return gone
 
 
-def remove_lines(docs: DataFrame) -> DataFrame:
+def remove_lines(docs: DataFrame, least: int = LEAST, edits: int = 1) -> DataFrame:
     """``docs`` with all its columns and the repeated lines taken out of the texts; two columns follow, __lines and __removed."""
-    held = decide(docs).withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash", "lines": "__lines"})
-    left = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(LATE)), "__hash": F.xxhash64("text")})
+    held = decide(docs, least, edits).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("lines").alias("__lines"), F.col("removed").alias("__drop"))
+    left = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(LATE)), "__hash": F.xxhash64(F.col("text").cast("string"))})
     out = left.join(held, ["__id", "__hash"], "left")
-    parts = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(F.coalesce("removed", F.array().cast("array<int>")), i))
-    text = F.when(F.coalesce(F.size("removed"), F.lit(0)) > 0, F.array_join(parts, "\n")).otherwise(F.col("text"))
-    return out.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns], F.coalesce("__lines", F.lit(0)).alias("__lines"), F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("__removed"))
+    parts = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(F.coalesce("__drop", F.array().cast("array<int>")), i))
+    text = F.when(F.coalesce(F.size("__drop"), F.lit(0)) > 0, F.array_join(parts, "\n")).otherwise(F.col("text"))
+    return out.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns], F.coalesce("__lines", F.lit(0)).alias("__lines"), F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("__removed"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ similarity of their full sets is at least ``percent`` / 100, decided in integers
    shares most keys with others. Then, for keys whose members still are in more than one
    component: of keys of up to ``SMALL`` members all pairs whose components differ, a number
    linear in the rows; of larger keys, everyone outside the largest component against all
-   members, in blocks of ``BLOCK`` by ``BLOCK`` within a task, which put out only pairs that
+   members, in blocks of ``BLOCK`` by ``BLOCK`` within a task (fewer where sets are large), which put out only pairs that
    come near the threshold. A pair that shares several keys is looked at under the first
    one. No candidate is dropped, whatever the size of its key.
 
@@ -22,11 +22,15 @@ With the defaults, a pair at exactly 0.8 shares no key with probability 2e-6. Of
 candidates, those whose signatures differ in over ``FAR`` places are not checked: at 0.8
 this has probability 1e-7.
 
+``FAR`` and the number of chunks set what may be lost; the README has the recall measured on planted
+pairs. Texts of any length are hashed whole, about a megabyte of text at a time.
+
 Nulls: a null text, or one without words, is an empty set, linked with nothing. To
 ``links_of``, a null doc_id is linked with nothing and kept, and rows of one doc_id count as
 one document, whose links are those of all its rows. To ``keep_first`` each row is a
-document, whatever its doc_id. Extra columns are ignored by ``links_of`` and kept by
-``keep_first``.
+document, whatever its doc_id. A similarity of exactly the threshold links. Repeated rows have
+a row each and are one class. Empty tables give no rows. Extra columns, whatever their names, are
+ignored by ``links_of`` and kept by ``keep_first``, except names that begin with two underscores.
 """
 
 from __future__ import annotations
@@ -41,6 +45,8 @@ from .scratch import Scratch
 from .textvec import ALNUM, NONSPACE, Words, constants, mix, shingle_sets, slices
 
 CHUNKS, WIDTH, FAR, SMALL, BLOCK = 10, 5, 27, 16, 512
+#: Shingles of a block's member, on average, that count as one member / columns of a table of shared items.
+MEMBER, ITEMS = 4096, 4096
 PLACES = CHUNKS * WIDTH
 _xor, _times = constants(PLACES, 5), constants(PLACES, 6)
 
@@ -189,18 +195,25 @@ def first_shared(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shared_items(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of all pairs of sets, over the items that occur on both sides."""
+    """Sizes of the intersections of all pairs of sets, over the items that occur on both sides, ``ITEMS`` of these at a time."""
     items = np.intersect1d(np.concatenate(x), np.concatenate(y))
 
-    def table(sets: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros((len(sets), len(items)), np.float32)
-        for i, v in enumerate(sets):
-            at = np.searchsorted(items, v)
-            at = at[items[np.minimum(at, len(items) - 1)] == v] if len(items) else at[:0]
-            out[i, at] = 1
+    def places(v: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(items, v)
+        return at[items[np.minimum(at, len(items) - 1)] == v] if len(items) else at[:0]
+
+    def table(sets: list[np.ndarray], low: int) -> np.ndarray:
+        out = np.zeros((len(sets), ITEMS), np.float32)
+        for i, at in enumerate(sets):
+            a, b = np.searchsorted(at, (low, low + ITEMS))
+            out[i, at[a:b] - low] = 1
         return out
 
-    return table(x) @ table(y).T
+    x, y = ([places(v) for v in sets] for sets in (x, y))
+    both = np.zeros((len(x), len(y)))
+    for low in range(0, len(items), ITEMS):
+        both += table(x, low) @ table(y, low).T
+    return both
 
 
 def _block_pairs(left: list, right: list, place: int, percent: int) -> list[tuple[int, int]]:
@@ -222,16 +235,18 @@ def _block_pairs(left: list, right: list, place: int, percent: int) -> list[tupl
     return out
 
 
-def _blocks(many: DataFrame, sets: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
+def _blocks(many: DataFrame, sets: DataFrame, sig: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of members (key, place, n, rep, comp) of large keys, those outside the key's largest component against all."""
-    top = many.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), (F.sum("c") - F.max("c")).alias("out"))
+    top = many.join(sizes, "rep").groupBy("key", "comp").agg(F.count("*").alias("c"), (F.sum("n_shingles") / MEMBER).alias("s"))
+    first = F.struct("c", "comp")
+    top = top.groupBy("key").agg(F.max_by("comp", first).alias("top"), F.greatest(F.sum("c") - F.max("c"), F.sum("s") - F.max_by("s", first)).alias("out"), F.greatest(F.sum("c"), F.sum("s")).alias("all"))
     many = many.join(top, "key")
     cell = F.pmod(F.xxhash64("rep"), F.lit(1 << 30))
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     mine = lambda n: (cell % blocks(F.col(n))).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), blocks(F.col(n)) - 1))
-    outer = many.where("comp <> top").select("key", "place", "rep", "comp", mine("out").alias("x"), every("n").alias("y"), F.lit(0).alias("side"))
-    inner = many.select("key", "place", "rep", "comp", every("out").alias("x"), mine("n").alias("y"), F.lit(1).alias("side"))
+    outer = many.where("comp <> top").select("key", "place", "rep", "comp", mine("out").alias("x"), every("all").alias("y"), F.lit(0).alias("side"))
+    inner = many.select("key", "place", "rep", "comp", every("out").alias("x"), mine("all").alias("y"), F.lit(1).alias("side"))
 
     def small(batches):
         for batch in batches:
@@ -283,13 +298,15 @@ def links_of(docs: DataFrame, words: np.ndarray = ALNUM, size: int = 5, percent:
 
     left = scratch.keep(_open(run.placed(members.drop("weight"))), "open")
     few = left.where(F.col("n") <= small)
-    near = _blocks(left.where(F.col("n") > small), run.sets, classes.select("rep", "sig"), percent)
+    near = _blocks(left.where(F.col("n") > small), run.sets, classes.select("rep", "sig"), classes.select("rep", "n_shingles"), percent)
     run.check(_cross(few, few).unionByName(near))
 
     # rows of one doc_id but different sets are one document
     same = full.join(classes.select("n_shingles", "h1", "h2", "rep"), ["n_shingles", "h1", "h2"]).select("doc_id", "rep")
     links = run.links.unionByName(same.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
-    found = components(links, scratch).withColumnsRenamed({"node": "doc_id", "root": "component_id"})
+    roots = components(links, scratch)
+    scratch.only(rows, roots)
+    found = roots.withColumnsRenamed({"node": "doc_id", "root": "component_id"})
     out = rows.select("doc_id", "n_shingles").join(found, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 

@@ -10,15 +10,16 @@ Shares are integers, exact in decimal arithmetic and rounded down.
 A leaf then takes a prefix of its tokens from seeded epochs. In each epoch its documents
 stand in an order given by a hash of seed, epoch and id; whole documents are taken while
 the budget lasts, that is, while the tokens before a document are less than the budget.
-To place the budget's end, a leaf's documents are first counted by hash bin; the order
-within a bin matters in the one bin where the budget ends. So no leaf, however large, is
-sorted or gathered in one task: the number of bins follows the number of documents.
+To place the budget's end, a leaf's documents are first counted by the first digits of their
+hash, in ``BIN`` bins, then those of the one bin where the budget ends by the digits that
+follow. Only the documents of the bin of a bin that is left are sorted: of ten billion
+documents of a leaf, about 600. So no leaf is sorted or gathered in one task.
 
 Nulls: a null domain, language or source is a value of its own, "". A null text has no
 tokens and, like every document without tokens, is never selected. Ties in the order are
-broken by id; equal rows are taken together or one after the other. A weight that isn't
-listed is ``other_weight``. An empty table gives no rows.
-Extra columns are kept, and may have any names but those that begin with ``__mix_``.
+broken by id; equal rows and rows of one id are taken together. A weight that isn't
+listed is ``other_weight``. An empty table gives no rows. A text of any length is one document
+and taken whole. Extra columns are kept, and may have any names but those that begin with ``__mix_``.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
-#: Documents in a bin, on average.
-BIN = 256
+#: Bins of a level, and levels: a leaf's documents are split into 4096 bins, and one of them again.
+BIN, LEVELS = 4096, 2
 #: A token: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -93,36 +94,46 @@ def mix(docs: DataFrame, weights: dict[str, dict], fraction: float = 1.0, epochs
     base = base.withColumn("__mix_key", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     # what decides is small: one row a document without its text
     slim = scratch.keep(base.select(*leaf, "__mix_tokens", "__mix_key"), "tokens").where("__mix_tokens > 0")
-    leaves = slim.groupBy(*leaf).agg(F.sum("__mix_tokens").alias("tokens"), F.count("*").alias("rows")).toDF("domain", "lang", "source", "tokens", "rows")
+    leaves = slim.groupBy(*leaf).agg(F.sum("__mix_tokens").alias("tokens")).toDF("domain", "lang", "source", "tokens")
     leaves = scratch.keep(leaves, "leaves")
-    whole, rows = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
-    budget = scratch.keep(budgets(leaves.drop("rows"), weights, int(whole * fraction), epochs), "budgets")
-    budget = budget.select(F.col("domain").alias(leaf[0]), F.col("lang").alias(leaf[1]), F.col("source").alias(leaf[2]), F.col("tokens").alias("__mix_leaf"), F.col("budget").alias("__mix_budget"))
-    bins = max(1, min(1 << 30, rows // BIN))
+    whole = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    given = scratch.keep(budgets(leaves, weights, int(whole * fraction), epochs), "budgets")
+    budget = given.select(F.col("domain").alias(leaf[0]), F.col("lang").alias(leaf[1]), F.col("source").alias(leaf[2]), F.col("tokens").alias("__mix_leaf"), F.col("budget").alias("__mix_budget"))
 
     def placed(df: DataFrame) -> DataFrame:
-        """Every document in every epoch that its leaf's budget reaches, with its hash and bin."""
+        """Every document in every epoch that its leaf's budget reaches, with its hash and its bin of each level."""
         out = df.join(budget, leaf).where("__mix_budget > 0")
         out = out.withColumn("__mix_epoch", F.explode(F.expr("sequence(0L, (__mix_budget - 1) div __mix_leaf)")))
         out = out.withColumn("__mix_hash", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__mix_epoch").cast("string"), F.col("__mix_key"))))
-        return out.withColumn("__mix_bin", F.floor(F.conv(F.substring("__mix_hash", 1, 8), 16, 10).cast("long") * bins / F.lit(1 << 32)))
+        left = F.conv(F.substring("__mix_hash", 1, 8), 16, 10).cast("long") * BIN
+        for i in range(LEVELS):
+            out = out.withColumn(f"__mix_bin{i}", F.floor(left / F.lit(1 << 32)))
+            left = (left % F.lit(1 << 32)) * BIN
+        return out
 
     slim = placed(slim)
-    binned = slim.groupBy(*leaf, "__mix_epoch", "__mix_bin").agg(F.sum("__mix_tokens").alias("__mix_sum"), F.first("__mix_budget").alias("__mix_budget"), F.first("__mix_leaf").alias("__mix_leaf"))
-    order = Window.partitionBy(*leaf, "__mix_epoch").orderBy("__mix_bin").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.col("__mix_epoch") * F.col("__mix_leaf") + F.coalesce(F.sum("__mix_sum").over(order), F.lit(0))
-    binned = binned.withColumn("__mix_first", first)
-    end = scratch.keep(binned.where("__mix_first < __mix_budget AND __mix_first + __mix_sum >= __mix_budget").select(*leaf, "__mix_epoch", "__mix_bin", "__mix_first"), "ends")
+    # per level, the bin of each leaf where the budget ends, and the tokens before it
+    known = [*leaf, "__mix_epoch"]
+    end, begin = None, F.col("__mix_epoch") * F.col("__mix_leaf")
+    for i in range(LEVELS):
+        within = slim if end is None else slim.join(end, known)
+        first = [] if end is None else [F.first("__mix_first").alias("__mix_from")]
+        binned = within.groupBy(*known, f"__mix_bin{i}").agg(F.sum("__mix_tokens").alias("__mix_sum"), F.first("__mix_budget").alias("__mix_budget"), F.first("__mix_leaf").alias("__mix_leaf"), *first)
+        order = Window.partitionBy(*known).orderBy(f"__mix_bin{i}").rowsBetween(Window.unboundedPreceding, -1)
+        binned = binned.withColumn("__mix_first", (begin if end is None else F.col("__mix_from")) + F.coalesce(F.sum("__mix_sum").over(order), F.lit(0)))
+        known = [*known, f"__mix_bin{i}"]
+        end = scratch.keep(binned.where("__mix_first < __mix_budget AND __mix_first + __mix_sum >= __mix_budget").select(*known, "__mix_first"), "ends")
     # in the bin where the budget ends: tokens up to each key
     inner = Window.partitionBy(*leaf).orderBy("__mix_hash", "__mix_key").rowsBetween(Window.unboundedPreceding, -1)
-    last = slim.join(end, [*leaf, "__mix_epoch", "__mix_bin"]).groupBy(*leaf, "__mix_epoch", "__mix_bin", "__mix_hash", "__mix_key").agg(F.sum("__mix_tokens").alias("t"), F.first("__mix_first").alias("__mix_first"), F.first("__mix_budget").alias("__mix_budget"))
+    last = slim.join(end, known).groupBy(*leaf, "__mix_epoch", "__mix_hash", "__mix_key").agg(F.sum("__mix_tokens").alias("t"), F.first("__mix_first").alias("__mix_first"), F.first("__mix_budget").alias("__mix_budget"))
     last = last.withColumn("before", F.col("__mix_first") + F.coalesce(F.sum("t").over(inner), F.lit(0))).where("before < __mix_budget")
-    cut = scratch.keep(last.groupBy(*leaf).agg(F.max(F.struct("__mix_epoch", "__mix_bin", "__mix_hash", "__mix_key")).alias("__mix_cut")), "cuts")
+    cut = scratch.keep(last.groupBy(*leaf).agg(F.max(F.struct("__mix_epoch", "__mix_hash", "__mix_key")).alias("__mix_cut")), "cuts")
 
+    scratch.only(given, cut)
     # the tokens themselves aren't needed again: a filter on them would count them twice
     out = placed(base.where(F.coalesce(F.col("text").cast("string").rlike(WORD), F.lit(False)))).join(cut, leaf)
-    taken = F.struct("__mix_epoch", "__mix_bin", "__mix_hash", "__mix_key") <= F.col("__mix_cut")
-    return out.where(taken).drop("__mix_cut", "__mix_hash", "__mix_bin", "__mix_leaf", "__mix_key", "__mix_lang", "__mix_source")
+    taken = F.struct("__mix_epoch", "__mix_hash", "__mix_key") <= F.col("__mix_cut")
+    return out.where(taken).drop("__mix_cut", "__mix_hash", *[f"__mix_bin{i}" for i in range(LEVELS)], "__mix_leaf", "__mix_key", "__mix_lang", "__mix_source")
 
 
 #: The production targets: relative weights by level; all else weighs ``other_weight``.

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from .line_dedup import LEAST
 from .mixing import WEIGHTS
-from .url_filter import DAMPING, ITERATIONS, LOWER, RULES, UPPER
+from .url_filter import DAMPING, LOWER, RULES, TIE, UPPER, steps_of
 
 
 def _words(column: str, word: str) -> str:
@@ -100,21 +100,11 @@ FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN roots ON node = d.doc_id
 """
 
 
-def _ranked(name: str, source: str, target: str, verdict: str) -> str:
-    """Common table expressions up to ``name`` (host, score) after all iterations, from the seeds of one verdict."""
-    seeds = f"SELECT DISTINCT rule_host AS host, 1.0::DOUBLE / (SELECT count(DISTINCT rule_host) FROM rules WHERE verdict = '{verdict}') AS score FROM rules WHERE verdict = '{verdict}'"
-    out = [f"{name}_share AS MATERIALIZED (SELECT {source} AS src, {target} AS dst, n / sum(n) OVER (PARTITION BY {source}) AS share FROM edges)", f"{name}_0 AS ({seeds})"]
-    for i in range(ITERATIONS):
-        at = name if i == ITERATIONS - 1 else f"{name}_{i + 1}"
-        out.append(f"{at} AS MATERIALIZED (SELECT host, sum(score) AS score FROM (SELECT dst AS host, {DAMPING}::DOUBLE * sum(score * share) AS score FROM {name}_{i} JOIN {name}_share ON src = host GROUP BY dst UNION ALL SELECT host, (1 - {DAMPING}::DOUBLE) * score FROM {name}_0) GROUP BY host)")
-    return ",\n".join(out)
-
-
 _LINK = r"""(?i)(?:href|src)\s*=\s*["'']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\s<>]+)"""
 _LOWER = f"'{UPPER}', '{LOWER}'"
 
 URLS = rf"""
-WITH rules(verdict, rule_host, rule_path) AS (VALUES {", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)}),
+WITH RECURSIVE rules(verdict, rule_host, rule_path) AS (VALUES {", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)}),
 cut AS (SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
 p AS (SELECT page_id, html, translate(h, {_LOWER}) AS host, regexp_extract(substr(rest, length(h) + 1), '^[^?#]*') AS path FROM (SELECT *, regexp_extract(rest, '^[^/?#]*') AS h FROM cut)),
 hosts AS (SELECT DISTINCT host FROM p WHERE host <> ''),
@@ -122,11 +112,15 @@ domains AS (SELECT DISTINCT host, array_to_string(labels[i:len(labels)], '.') AS
 parents AS (SELECT DISTINCT domain AS src, regexp_replace(domain, '^[^.]*\.', '') AS dst FROM domains WHERE contains(domain, '.')),
 linked AS (SELECT host AS src, translate(unnest(regexp_extract_all(coalesce(html, ''), '{_LINK}', 1)), {_LOWER}) AS dst FROM p),
 edges AS MATERIALIZED (SELECT src, dst, sum(n) AS n FROM (SELECT src, dst, 1.0::DOUBLE AS n FROM linked WHERE src <> '' AND dst <> '' AND src <> dst UNION ALL SELECT src, dst, 1.0 FROM parents UNION ALL SELECT dst, src, 1.0 FROM parents) GROUP BY src, dst),
-{_ranked("trust", "src", "dst", "allow")},
-{_ranked("distrust", "dst", "src", "block")},
-fit AS (SELECT page_id, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule, max_by(verdict, length(rule_host || rule_path)) AS verdict FROM p JOIN domains USING (host) JOIN rules ON rule_host = domain AND starts_with(path, rule_path) GROUP BY page_id)
-SELECT page_id, p.host, path, rule, coalesce(fit.verdict, CASE WHEN coalesce(distrust.score, 0) > coalesce(trust.score, 0) THEN 'block' ELSE 'allow' END) AS verdict, round(coalesce(trust.score, 0), 9) AS trust, round(coalesce(distrust.score, 0), 9) AS distrust
-FROM p LEFT JOIN fit USING (page_id) LEFT JOIN trust ON trust.host = p.host AND p.host <> '' LEFT JOIN distrust ON distrust.host = p.host AND p.host <> ''
+steps AS MATERIALIZED (SELECT 'trust' AS side, src, dst, n / sum(n) OVER (PARTITION BY src) AS share FROM edges UNION ALL SELECT 'distrust', dst, src, n / sum(n) OVER (PARTITION BY dst) FROM edges),
+fit AS MATERIALIZED (SELECT page_id, any_value(host) AS host, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule, max_by(verdict, length(rule_host || rule_path)) AS verdict FROM p JOIN domains USING (host) JOIN rules ON rule_host = domain AND starts_with(path, rule_path) GROUP BY page_id),
+seeds AS MATERIALIZED (SELECT CASE verdict WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS side, host, count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM fit) AS weight FROM fit GROUP BY ALL),
+walk AS (SELECT 0 AS i, side, host, weight AS left_over FROM seeds UNION ALL SELECT i + 1, walk.side, dst, sum({DAMPING}::DOUBLE * left_over * share) FROM walk JOIN steps ON steps.side = walk.side AND src = host WHERE i < {steps_of()} GROUP BY ALL),
+raw AS (SELECT side, host, sum(CASE WHEN i < {steps_of()} THEN (1 - {DAMPING}::DOUBLE) * left_over ELSE left_over END) AS score FROM walk GROUP BY ALL),
+scores AS (SELECT side, host, score * (SELECT sum(weight) FROM seeds s WHERE s.side = raw.side) / sum(score) OVER (PARTITION BY side) AS score FROM raw),
+known AS (SELECT host, coalesce(sum(score) FILTER (side = 'trust'), 0) AS trust, coalesce(sum(score) FILTER (side = 'distrust'), 0) AS distrust FROM scores GROUP BY host),
+page AS (SELECT p.page_id, p.host, p.path, fit.rule, fit.verdict, coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust FROM p LEFT JOIN fit USING (page_id) LEFT JOIN known ON known.host = p.host AND p.host <> '')
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN distrust - trust > {TIE}::DOUBLE * greatest(distrust, trust) THEN 'block' ELSE 'allow' END) AS verdict, round(trust, 9) AS trust, round(distrust, 9) AS distrust FROM page
 """
 
 SQL = {"op2_line_dedup": LINES, "op3_decontaminate": LEAKS, "op4_mixing": MIXED, "op5_embed_dedup": VECTORS, "op8_url_filter": URLS, "op9_minhash": NEAR}

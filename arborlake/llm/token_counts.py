@@ -7,12 +7,18 @@ characters: only the leaves it touches, with one leaf of context on either side,
 encoded again; then the sums on the way to the root change. The count always equals
 that of encoding the whole edited text.
 
-Edits of a document are applied in order; offsets are code points of the text as the
-edits before left it, and are clipped to its length.
+The trees are kept: ``trees_of`` gives a table of texts with the tokens of each leaf, which is
+written once; ``applied`` reads it and encodes only what edits touch, and its ``renewed`` table
+is what the next edits start from. The sums above the leaves follow from them by additions.
+
+Edits of a document are applied in order of seq, those of one seq by position, length and
+replacement; offsets are code points of the text as the edits before left it, and are clipped to its length.
 
 Nulls: a null text is empty; a null position is 0, a null length 0, a null replacement
-empty. Documents without edits keep their count; edits of unknown documents are ignored.
-Repeated ids: every row gets the edits of its id. Extra columns are not read.
+empty, a null seq comes first; edits of a null doc_id are ignored, and such documents are kept as they are.
+Documents without edits keep their count; edits of unknown documents are ignored.
+Repeated ids and rows: every row gets the edits of its id. Empty tables give no rows. A text
+of any length has one tree, in the memory of one task. Extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,11 +30,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scratch import Scratch
+from .textvec import slices
 from .tokenize import default_vocabulary, encoder
 
 _CUT = re.compile(r" (?=\S)")
+TREES = "doc_id long, text string, sizes array<int>"
 COUNTED = "doc_id long, n_tokens long, n_tokens_after long, n_edits long, n_encoded_chars long, n_chars_after long"
 
+_APPLIED = "doc_id long, tag long, copies long, n_tokens long, n_tokens_after long, n_edits long, n_encoded_chars long, n_chars_after long, text string, sizes array<int>"
+_KINDS = pa.schema([*((x.split(" ")[0], pa.int64()) for x in _APPLIED.split(", ")[:8]), ("text", pa.string()), ("sizes", pa.list_(pa.int32()))])
+
 
 def leaves_of(text: str) -> list[str]:
     """Parts of a text that encode by themselves; they join to the text."""
@@ -41,10 +53,11 @@ class TokenTree:
 
     BLOCK = 64
 
-    def __init__(self, text: str, count):
+    def __init__(self, text: str, count, sizes: list[int] | None = None):
+        """``sizes``: tokens of each leaf, if they are known; else all leaves are encoded."""
         self.count = count
         parts = leaves_of(text)
-        sizes = count(parts)
+        sizes = count(parts) if sizes is None else sizes
         step = self.BLOCK
         self.blocks = [(parts[i : i + step], sizes[i : i + step]) for i in range(0, len(parts), step)] or [([], [])]
         self._build()
@@ -66,6 +79,14 @@ class TokenTree:
     def chars(self) -> int:
         return int(self.levels[-1][0, 0])
 
+    @property
+    def text(self) -> str:
+        return "".join(p for parts, _ in self.blocks for p in parts)
+
+    @property
+    def sizes(self) -> list[int]:
+        return [n for _, sizes in self.blocks for n in sizes]
+
     def _find(self, at: int) -> tuple[int, int]:
         """The block that holds character ``at``, and the block's first character."""
         i, before = 0, 0
@@ -128,35 +149,103 @@ class TokenTree:
             i //= 2
 
 
-def recount(docs: DataFrame, edits: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """Per row of ``docs``: tokens before and after its edits (doc_id, seq, at, length, replacement), and the characters encoded again."""
+def trees_of(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """(doc_id, text, sizes): per row of ``docs`` its text and the tokens of each leaf, to be written and kept; this is the one time that whole texts are encoded."""
     vocabulary = vocabulary or default_vocabulary()
-    change = F.struct("seq", "at", "length", "replacement")
-    per = edits.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("seq").cast("long"), F.coalesce(F.col("at"), F.lit(0)).cast("long").alias("at"), F.coalesce(F.col("length"), F.lit(0)).cast("long").alias("length"), F.coalesce("replacement", F.lit("")).alias("replacement")).groupBy("doc_id").agg(F.array_sort(F.collect_list(change)).alias("edits"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(per, "doc_id", "left")
-    return _counted(rows, vocabulary)
 
+    def run(batches):
+        code = encoder(vocabulary)
+        for part in slices(batches, 1):
+            sizes = [code.counts(leaves_of(t)) if t else [] for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sizes, pa.list_(pa.int32()))], ["doc_id", "text", "sizes"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, TREES)
+
+
+class _Rows:
+    """Results of a task, put out in batches."""
+
+    def __init__(self, renewed: bool):
+        self.renewed, self.rows, self.held = renewed, [], 0
+
+    def add(self, doc_id: int | None, tag: int | None, copies: int, tree: TokenTree, before: int, n_edits: int) -> None:
+        after = (tree.text, tree.sizes) if self.renewed else (None, None)
+        self.rows.append((doc_id, tag, copies, before, tree.tokens, n_edits, tree.encoded, tree.chars, *after))
+        self.held += tree.chars if self.renewed else 64
 
-def _counted(rows: DataFrame, vocabulary: str) -> DataFrame:
-    """``rows``: doc_id, text, edits."""
+    def give(self, last: bool = False):
+        if self.rows and (last or self.held >= 1 << 20):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*self.rows), _KINDS)], schema=_KINDS)
+            self.rows, self.held = [], 0
+
+
+def applied(trees: DataFrame, edits: DataFrame, vocabulary: str | None = None, renewed: bool = False) -> DataFrame:
+    """Per row of ``trees``, a table as ``trees_of`` gives: its counts before and after its edits (doc_id, seq, at, length, replacement); with ``renewed`` also the text and sizes after them.
+
+    Only trees with edits are shuffled, each distinct text of a doc_id once. A task reads a tree and
+    then its edits one after the other, so neither of them is gathered.
+    """
+    vocabulary = vocabulary or default_vocabulary()
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+    change = edits.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("seq").cast("long").alias("seq"), zero("at"), zero("length"), F.coalesce("replacement", F.lit("")).alias("replacement"))
+    edited = change.select("doc_id").distinct()
+    rest = trees.join(edited, "doc_id", "left_anti")
+    total = F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x)
+    same = [F.lit(0).cast("long").alias("n_edits"), F.lit(0).cast("long").alias("n_encoded_chars"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars_after")]
+    rest = rest.select("doc_id", total.alias("n_tokens"), total.alias("n_tokens_after"), *same, *(["text", "sizes"] if renewed else []))
+
+    key = ["doc_id", "tag"]
+    own = trees.join(edited, "doc_id", "left_semi").withColumn("tag", F.xxhash64("text")).groupBy(*key).agg(F.first("text").alias("text"), F.first("sizes").alias("sizes"), F.count("*").alias("copies"))
+    own = Scratch(trees.sparkSession, "token-counts").keep(own, "edited")
+    none = lambda kind: F.lit(None).cast(kind)
+    each = own.select(*key, F.lit(0).alias("kind"), none("long").alias("seq"), none("long").alias("at"), none("long").alias("length"), "text", "sizes", "copies")
+    moves = change.join(own.select(*key), "doc_id").select(*key, F.lit(1).alias("kind"), "seq", "at", "length", F.col("replacement").alias("text"), none("array<int>").alias("sizes"), none("long").alias("copies"))
+    order = [*key, "kind", "seq", "at", "length", "text"]
+    stream = each.unionByName(moves).repartition(*key).sortWithinPartitions(*order)
 
     def run(batches):
-        code = encoder(vocabulary)
+        code, out, now = encoder(vocabulary), _Rows(renewed), None
         for batch in batches:
-            out = []
-            for doc, text, edits in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                text = text.as_py() or ""
-                tree = TokenTree(text, code.counts)
+            for doc, tag, kind, _, at, length, text, sizes, copies in zip(*(c.to_pylist() for c in batch.columns)):
+                if kind:
+                    now[3].edit(at, length, text)
+                    now[5] += 1
+                    continue
+                if now:
+                    out.add(*now)
+                    yield from out.give()
+                tree = TokenTree(text or "", code.counts, sizes)
+                now = [doc, tag, copies, tree, tree.tokens, 0]
+        if now:
+            out.add(*now)
+        yield from out.give(last=True)
+
+    names = [x.split(" ")[0] for x in COUNTED.split(", ")] + (["text", "sizes"] if renewed else [])
+    done = stream.mapInArrow(run, _APPLIED).withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
+    return done.select(*names).unionByName(rest)
+
+
+def recount(docs: DataFrame, edits: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """Per row of ``docs``: tokens before and after its edits (doc_id, seq, at, length, replacement), and the characters encoded again. For documents whose trees are kept, use ``applied`` on these."""
+    return applied(Scratch(docs.sparkSession, "token-counts").keep(trees_of(docs, vocabulary), "trees"), edits, vocabulary)
+
+
+def applied_in_place(rows: DataFrame, vocabulary: str) -> DataFrame:
+    """``rows``: doc_id, text, sizes and edits, a short list that the row itself brings."""
+
+    def run(batches):
+        code, out = encoder(vocabulary), _Rows(False)
+        for part in slices(batches, 1):
+            for doc, text, sizes, edits in zip(*(c.to_pylist() for c in part.columns)):
+                tree = TokenTree(text or "", code.counts, sizes)
                 before = tree.tokens
-                edits = edits.as_py() or []
-                for e in edits:
+                for e in edits or []:
                     tree.edit(e["at"], e["length"], e["replacement"])
-                out.append((doc, before, tree.tokens, len(edits), tree.encoded, tree.chars))
-            kinds = [pa.int64()] * 6
-            columns = list(zip(*out)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "n_tokens", "n_tokens_after", "n_edits", "n_encoded_chars", "n_chars_after"])
+                out.add(doc, None, 1, tree, before, len(edits or []))
+                yield from out.give()
+        yield from out.give(last=True)
 
-    return rows.select("doc_id", "text", "edits").mapInArrow(run, COUNTED)
+    return rows.select("doc_id", "text", "sizes", "edits").mapInArrow(run, _APPLIED).select(*[x.split(" ")[0] for x in COUNTED.split(", ")])
 
 
 def sample_edits(docs: DataFrame) -> DataFrame:
@@ -168,9 +257,10 @@ def sample_edits(docs: DataFrame) -> DataFrame:
         F.struct(F.lit(1).cast("long").alias("seq"), F.floor(n / 3).alias("at"), F.lit(5).cast("long").alias("length"), text("").alias("replacement")),
         F.struct(F.lit(2).cast("long").alias("seq"), (n + 1_000_000).alias("at"), F.lit(0).cast("long").alias("length"), text("\nlast line").alias("replacement")),
     )
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), changes.alias("edits"))
+    return docs.select("*", changes.alias("edits"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trees = Scratch(spark, "token-counts").keep(trees_of(spark.read.parquet(f"{sf_dir}/documents.parquet")), "trees")
     # these edits follow from each row itself, so they need no join
-    return _counted(sample_edits(spark.read.parquet(f"{sf_dir}/documents.parquet")), default_vocabulary())
+    return applied_in_place(sample_edits(trees), default_vocabulary())

@@ -13,8 +13,9 @@ manifest names the width. Files appear under their final name only when complete
 writing a shard again gives the same bytes, so a task may run more than once.
 
 Nulls: a null text counts as empty (only the end id); a null doc_id sorts first.
-Repeated ids keep all their rows, ordered by a hash of the text. An empty table gives
-an empty manifest and no rows. Other columns are not read, whatever their names.
+Repeated ids keep all their rows, ordered by a hash of the text; equal rows tie and stand one
+after the other. A text of any length is encoded whole, and has a frame for each ``FRAME_IDS`` ids.
+An empty table gives an empty manifest and no rows. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -125,16 +126,27 @@ class ShardReader:
         return list(range(nulls + lo, nulls + hi))
 
 
-def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: int = 2, width: int = 2, text: str = "text", key: str = "doc_id") -> DataFrame:
+def width_of(vocabulary: str, end_id: int) -> int:
+    """Bytes that hold every id of the vocabulary: 2 or 4."""
+    from tokenizers import Tokenizer
+
+    most = max(end_id, max(Tokenizer.from_file(vocabulary).get_vocab().values(), default=0))
+    return 2 if most < 1 << 16 else 4
+
+
+def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: int = 2, width: int | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Encode whole texts and write the shards under ``folder``; returns the manifest, a row a shard.
 
     The one shuffle deals documents by ranges of their id; a shard is a partition's
-    documents. Ranges also cut by the hash of the text, so a repeated id may span shards;
-    the order within an id is that of the hash throughout.
+    documents. Ranges also cut by the hash of the text and then by the row's number, so a
+    repeated id, or even a repeated row, may span shards; the order within an id is that of the hash throughout.
     """
     spark, vocabulary = docs.sparkSession, vocabulary or default_vocabulary()
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
-    rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    width = width or width_of(vocabulary, end_id)
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    # rows that are equal in both are interchangeable; their number only deals them out
+    rows = rows.withColumn("nth", F.pmod(F.monotonically_increasing_id(), F.lit(1 << 12)))
+    rows = rows.repartitionByRange("doc_id", "tie", "nth").sortWithinPartitions("doc_id", "tie", "nth")
 
     def shard(batches):
         from pyspark import TaskContext

@@ -86,3 +86,124 @@ def match_landmarks(members: DataFrame, locations: DataFrame, group1: str, group
         return one.where("n = 1").drop("n")
 
     return side(group1, 1).join(side(group2, 2), "landmark")
+
+
+def name_words(name: Column) -> Column:
+    """Words of a neuron's name as structs (word, says).
+
+    Numbers, and ``neuron`` before a number, are generic. After the first generic word, capitals alone are a
+    tracer's initials and other words a nickname; before it words are the type, and so is any other ``neuron``.
+    """
+    words = F.split(name, " ")
+    digits = lambda w: F.coalesce(w.rlike(r"^\d+$"), F.lit(False))
+    generic = lambda w, i: digits(w) | ((w == "neuron") & digits(F.get(words, i + 1)))
+    first = F.array_position(F.transform(words, generic), True)
+
+    def says(w: Column, i: Column) -> Column:
+        after = (first > 0) & (i + 1 > first)
+        return F.when(generic(w, i), "generic").when(w == "neuron", "type").when(w.rlike(r"^\p{Lu}{2,}$") & after, "tracer").when(after, "nickname").otherwise("type")
+
+    return F.transform(words, lambda w, i: F.struct(w.alias("word"), says(w, i).alias("says")))
+
+
+def parse_name(name: Column) -> Column:
+    """Struct of type, nickname, tracer and generic words of a name."""
+    words = name_words(name)
+    of = lambda kind: F.array_join(F.transform(F.filter(words, lambda w: w["says"] == kind), lambda w: w["word"]), " ").alias(kind)
+    return F.struct(of("type"), of("nickname"), of("tracer"), of("generic"))
+
+
+def shorten_name(name: Column, most: int = 30, mark: str = "[..]") -> Column:
+    """The name with words replaced by a mark, in the order generic, tracer, nickname, type and each from the right, until it is short enough or one word is left."""
+    words = name_words(name)
+    backwards = F.reverse(words)
+    order = F.concat(*[F.filter(backwards, lambda w, kind=kind: w["says"] == kind) for kind in ("generic", "tracer", "nickname", "type")])
+
+    def merged(s: Column) -> Column:
+        return F.regexp_replace(s, re.escape(mark) + "(?: " + re.escape(mark) + ")+", mark)
+
+    def step(now: Column, w: Column) -> Column:
+        left = F.size(F.filter(F.split(F.trim(F.replace(now, F.lit(mark), F.lit(""))), " +"), lambda x: x != ""))
+        return F.when((F.length(now) <= most) | (left <= 1), now).otherwise(merged(F.trim(F.replace(now, w["word"], F.lit(mark)))))
+
+    return F.aggregate(order, name, step)
+
+
+def point_columns(df: DataFrame, pattern: str, axes: str = "xyz") -> DataFrame:
+    """Columns of one point, named by ``pattern`` with {} for the axis, as x, y and z."""
+    return df.select(*[F.col(pattern.format(c)).alias(c) for c in axes])
+
+
+def control_points(pairs: DataFrame) -> DataFrame:
+    """Matched locations as two arrays of coordinates."""
+    return pairs.select(*[F.array(*[F.col(f"{c}{n}") for c in "xyz"]).alias(f"points{n}") for n in (1, 2)])
+
+
+def match_by_name(this: tuple[DataFrame, DataFrame], other: tuple[DataFrame, DataFrame], groups: tuple[str, str] | None = None) -> DataFrame:
+    """(grp, landmark, x1 .. z2) of landmarks of one name in groups of two projects that have one location in each group.
+
+    Each side is (members, locations) as for ``match_landmarks``. Without ``groups`` all groups of equal name are matched.
+    """
+
+    def side(tables: tuple[DataFrame, DataFrame], n: int, group: str | None) -> DataFrame:
+        members, locations = tables
+        own = locations.join(members.select("grp", "landmark").distinct(), ["grp", "landmark"], "left_semi")
+        own = own if group is None else own.where(F.col("grp") == group)
+        one = own.groupBy("grp", "landmark").agg(F.count("*").alias("n"), *[F.first(c).alias(f"{c}{n}") for c in "xyz"])
+        return one.where("n = 1").drop("n")
+
+    a, b = side(this, 1, groups and groups[0]), side(other, 2, groups and groups[1])
+    if groups is None:
+        return a.join(b, ["grp", "landmark"]).orderBy("grp", "landmark")
+    return a.join(b.drop("grp"), "landmark").select("grp", "landmark", *[f"{c}{n}" for n in (1, 2) for c in "xyz"])
+
+
+def group_members(members: DataFrame, locations: DataFrame) -> DataFrame:
+    """Per group its landmarks, and the number of locations of them."""
+    own = members.groupBy("grp").agg(F.array_sort(F.collect_set("landmark")).alias("landmarks"))
+    n = locations.groupBy("grp").agg(F.count("*").alias("n_locations"))
+    return own.join(n, "grp", "left").select("grp", "landmarks", F.coalesce("n_locations", F.lit(0)).alias("n_locations"))
+
+
+#: The axes of an image stack by its orientation.
+ORIENTATIONS = {0: "xy", 1: "xz", 2: "zy"}
+
+
+def axis_order(orientation: Column, reverse: bool = False) -> Column:
+    """The axes of a stack, those of its plane first and then the other."""
+    full = {k: v + next(c for c in "xyz" if c not in v) for k, v in ORIENTATIONS.items()}
+    table = F.create_map(*[F.lit(x) for k, v in full.items() for x in (k, v[::-1] if reverse else v)])
+    return F.try_element_at(table, orientation)
+
+
+def orientation_of(axes: Column) -> Column:
+    """The number of the orientation with these two axes of a plane."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for k, v in ORIENTATIONS.items() for x in (v, k)]), axes)
+
+
+def mirrors(stacks: DataFrame, stack: str, mirror: str) -> DataFrame:
+    """Image bases of a stack and mirror, each by id or title. stacks: stack_id, title, mirrors (array of structs of id, title, ...)."""
+    fits = lambda i, t, v: (i.cast("string") == v) | (t == v)
+    own = stacks.where(fits(F.col("stack_id"), F.col("title"), stack)).select("stack_id", F.explode("mirrors").alias("m"))
+    return own.where(fits(F.col("m.id"), F.col("m.title"), mirror)).select("stack_id", "m.*")
+
+
+def whole_slices(broken: DataFrame, last: int) -> DataFrame:
+    """(slice, use): each broken slice with the whole one that stands for it; what replaces may be broken itself. broken: slice, step (to the replacement)."""
+    from ..operators.trees import to_root
+
+    jump = broken.select(F.col("slice").alias("node_id"), (F.col("slice") + F.col("step")).alias("parent_id"))
+    ends = jump.select(F.col("parent_id").alias("node_id")).distinct().join(jump.select("node_id"), "node_id", "left_anti").select("node_id", F.lit(None).cast("long").alias("parent_id"))
+    found = to_root(jump.unionByName(ends), F.lit(0.0)).select(F.col("node_id").alias("slice"), F.col("root").alias("use"))
+    return found.where((F.col("slice") != F.col("use")) & F.col("use").between(0, last))
+
+
+def tile_memory(tiles: DataFrame, width: int, keys: tuple[str, ...] = ("col", "row", "z")) -> DataFrame:
+    """Bytes of all distinct tiles."""
+    return tiles.select(*keys).distinct().agg((F.count("*") * width * width * 8).alias("bytes"))
+
+
+def boxes_around(points: DataFrame, size: tuple[float, float] = (500.0, 500.0)) -> DataFrame:
+    """Boxes of a size in the plane around points (x, y, z)."""
+    (w, h), half = size, lambda v: v / 2
+    return points.select("*", *[(F.col(c) + s * half(v)).alias(f"{c}{n}") for c, v in (("x", w), ("y", h)) for n, s in ((1, -1), (2, 1))], F.col("z").alias("z1"), F.col("z").alias("z2"))

@@ -9,18 +9,23 @@ Lineage is cut by checkpoints in the shared folder.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint in spark.checkpoint.dir, which is set to a temporary folder only where it is unset."""
+    """Checkpoint in spark.checkpoint.dir. Where it is unset, in a temporary folder, but only if driver and executors are one process, as in tests."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        import tempfile
-
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='arborlake')}")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            folder = f"file://{tempfile.mkdtemp(prefix='arborlake')}"
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 

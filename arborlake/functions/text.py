@@ -117,7 +117,8 @@ def shorten_name(name: Column, most: int = 30, mark: str = "[..]") -> Column:
     """The name with words replaced by a mark, in the order generic, tracer, nickname, type and each from the right, until it is short enough or one word is left."""
     words = name_words(name)
     backwards = F.reverse(words)
-    order = F.concat(*[F.filter(backwards, lambda w, kind=kind: w["says"] == kind) for kind in ("generic", "tracer", "nickname", "type")])
+    of = lambda kind: F.filter(backwards, lambda w: w["says"] == kind)
+    order = F.concat(*[of(kind) for kind in ("generic", "tracer", "nickname", "type")])
 
     def merged(s: Column) -> Column:
         return F.regexp_replace(s, re.escape(mark) + "(?: " + re.escape(mark) + ")+", mark)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -98,6 +98,6 @@ def contributor_statistics(actions: DataFrame) -> DataFrame:
 
 
 def latest_action(actions: DataFrame) -> DataFrame:
-    """The last row of each user."""
-    order = Window.partitionBy("user_id").orderBy(F.desc("ts"), "action")
-    return actions.withColumn("k", F.row_number().over(order)).where("k = 1").drop("k")
+    """The last row of each user; of equal times the one of the largest action."""
+    last = actions.groupBy("user_id").agg(F.max_by(F.struct(*actions.columns), F.struct("ts", "action")).alias("__last"))
+    return last.select("__last.*")

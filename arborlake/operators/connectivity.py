@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .trees import cut
+
 METHODS = {"SUM": F.sum, "AVERAGE": F.avg, "MIN": F.min, "MAX": F.max}
 
 
@@ -117,6 +119,30 @@ def sparseness(matrix: DataFrame, key: str = "target", value: str = "weight", wh
     return matrix.groupBy(key).agg(score.alias("sparseness"))
 
 
+def sparseness_with_zeros(edge_table: DataFrame, n: int, keys: DataFrame) -> DataFrame:
+    """Lifetime sparseness of each of ``keys`` (target) over ``n`` sources, those without an edge as 0: from sums over the edges, without their grid."""
+    w = F.col("weight").cast("double")
+    sums = edge_table.groupBy("target").agg(F.sum(w).alias("s"), F.sum(w * w).alias("q"))
+    score = F.try_divide(1 - F.try_divide(F.pow(F.col("s") / n, F.lit(2)), F.col("q") / n), F.lit(1 - 1 / n if n > 1 else 0.0))
+    return keys.select("target").distinct().join(sums, "target", "left").select("target", score.alias("sparseness"))
+
+
+def similarity_to(edge_table: DataFrame, query: DataFrame, parts: int = 32) -> DataFrame:
+    """(a, b, both, matching_index, matching_index_synapses): each neuron of ``query`` (id) against all neurons with a shared downstream partner.
+
+    The shared partners of the query are looked up in all edges, dealt by partner and source, so a partner of very many neurons is no single task.
+    """
+    edges = cut(edge_table.select("source", "target", F.col("weight").cast("double").alias("w")))
+    total = cut(edges.groupBy("source").agg(F.count("*").alias("n"), F.sum("w").alias("sum")))
+    salt = F.pmod(F.xxhash64("source"), F.lit(parts))
+    own = edges.join(query.select(F.col("id").alias("source")).distinct(), "source", "left_semi").select(F.col("source").alias("a"), "target", F.col("w").alias("wa"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("salt"))
+    every = edges.select(F.col("source").alias("b"), "target", F.col("w").alias("wb"), salt.alias("salt"))
+    shared = own.join(every, ["target", "salt"]).groupBy("a", "b").agg(F.count("*").alias("both"), (F.sum("wa") + F.sum("wb")).alias("s"))
+    of = lambda k: total.select(F.col("source").alias(k), F.col("n").alias(f"n{k}"), F.col("sum").alias(f"s{k}"))
+    out = shared.join(of("a"), "a").join(of("b"), "b")
+    return out.select("a", "b", "both", (F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("matching_index"), (F.col("s") / (F.col("sa") + F.col("sb"))).alias("matching_index_synapses"))
+
+
 def nth_partners(edge_table: DataFrame, start: DataFrame, hops: int = 1, min_pre: int = 2, min_post: int = 2) -> DataFrame:
     """(id, hop): neurons reached within ``hops`` steps over edges that are strong enough, by their first hop.
 
@@ -127,22 +153,31 @@ def nth_partners(edge_table: DataFrame, start: DataFrame, hops: int = 1, min_pre
         step.append(edge_table.where(F.col("weight") >= min_post).select(F.col("source").alias("id"), F.col("target").alias("next")))
     if min_pre >= 0:
         step.append(edge_table.where(F.col("weight") >= min_pre).select(F.col("target").alias("id"), F.col("source").alias("next")))
-    step = reduce(DataFrame.unionByName, step)
+    step = cut(reduce(DataFrame.unionByName, step).distinct())  # not computed again for each hop
     seen = front = start.select("id").distinct().withColumn("hop", F.lit(0))
     for h in range(1, hops + 1):
         front = front.join(step, "id").select(F.col("next").alias("id")).distinct().join(seen.select("id"), "id", "left_anti").withColumn("hop", F.lit(h))
+        front = cut(front)
         seen = seen.unionByName(front)
     return seen
 
 
 def paths(edge_table: DataFrame, sources: DataFrame, targets: DataFrame, n_hops: list[int], min_synapses: int = 1) -> DataFrame:
-    """(path, hops): simple paths from sources to targets with just so many hops."""
-    step = edge_table.where(F.col("weight") >= min_synapses).select(F.col("source").alias("last"), F.col("target").alias("next"))
-    now = sources.select(F.col("id").alias("last"), F.array("id").alias("path")).distinct()
+    """(path, hops): simple paths from sources to targets with just so many hops. Steps from which no target can be reached any more in time aren't taken."""
+    most = max(n_hops)
+    step = cut(edge_table.where(F.col("weight") >= min_synapses).select(F.col("source").alias("last"), F.col("target").alias("next")).distinct())
     goal = targets.select(F.col("id").alias("last")).distinct()
+    # near[k]: neurons with a target within k hops
+    near = [cut(goal)]
+    for _ in range(most - 1):
+        before = step.join(near[-1].select(F.col("last").alias("next")), "next", "left_semi").select("last")
+        near.append(cut(near[-1].unionByName(before).distinct()))
+    now = sources.select(F.col("id").alias("last"), F.array("id").alias("path")).distinct()
     found = []
-    for h in range(1, max(n_hops) + 1):
-        now = now.join(step, "last").where(~F.array_contains("path", F.col("next"))).select(F.col("next").alias("last"), F.array_append("path", F.col("next")).alias("path"))
+    for h in range(1, most + 1):
+        useful = step.join(near[most - h].select(F.col("last").alias("next")), "next", "left_semi")
+        now = now.join(useful, "last").where(~F.array_contains("path", F.col("next"))).select(F.col("next").alias("last"), F.array_append("path", F.col("next")).alias("path"))
+        now = cut(now)
         if h in n_hops:
             found.append(now.join(goal, "last", "left_semi").select("path", F.lit(h).alias("hops")))
     return reduce(DataFrame.unionByName, found)

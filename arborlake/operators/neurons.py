@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import trees
@@ -40,8 +40,8 @@ def summary(nodes: DataFrame, contacts: DataFrame, by: str) -> DataFrame:
 
 def remove_duplicates(neurons: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first neuron, by ``order``, of each combination of ``keys``."""
-    first = Window.partitionBy(*keys).orderBy(*order)
-    return neurons.withColumn("__nth", F.row_number().over(first)).where("__nth = 1").drop("__nth")
+    first = neurons.groupBy(*keys).agg(F.min_by(F.struct(*neurons.columns), F.struct(*order)).alias("__first"))
+    return first.select("__first.*")
 
 
 def connector_links(connectors: DataFrame, links: DataFrame, ids: DataFrame) -> DataFrame:

@@ -4,29 +4,52 @@ Nodes have node_id, parent_id (null at a root) and coordinates, optionally with
 ``tree`` column of their own; node ids are unique over all trees. Whatever follows the
 path to the root is found by pointer doubling: each round joins a node with the node its
 pointer reached, so a tree of depth d takes log2(d) shuffles, long chains included.
-Lineage is cut by checkpoints in the shared folder.
+Lineage is cut by tables in the shared folder.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+_local: dict[str, str] = {}
+_left: dict[str, SparkSession] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir. Where it is unset, a temporary one, but only if driver and executors are one process, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        if context.applicationId not in _local:
+            _local[context.applicationId] = f"file://{tempfile.mkdtemp(prefix='arborlake')}"
+        folder = _local[context.applicationId]
+    return folder.rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint in spark.checkpoint.dir. Where it is unset, in a temporary folder, but only if driver and executors are one process, as in tests."""
+    """The table written to the shared folder and read again, which cuts its lineage and computes it once (a checkpoint would do so twice). Deleted when the driver's process ends."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-            folder = f"file://{tempfile.mkdtemp(prefix='arborlake')}"
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    folder = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    _left[folder] = spark
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+@atexit.register
+def _clear() -> None:
+    for folder, spark in _left.items():
+        with contextlib.suppress(Exception):  # the session may be gone, and its file systems with it
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def edge_length(a: str, b: str) -> Column:
@@ -143,15 +166,8 @@ def segments(nodes: DataFrame) -> DataFrame:
     """
     depth = depths(nodes).select("node_id", "distance")
     own = with_length(nodes).select("node_id", "parent_id", "length").join(depth, "node_id")
-    best = own.select("node_id", F.col("parent_id").alias("at"), F.struct(F.col("distance").alias("d"), (-F.col("node_id")).alias("k")).alias("far"))
-    while True:  # after round i: the farthest end within 2**i steps below, and the pointer that many steps up
-        up = best.where("at IS NOT NULL").select(F.col("at").alias("node_id"), F.col("far").alias("below")).groupBy("node_id").agg(F.max("below").alias("below"))
-        jump = best.select(F.col("node_id").alias("at"), F.col("at").alias("next"))
-        best = cut(best.join(up, "node_id", "left").join(jump, "at", "left").select("node_id", F.col("next").alias("at"), F.greatest("far", F.coalesce("below", "far")).alias("far")))
-        if best.where("at IS NOT NULL").isEmpty():
-            break
-    end = best.select("node_id", (-F.col("far.k")).alias("segment"))
-    return own.join(end, "node_id").select("node_id", "segment", "length")
+    best = max_below(own, F.struct(F.col("distance").alias("d"), (-F.col("node_id")).alias("k")))
+    return own.join(best, "node_id").select("node_id", (-F.col("best.k")).alias("segment"), "length")
 
 
 def segment_lengths(nodes: DataFrame) -> DataFrame:
@@ -179,39 +195,90 @@ def remove_tagged(nodes: DataFrame, tags: DataFrame, tag: str, how: str = "segme
     return subset(nodes, nodes.join(part.join(bad, "segment", "left_semi").select("node_id"), "node_id", "left_anti"))
 
 
-def reroot(nodes: DataFrame, new_root: int) -> DataFrame:
-    """The same trees with ``new_root`` as the root of its own: the parent links on its way up turn round."""
-    one = nodes.where(F.col("node_id") == new_root).select("node_id")
-    way = ancestors(nodes, one).select(F.col("ancestor").alias("node_id"), "hops")
-    after = Window.orderBy("hops")  # the path of a single node
-    turned = way.select("node_id", F.lag("node_id").over(after).alias("new_parent"), F.lit(True).alias("turned"))
+def reroot_all(nodes: DataFrame, tops: DataFrame) -> DataFrame:
+    """The same trees with ``tops`` (node_id, at most one a tree) as roots of theirs: the parent links on their ways up turn round."""
+    way = cut(ancestors(nodes, tops).select(F.col("node_id").alias("top"), F.col("ancestor").alias("node_id"), "hops"))
+    before = way.select("top", (F.col("hops") + 1).alias("hops"), F.col("node_id").alias("new_parent"))
+    turned = way.join(before, ["top", "hops"], "left").select("node_id", "new_parent", F.lit(True).alias("turned"))
     return nodes.join(turned, "node_id", "left").withColumn("parent_id", F.when(F.col("turned"), F.col("new_parent")).otherwise(F.col("parent_id"))).select(*nodes.columns)
 
 
+def reroot(nodes: DataFrame, new_root: int) -> DataFrame:
+    """The same trees with ``new_root`` as the root of its own."""
+    return reroot_all(nodes, nodes.where(F.col("node_id") == new_root).select("node_id"))
+
+
+def max_below(nodes: DataFrame, value: Column) -> DataFrame:
+    """(node_id, best): the largest ``value`` in the subtree of each node, found by doubling, in as many rounds as the depth has bits."""
+    best = nodes.select("node_id", F.col("parent_id").alias("at"), value.alias("best"))
+    while True:  # after round i: the largest within 2**i steps below, and the pointer that many steps up
+        up = best.where("at IS NOT NULL").groupBy(F.col("at").alias("node_id")).agg(F.max("best").alias("below"))
+        jump = best.select(F.col("node_id").alias("at"), F.col("at").alias("next"))
+        best = cut(best.join(up, "node_id", "left").join(jump, "at", "left").select("node_id", F.col("next").alias("at"), F.greatest("best", F.coalesce("below", "best")).alias("best")))
+        if best.where("at IS NOT NULL").isEmpty():
+            return best.select("node_id", "best")
+
+
 def strahler(nodes: DataFrame) -> DataFrame:
-    """(node_id, strahler): 1 at ends; a node has the largest of its children, plus one where two share it."""
+    """(node_id, strahler): 1 at ends; a node has the largest of its children, plus one where two share it.
+
+    A round renews each node from its children; what changes nothing is the result. Every fourth round also passes
+    the largest orders all the way up, so the rounds follow the largest order (about the logarithm of the ends),
+    however long the neurites are.
+    """
     kids = nodes.where("parent_id IS NOT NULL").select("node_id", F.col("parent_id").alias("up"))
-    state = nodes.select("node_id", F.lit(1).alias("s"))
-    while True:  # each round settles the nodes of a larger order: as many rounds as levels of branching
-        sums = kids.join(state, "node_id").groupBy("up").agg(F.array_sort(F.collect_list("s"), lambda a, b: b - a).alias("v"))
-        top = F.col("v")[0] + F.when(F.get("v", F.lit(1)) == F.col("v")[0], 1).otherwise(0)
-        new = cut(state.join(sums.select(F.col("up").alias("node_id"), top.alias("t")), "node_id", "left").select("node_id", F.coalesce("t", F.lit(1)).alias("s"), (F.coalesce("t", F.lit(1)) != F.col("s")).alias("moved")))
-        state = new.select("node_id", "s")
+    state, i = nodes.select("node_id", "parent_id", F.lit(1).alias("s")), 0
+    while True:
+        i += 1
+        tops = kids.join(state.select("node_id", "s"), "node_id").groupBy("up", "s").agg(F.count("*").alias("n"))
+        # of a node's children: the largest order, and whether several have it
+        top = tops.groupBy(F.col("up").alias("node_id")).agg(F.max(F.struct("s", "n")).alias("m")).select("node_id", (F.col("m.s") + (F.col("m.n") > 1).cast("int")).alias("t"))
+        new = cut(state.join(top, "node_id", "left").select("node_id", "parent_id", F.greatest("s", F.coalesce("t", "s")).alias("s"), (F.coalesce("t", "s") > F.col("s")).alias("moved")))
         if new.where("moved").isEmpty():
-            return state.withColumnRenamed("s", "strahler")
+            return new.select("node_id", F.col("s").alias("strahler"))
+        state = new.drop("moved")
+        if i % 4 == 0:
+            state = state.select("node_id", "parent_id").join(max_below(state, F.col("s")), "node_id").withColumnRenamed("best", "s")
+
+
+def lifted(nodes: DataFrame) -> list[DataFrame]:
+    """Tables (node_id, up) of the ancestors 1, 2, 4, ... steps up, where there are that many: as many tables as the depth has bits."""
+    jump = nodes.where("parent_id IS NOT NULL").select("node_id", F.col("parent_id").alias("up"))
+    steps = []
+    while not jump.isEmpty():
+        steps.append(jump)
+        jump = cut(jump.join(jump.select(F.col("node_id").alias("up"), F.col("up").alias("far")), "up").select("node_id", F.col("far").alias("up")))
+    return steps
 
 
 def geodesic(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b, distance) along the tree for given pairs (a, b); null between trees."""
-    ids = pairs.select(F.col("a").alias("node_id")).unionByName(pairs.select(F.col("b").alias("node_id"))).distinct()
-    up = ancestors(nodes, ids).select("node_id", "ancestor")
-    depth = cut(depths(nodes).select("node_id", "distance"))
-    at = up.join(depth.withColumnRenamed("node_id", "ancestor"), "ancestor")
+    """(a, b, distance) along the tree for given pairs (a, b); null between trees.
+
+    The lowest common ancestor is found by lifting: the deeper node of a pair goes up to the other's
+    level, then both go up by falling powers of two while they differ. Each step is a join that keeps
+    a row a pair, so the work is the pairs times the bits of the depth.
+    """
+    depth = cut(depths(nodes))
     pairs = pairs.select("a", "b").distinct()
-    both = pairs.join(at.select(F.col("node_id").alias("a"), "ancestor", "distance"), "a").join(up.select(F.col("node_id").alias("b"), "ancestor"), ["b", "ancestor"])
-    meet = both.groupBy("a", "b").agg(F.max("distance").alias("lca"))
-    da, db = (depth.select(F.col("node_id").alias(k), F.col("distance").alias(f"d{k}")) for k in "ab")
-    return pairs.join(meet, ["a", "b"], "left").join(da, "a").join(db, "b").select("a", "b", (F.col("da") + F.col("db") - 2 * F.col("lca")).alias("distance"))
+    of = lambda k: depth.select(F.col("node_id").alias(k), F.col("root").alias(f"r{k}"), F.col("hops").alias(f"h{k}"), F.col("distance").alias(f"d{k}"))
+    state = pairs.join(of("a"), "a").join(of("b"), "b")
+    deep, other = F.when(F.col("ha") >= F.col("hb"), F.col("a")).otherwise(F.col("b")), F.when(F.col("ha") >= F.col("hb"), F.col("b")).otherwise(F.col("a"))
+    state = cut(state.select("*", deep.alias("u"), other.alias("v"), F.abs(F.col("ha") - F.col("hb")).alias("gap")))
+    same = F.col("ra") == F.col("rb")
+    steps = lifted(nodes)
+    for i in range(len(steps) - 1, -1, -1):
+        up = steps[i].select(F.col("node_id").alias("u"), F.col("up").alias("u2"))
+        take = F.col("gap") >= (1 << i)
+        state = state.join(up, "u", "left").select("a", "b", "ra", "rb", "da", "db", "v", F.when(take, F.col("u2")).otherwise(F.col("u")).alias("u"), F.when(take, F.col("gap") - (1 << i)).otherwise(F.col("gap")).alias("gap"))
+    state = cut(state)
+    for i in range(len(steps) - 1, -1, -1):
+        u2, v2 = (steps[i].select(F.col("node_id").alias(k), F.col("up").alias(f"{k}2")) for k in "uv")
+        apart = F.coalesce(F.col("u2") != F.col("v2"), F.lit(False)) & (F.col("u") != F.col("v"))
+        state = state.join(u2, "u", "left").join(v2, "v", "left").select("a", "b", "ra", "rb", "da", "db", F.when(apart, F.col("u2")).otherwise(F.col("u")).alias("u"), F.when(apart, F.col("v2")).otherwise(F.col("v")).alias("v"))
+    parent = nodes.select(F.col("node_id").alias("u"), "parent_id")
+    met = state.join(parent, "u", "left").withColumn("node_id", F.when(F.col("u") == F.col("v"), F.col("u")).otherwise(F.col("parent_id")))
+    out = met.join(depth.select("node_id", F.col("distance").alias("lca")), "node_id", "left")
+    return pairs.join(out.select("a", "b", F.when(same, F.col("da") + F.col("db") - 2 * F.col("lca")).alias("distance")), ["a", "b"], "left")
 
 
 def connection_density(nodes: DataFrame, contacts: DataFrame, method: str = "MEDIAN", normalise: float = 1.0) -> DataFrame:
@@ -241,3 +308,162 @@ def to_swc(nodes: DataFrame) -> DataFrame:
     number = nodes.join(at, "node_id").withColumn("n", F.row_number().over(Window.partitionBy("root").orderBy("hops", "node_id")))
     parent = number.select(F.col("node_id").alias("parent_id"), F.col("n").alias("p"))
     return number.join(parent, "parent_id", "left").select("root", F.col("n").alias("node"), F.lit(0).alias("label"), "x", "y", "z", "radius", F.coalesce("p", F.lit(-1)).alias("parent"))
+
+
+def sum_below(nodes: DataFrame, values: list[str]) -> DataFrame:
+    """(node_id and the sum of each of ``values`` over its subtree, itself included).
+
+    Segments by longest path are summed from their ends upwards, those that branch off furthest first; a
+    segment's total is added to the node it branches from. Rounds number the segments on a way to the root.
+    """
+    part = cut(segments(nodes).select("node_id", "segment"))
+    own = nodes.select("node_id", "parent_id", *[F.col(v).cast("double").alias(v) for v in values]).join(part, "node_id")
+    parent = part.select(F.col("node_id").alias("parent_id"), F.col("segment").alias("above"))
+    own = own.join(parent, "parent_id", "left").withColumn("begins", F.coalesce(F.col("above") != F.col("segment"), F.lit(False)).cast("double"))
+    level = to_root(own, F.col("begins")).select("node_id", F.col("total").cast("int").alias("level"), "hops")
+    own = cut(own.join(level, "node_id"))
+    up = Window.partitionBy("segment").orderBy(F.desc("hops")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    done, carry = None, None
+    for k in range(own.agg(F.coalesce(F.max("level"), F.lit(-1))).first()[0], -1, -1):
+        rows = own.where(F.col("level") == k)
+        if carry is not None:
+            rows = rows.join(carry, "node_id", "left").withColumns({v: F.col(v) + F.coalesce(f"__{v}", F.lit(0.0)) for v in values})
+        rows = cut(rows.withColumns({v: F.sum(v).over(up) for v in values}).select("node_id", "parent_id", "begins", *values))
+        carry = rows.where("begins > 0").groupBy(F.col("parent_id").alias("node_id")).agg(*[F.sum(v).alias(f"__{v}") for v in values])
+        done = rows if done is None else done.unionByName(rows)
+    return nodes.select("node_id", *values).limit(0) if done is None else done.select("node_id", *values)
+
+
+def flow(nodes: DataFrame, synapses: DataFrame) -> DataFrame:
+    """(node_id, root, pre_below, post_below, centrifugal, centripetal, flow): ways from inputs to outputs that pass a node, outwards and inwards. synapses: node_id, relation."""
+    kind = lambda r: F.count_if(F.col("relation") == r)
+    per = synapses.groupBy("node_id").agg(kind("presynaptic_to").alias("pre"), kind("postsynaptic_to").alias("post"))
+    full = nodes.join(per, "node_id", "left").na.fill(0, ["pre", "post"])
+    below = sum_below(full, ["pre", "post"]).join(depths(nodes).select("node_id", "root"), "node_id")
+    total = below.where("node_id = root").select("root", F.col("pre").alias("all_pre"), F.col("post").alias("all_post"))
+    out, back = (F.col("all_post") - F.col("post")) * F.col("pre"), (F.col("all_pre") - F.col("pre")) * F.col("post")
+    return below.join(total, "root").select("node_id", "root", F.col("pre").alias("pre_below"), F.col("post").alias("post_below"), out.alias("centrifugal"), back.alias("centripetal"), (out + back).alias("flow"))
+
+
+def bending_flow(nodes: DataFrame, flows: DataFrame) -> DataFrame:
+    """(node_id, bending): at each branch point, ways from the inputs below one child to the outputs below another."""
+    kids = nodes.where("parent_id IS NOT NULL").select("node_id", "parent_id").join(flows.select("node_id", "pre_below", "post_below"), "node_id")
+    per = kids.groupBy(F.col("parent_id").alias("node_id")).agg(F.count("*").alias("n"), (F.sum("pre_below") * F.sum("post_below") - F.sum(F.col("pre_below") * F.col("post_below"))).alias("bending"))
+    return per.where("n > 1").select("node_id", "bending")
+
+
+def split_axon(nodes: DataFrame, flows: DataFrame) -> DataFrame:
+    """(node_id, part): each tree cut where its flow is largest, nearest to the root; the side with the larger share of outputs is the axon."""
+    hops = depths(nodes).select("node_id", "hops")
+    order = F.struct("flow", -F.col("hops"), -F.col("node_id"))
+    at = cut(flows.join(hops, "node_id").groupBy("root").agg(F.max_by(F.struct("node_id", "pre_below", "post_below"), order).alias("m"), F.max("pre_below").alias("pre"), F.max("post_below").alias("post")))
+    far = cut(subtree(nodes, at.select(F.col("m.node_id").alias("node_id"))).withColumn("far", F.lit(True)))
+    share = lambda pre, post: F.coalesce(F.try_divide(pre, pre + post), F.lit(0.0))
+    distal = share(F.col("m.pre_below"), F.col("m.post_below")) >= share(F.col("pre") - F.col("m.pre_below"), F.col("post") - F.col("m.post_below"))
+    side = flows.select("node_id", "root").join(at.select("root", distal.alias("distal")), "root").join(far, "node_id", "left")
+    return side.select("node_id", F.when(F.coalesce("far", F.lit(False)) == F.col("distal"), "axon").otherwise("dendrite").alias("part"))
+
+
+def segregation(parts: DataFrame) -> DataFrame:
+    """(root, index): 1 where inputs and outputs lie in different parts, 0 where all parts mix them alike. parts: root, part, pre, post."""
+
+    def entropy(pre: Column, post: Column) -> Column:
+        p = F.try_divide(post.cast("double"), (pre + post).cast("double"))
+        h = lambda q: F.when(q > 0, -q * F.ln(q)).otherwise(0.0)
+        return F.coalesce(h(p) + h(1 - p), F.lit(0.0))
+
+    per = parts.groupBy("root", "part").agg(F.sum("pre").alias("pre"), F.sum("post").alias("post"))
+    n = F.col("pre") + F.col("post")
+    out = per.groupBy("root").agg(F.sum(n * entropy(F.col("pre"), F.col("post"))).alias("s"), F.sum(n).alias("n"), F.sum("pre").alias("pre"), F.sum("post").alias("post"))
+    whole = entropy(F.col("pre"), F.col("post"))
+    return out.select("root", F.when(whole > 0, 1 - F.try_divide(F.col("s"), F.col("n")) / whole).alias("index"))
+
+
+def fragments(nodes: DataFrame) -> DataFrame:
+    """(node_id, root): the connected parts of a forest, named by their roots."""
+    return to_root(nodes, F.lit(0.0)).select("node_id", "root")
+
+
+def heal(nodes: DataFrame, reach: float) -> DataFrame:
+    """Fragments joined into one tree where they come within ``reach``: of the shortest links between fragments those that close no ring, round by round.
+
+    In a round every tree looks for its nearest other one (ties by node ids). Of trees that choose each other
+    the one of the smaller root stays, and every other tree is rooted at its link and hung on the tree it chose.
+    """
+    from .spatial import within
+
+    point = nodes.select(F.col("node_id").alias("point_id"), "x", "y", "z")
+    close = cut(within(point, point, reach).where("a <> b"))
+    while True:
+        part = cut(fragments(nodes))
+        of = lambda k: part.select(F.col("node_id").alias(k), F.col("root").alias(f"r{k}"))
+        apart = close.join(of("a"), "a").join(of("b"), "b").where("ra <> rb")
+        order = F.struct("distance", F.least("a", "b"), F.greatest("a", "b"))
+        best = cut(apart.groupBy("ra").agg(F.min_by(F.struct("a", "b", "rb"), order).alias("m")).select("ra", "m.*"))
+        if best.isEmpty():
+            return nodes
+        # the order is total over links, so chosen links make no rings but pairs that chose one link
+        mutual = best.select(F.col("ra").alias("rb"), F.col("rb").alias("ra"), F.lit(True).alias("both"))
+        hang = cut(best.join(mutual, ["ra", "rb"], "left").where("both IS NULL OR ra > rb").select(F.col("a").alias("node_id"), F.col("b").alias("onto")))
+        nodes = reroot_all(nodes, hang.select("node_id")).join(hang, "node_id", "left").withColumn("parent_id", F.coalesce("parent_id", "onto")).select(*nodes.columns)
+        nodes = cut(nodes)
+
+
+def downsample(nodes: DataFrame, factor: int, keep: DataFrame | None = None) -> DataFrame:
+    """Every ``factor``-th slab of each unbranched stretch, and all roots, branch points, ends and ``keep`` (node_id); the others' children move up."""
+    kind = classify(nodes)
+    at = small_segments(nodes).select("node_id", "segment").join(to_root(nodes, F.lit(0.0)).select("node_id", "hops"), "node_id")
+    low = at.where("node_id = segment").select("segment", F.col("hops").alias("low"))
+    place = at.join(low, "segment").select("node_id", ((F.col("low") - F.col("hops")) % factor == 0).alias("nth"))
+    stay = nodes.select("node_id").join(kind, "node_id").join(place, "node_id", "left")
+    stay = stay.where((F.col("type") != "slab") | F.coalesce("nth", F.lit(True))).select("node_id")
+    if keep is not None:
+        stay = stay.unionByName(keep.select("node_id")).distinct()
+    flag = stay.withColumn("stays", F.lit(True))
+    # a pointer goes up to the first node that stays
+    marked = cut(nodes.join(flag, "node_id", "left"))
+    way = marked.select("node_id", F.when(F.col("stays").isNull(), F.col("parent_id")).alias("parent_id"))
+    top = to_root(way, F.lit(0.0)).select(F.col("node_id").alias("parent_id"), F.col("root").alias("new_parent"))
+    kept = marked.where("stays").join(top, "parent_id", "left")
+    return kept.withColumn("parent_id", F.col("new_parent")).select(*nodes.columns)
+
+
+def despike(nodes: DataFrame, ratio: float = 5.0) -> DataFrame:
+    """Slabs that jut out go to the middle of their neighbours: the way over the node is over ``ratio`` times the way past it."""
+    one = nodes.where("parent_id IS NOT NULL").groupBy(F.col("parent_id").alias("node_id")).agg(F.count("*").alias("n"), F.min("node_id").alias("child")).where("n = 1").select("node_id", "child")
+    place = lambda key, k: nodes.select(F.col("node_id").alias(key), *[F.col(c).alias(f"{k}{c}") for c in "xyz"])
+    both = nodes.where("parent_id IS NOT NULL").join(one, "node_id").join(place("parent_id", "p"), "parent_id").join(place("child", "q"), "child")
+    far = lambda a, b: F.sqrt(sum(((F.col(f"{a}{c}") - F.col(f"{b}{c}")) ** 2 for c in "xyz"), F.lit(0.0)))
+    spike = both.where(far("", "p") + far("", "q") > ratio * far("p", "q")).select("node_id", *[((F.col(f"p{c}") + F.col(f"q{c}")) / 2).alias(f"new_{c}") for c in "xyz"])
+    return nodes.join(spike, "node_id", "left").withColumns({c: F.coalesce(f"new_{c}", c) for c in "xyz"}).select(*nodes.columns)
+
+
+def guess_radius(nodes: DataFrame) -> DataFrame:
+    """Nodes without a radius (0 or less) take the mean radius of the known ones of their unbranched stretch, or stay."""
+    part = small_segments(nodes).select("node_id", "segment")
+    mean = nodes.where("radius > 0").join(part, "node_id").groupBy("segment").agg(F.avg("radius").alias("mean"))
+    return nodes.join(part.join(mean, "segment").select("node_id", "mean"), "node_id", "left").withColumn("radius", F.when(F.col("radius") > 0, F.col("radius")).otherwise(F.coalesce("mean", "radius"))).select(*nodes.columns)
+
+
+def longest_neurite(nodes: DataFrame) -> DataFrame:
+    """(node_id) on the longest way from each root to an end."""
+    leaf = longest_path(nodes).select(F.col("leaf").alias("node_id"))
+    return ancestors(nodes, leaf).select(F.col("ancestor").alias("node_id")).distinct()
+
+
+def scaled(nodes: DataFrame, factor: float) -> DataFrame:
+    """Coordinates and radii times ``factor``; -1 stands for no radius and stays."""
+    return nodes.withColumns({c: F.col(c) * factor for c in "xyz"} | {"radius": F.when(F.col("radius") == -1, F.col("radius")).otherwise(F.col("radius") * factor)})
+
+
+def core_digest(nodes: DataFrame, by: str = "skeleton_id") -> DataFrame:
+    """(by, digest): the same for equal nodes in any order. Sums of two hashes of each node, so no neuron is gathered."""
+    one = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("node_id", "parent_id", "x", "y", "z")]
+    h = nodes.select(by, F.xxhash64(*one).cast("decimal(38,0)").alias("a"), F.xxhash64(F.lit(1), *one).cast("decimal(38,0)").alias("b"))
+    return h.groupBy(by).agg(F.md5(F.concat_ws(":", F.count("*").cast("string"), F.sum("a").cast("string"), F.sum("b").cast("string"))).alias("digest"))
+
+
+def equal_neurons(left: DataFrame, right: DataFrame, by: str = "skeleton_id") -> DataFrame:
+    """(by, equal) for every neuron of either side."""
+    a, b = (core_digest(n, by).withColumnRenamed("digest", k) for n, k in ((left, "a"), (right, "b")))
+    return a.join(b, by, "full").select(by, F.col("a").eqNullSafe(F.col("b")).alias("equal"))

@@ -105,8 +105,8 @@ def _counts(links):
 
 
 def sparseness_lts(spark, d):
-    grid = c.adjacency(_edges(spark, d), _customers(spark, d, "true"), _suppliers(spark, d))
-    return c.sparseness(grid).withColumn("sparseness", F.round("sparseness", 8))
+    out = c.sparseness_with_zeros(_edges(spark, d), lake.table(spark, d, "customer").count(), _suppliers(spark, d).withColumnRenamed("id", "target"))
+    return out.withColumn("sparseness", F.round("sparseness", 8))
 
 
 def sparseness_ltk(spark, d):
@@ -140,6 +140,41 @@ def get_paths(spark, d):
     return out.select(F.array_join("path", ">").alias("path"), "hops")
 
 
+def _every_hundredth(spark, d):
+    return lake.table(spark, d, "customer").where("c_custkey % 100 = 0").select(F.col("c_custkey").alias("id"))
+
+
+def similarity_queries(spark, d):
+    """Neurons whose id is divisible by 100 against all neurons."""
+    out = c.similarity_to(_edges(spark, d), _every_hundredth(spark, d))
+    return out.withColumns({x: F.round(x, 9) for x in ("matching_index", "matching_index_synapses")})
+
+
+def _both_ways(spark, d):
+    """Customers and suppliers as neurons of one network; suppliers' ids are negative."""
+    return _edges(spark, d).select("source", (-F.col("target") - 1).alias("target"), "weight")
+
+
+def nth_partners_neurons(spark, d):
+    return c.nth_partners(_both_ways(spark, d), _every_hundredth(spark, d), hops=2, min_pre=4, min_post=3)
+
+
+def paths_neurons(spark, d):
+    e = _both_ways(spark, d).where("weight >= 4")
+    both = e.unionByName(e.select(F.col("target").alias("source"), F.col("source").alias("target"), "weight"))
+    out = c.paths(both, _every_hundredth(spark, d), lake.table(spark, d, "customer").where("c_acctbal > 5000").select(F.col("c_custkey").alias("id")), [2], 4)
+    return out.select(F.array_join("path", ">").alias("path"), "hops")
+
+
+def shared_partners_both(spark, d):
+    return c.shared_partners(_both_ways(spark, d), _customers(spark, d, "c_nationkey = 1").unionByName(_suppliers(spark, d, "s_nationkey = 1").select((-F.col("id") - 1).alias("id"))), _customers(spark, d, "c_nationkey = 2").unionByName(_suppliers(spark, d, "s_nationkey = 2").select((-F.col("id") - 1).alias("id"))), 3)
+
+
+def grouped_only(spark, d):
+    cols = lake.table(spark, d, "supplier").where("s_nationkey % 2 = 0").select(F.col("s_suppkey").alias("id"), F.concat(F.lit("n"), "s_nationkey").alias("grp"))
+    return c.group_matrix(_edges(spark, d), None, cols, "MAX", drop_ungrouped=True).select(F.col("source").cast("string").alias("source"), "target", "weight")
+
+
 def connectivity_similarity(spark, d):
     out = c.similarity(_people(spark, d), lake.table(spark, d, "nation").select(F.col("n_nationkey").alias("id")))
     return out.select("a", "b", *[F.round(x, 6).alias(x) for x in out.columns[2:]])
@@ -157,7 +192,8 @@ QUERIES = {
     "get_partners": get_partners, "get_partners_all": partners_all, "get_partners_wide": partners_wide, "shared_partners": shared_partners, "connector_details": connector_details,
     "connectors_between": connectors_between, "connectivity_counts_links": _counts(True), "connectivity_counts_connectors": _counts(False),
     "sparseness_lts": sparseness_lts, "sparseness_ltk": sparseness_ltk, "nth_partners": nth_partners, "get_paths": get_paths,
-    "connectivity_similarity": connectivity_similarity, "filter_connectivity": filter_connectivity,
+    "connectivity_similarity": connectivity_similarity, "filter_connectivity": filter_connectivity, "similarity_queries": similarity_queries, "nth_partners_neurons": nth_partners_neurons, "get_paths_neurons": paths_neurons,
+    "shared_partners_both": shared_partners_both, "group_matrix_grouped_only": grouped_only,
 }
 
 SQL = {
@@ -180,5 +216,11 @@ SQL = {
     "connectivity_similarity": f"""WITH {CTE}, {NATIONS}, g AS (SELECT a.n_nationkey AS a, b.n_nationkey AS b, t.target, coalesce(x.weight, 0)::DOUBLE AS wa, coalesce(y.weight, 0)::DOUBLE AS wb FROM nation a CROSS JOIN nation b CROSS JOIN (SELECT DISTINCT target FROM nations) t LEFT JOIN nations x ON x.source = a.n_nationkey AND x.target = t.target LEFT JOIN nations y ON y.source = b.n_nationkey AND y.target = t.target),
 s AS (SELECT a, b, sum((wa > 0 AND wb > 0)::INT) AS n, sum((wa > 0 OR wb > 0)::INT) AS m, sum(CASE WHEN wa > 0 AND wb > 0 THEN wa ELSE 0 END) AS sa, sum(CASE WHEN wa > 0 AND wb > 0 THEN wb ELSE 0 END) AS sb, sum(wa) AS ta, sum(wb) AS tb, sum(least(wa, wb) - 0.5 * greatest(wa, wb) * exp(-least(wa, wb))) AS v, sum(greatest(wa, wb) - 0.5 * greatest(wa, wb) * exp(-greatest(wa, wb))) AS hi, sum(-0.5 * greatest(wa, wb)) AS lo FROM g GROUP BY 1, 2)
 SELECT a, b, round(n / nullif(m, 0), 6) AS matching_index, round((sa + sb) / nullif(ta + tb, 0), 6) AS matching_index_synapses, round(coalesce(sa / nullif(ta, 0), 0) * coalesce(sb / nullif(tb, 0), 0), 6) AS matching_index_weighted_synapses, round(v, 6) AS vertex, round((v - lo) / nullif(hi - lo, 0), 6) AS vertex_normalized FROM s""",
+    "get_partners_all": f"WITH {CTE}, s AS (SELECT post AS partner, count(*) AS num_nodes FROM links JOIN connectors USING (connector_id) GROUP BY 1 HAVING count(*) >= 5) SELECT partner, num_nodes, source AS query, weight, total FROM (SELECT target AS partner, source, weight, CAST(sum(weight) OVER (PARTITION BY target) AS BIGINT) AS total FROM edges) JOIN s USING (partner) WHERE total >= 2",
+    "similarity_queries": f"WITH {CTE}, t AS (SELECT source, count(*) AS n, sum(weight) AS s FROM edges GROUP BY 1), p AS (SELECT x.source AS a, y.source AS b, count(*) AS k, sum(x.weight + y.weight) AS s FROM edges x JOIN edges y USING (target) WHERE x.source % 100 = 0 GROUP BY 1, 2) SELECT a, b, k AS both, round(k / (u.n + v.n - k), 9) AS matching_index, round(p.s / (u.s + v.s), 9) AS matching_index_synapses FROM p JOIN t u ON u.source = a JOIN t v ON v.source = b",
+    "nth_partners_neurons": f"WITH {CTE}, step AS (SELECT source AS id, -target - 1 AS nxt FROM edges WHERE weight >= 3 UNION SELECT -target - 1, source FROM edges WHERE weight >= 4), zero AS (SELECT c_custkey AS id FROM customer WHERE c_custkey % 100 = 0), one AS (SELECT DISTINCT nxt AS id FROM step JOIN zero USING (id) WHERE nxt NOT IN (SELECT id FROM zero)), two AS (SELECT DISTINCT nxt AS id FROM step JOIN one USING (id) WHERE nxt NOT IN (SELECT id FROM zero UNION SELECT id FROM one)) SELECT id, 0 AS hop FROM zero UNION ALL SELECT id, 1 FROM one UNION ALL SELECT id, 2 FROM two",
+    "get_paths_neurons": f"WITH {CTE}, e AS (SELECT * FROM edges WHERE weight >= 4) SELECT concat_ws('>', x.source, -x.target - 1, y.source) AS path, 2 AS hops FROM e x JOIN e y ON x.target = y.target AND x.source <> y.source JOIN customer ON c_custkey = y.source WHERE x.source % 100 = 0 AND c_acctbal > 5000",
+    "shared_partners_both": f"WITH {CTE}, c AS (SELECT c_custkey AS id, c_nationkey AS n FROM customer), s AS (SELECT s_suppkey AS id, s_nationkey AS n FROM supplier), r AS (SELECT 'downstream' AS relation, -target - 1 AS partner, n, weight FROM edges JOIN c ON id = source UNION ALL SELECT 'upstream', source, n, weight FROM edges JOIN s ON id = target) SELECT relation, partner, CAST(sum(CASE WHEN n = 1 THEN weight ELSE 0 END) AS BIGINT) AS weight_a, CAST(sum(CASE WHEN n = 2 THEN weight ELSE 0 END) AS BIGINT) AS weight_b FROM r GROUP BY 1, 2 HAVING weight_a >= 3 AND weight_b >= 3",
+    "group_matrix_grouped_only": f"WITH {CTE} SELECT CAST(source AS VARCHAR) AS source, 'n' || CAST(s_nationkey AS VARCHAR) AS target, max(weight) AS weight FROM edges JOIN supplier ON s_suppkey = target WHERE s_nationkey % 2 = 0 GROUP BY 1, 2",
     "filter_connectivity": f"WITH {CTE} SELECT pre AS source, post AS target, count(*) AS weight FROM connectors JOIN links USING (connector_id) JOIN orders ON o_orderkey = connector_id WHERE o_totalprice BETWEEN 50000 AND 150000 GROUP BY 1, 2",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import activity, network, neurons, readers, searching, shapes
+from . import activity, editing, network, neurons, readers, searching, shapes
 
-QUERIES = {**network.QUERIES, **searching.QUERIES, **activity.QUERIES, **shapes.QUERIES, **neurons.QUERIES, **readers.QUERIES}
-SQL = {**network.SQL, **searching.SQL, **activity.SQL, **shapes.SQL, **neurons.SQL, **readers.SQL}
+QUERIES = {**network.QUERIES, **searching.QUERIES, **activity.QUERIES, **shapes.QUERIES, **neurons.QUERIES, **readers.QUERIES, **editing.QUERIES}
+SQL = {**network.SQL, **searching.SQL, **activity.SQL, **shapes.SQL, **neurons.SQL, **readers.SQL, **editing.SQL}

@@ -80,6 +80,7 @@ SQL = {
     "annotation_counts": f"WITH {ANN} SELECT annotation, count(DISTINCT entity_id) AS entities FROM ann GROUP BY 1",
     "entity_graph": f"WITH {ANN} SELECT DISTINCT annotation AS source, entity_id AS target FROM ann JOIN part ON p_partkey = entity_id WHERE p_size < 10",
     "sub_annotations": "SELECT CAST(p_partkey AS VARCHAR) AS annotation, CASE WHEN p_partkey = 5 THEN 0 WHEN p_partkey // 2 = 5 THEN 1 ELSE 2 END AS level FROM part WHERE p_partkey = 5 OR p_partkey // 2 = 5 OR p_partkey // 4 = 5",
+    "sub_annotations_all": "WITH RECURSIVE r AS (SELECT 0::BIGINT AS id, 0 AS level UNION ALL SELECT p_partkey, level + 1 FROM part JOIN r ON p_partkey // 2 = id WHERE p_partkey > 0) SELECT CAST(id AS VARCHAR) AS annotation, level FROM r",
     "find_neurons": "SELECT p_partkey AS entity_id FROM part WHERE regexp_matches(p_name, '^(?:[a-m].*)') AND p_brand LIKE 'Brand#1%' AND p_size >= 20",
     "eval_skids": f"WITH {ANN}, t AS (SELECT 7 AS entity_id, 0 AS pos UNION ALL SELECT 3, 1 UNION ALL SELECT entity_id, 2 FROM ann WHERE regexp_matches(annotation, '^(?:Brand#1.*)') UNION ALL SELECT p_partkey, 3 FROM part WHERE regexp_matches(p_name, '^(?:a.*)')) SELECT CAST(entity_id AS BIGINT) AS entity_id, CAST(min(pos) AS INT) AS pos FROM t GROUP BY 1",
 }

@@ -160,9 +160,9 @@ def nth_partners_neurons(spark, d):
 
 
 def paths_neurons(spark, d):
-    e = _both_ways(spark, d).where("weight >= 4")
+    e = _both_ways(spark, d).where("weight >= 3")
     both = e.unionByName(e.select(F.col("target").alias("source"), F.col("source").alias("target"), "weight"))
-    out = c.paths(both, _every_hundredth(spark, d), lake.table(spark, d, "customer").where("c_acctbal > 5000").select(F.col("c_custkey").alias("id")), [2], 4)
+    out = c.paths(both, _every_hundredth(spark, d), lake.table(spark, d, "customer").where("c_acctbal > 5000").select(F.col("c_custkey").alias("id")), [2], 3)
     return out.select(F.array_join("path", ">").alias("path"), "hops")
 
 
@@ -219,7 +219,7 @@ SELECT a, b, round(n / nullif(m, 0), 6) AS matching_index, round((sa + sb) / nul
     "get_partners_all": f"WITH {CTE}, s AS (SELECT post AS partner, count(*) AS num_nodes FROM links JOIN connectors USING (connector_id) GROUP BY 1 HAVING count(*) >= 5) SELECT partner, num_nodes, source AS query, weight, total FROM (SELECT target AS partner, source, weight, CAST(sum(weight) OVER (PARTITION BY target) AS BIGINT) AS total FROM edges) JOIN s USING (partner) WHERE total >= 2",
     "similarity_queries": f"WITH {CTE}, t AS (SELECT source, count(*) AS n, sum(weight) AS s FROM edges GROUP BY 1), p AS (SELECT x.source AS a, y.source AS b, count(*) AS k, sum(x.weight + y.weight) AS s FROM edges x JOIN edges y USING (target) WHERE x.source % 100 = 0 GROUP BY 1, 2) SELECT a, b, k AS both, round(k / (u.n + v.n - k), 9) AS matching_index, round(p.s / (u.s + v.s), 9) AS matching_index_synapses FROM p JOIN t u ON u.source = a JOIN t v ON v.source = b",
     "nth_partners_neurons": f"WITH {CTE}, step AS (SELECT source AS id, -target - 1 AS nxt FROM edges WHERE weight >= 3 UNION SELECT -target - 1, source FROM edges WHERE weight >= 4), zero AS (SELECT c_custkey AS id FROM customer WHERE c_custkey % 100 = 0), one AS (SELECT DISTINCT nxt AS id FROM step JOIN zero USING (id) WHERE nxt NOT IN (SELECT id FROM zero)), two AS (SELECT DISTINCT nxt AS id FROM step JOIN one USING (id) WHERE nxt NOT IN (SELECT id FROM zero UNION SELECT id FROM one)) SELECT id, 0 AS hop FROM zero UNION ALL SELECT id, 1 FROM one UNION ALL SELECT id, 2 FROM two",
-    "get_paths_neurons": f"WITH {CTE}, e AS (SELECT * FROM edges WHERE weight >= 4) SELECT concat_ws('>', x.source, -x.target - 1, y.source) AS path, 2 AS hops FROM e x JOIN e y ON x.target = y.target AND x.source <> y.source JOIN customer ON c_custkey = y.source WHERE x.source % 100 = 0 AND c_acctbal > 5000",
+    "get_paths_neurons": f"WITH {CTE}, e AS (SELECT * FROM edges WHERE weight >= 3) SELECT concat_ws('>', x.source, -x.target - 1, y.source) AS path, 2 AS hops FROM e x JOIN e y ON x.target = y.target AND x.source <> y.source JOIN customer ON c_custkey = y.source WHERE x.source % 100 = 0 AND c_acctbal > 5000",
     "shared_partners_both": f"WITH {CTE}, c AS (SELECT c_custkey AS id, c_nationkey AS n FROM customer), s AS (SELECT s_suppkey AS id, s_nationkey AS n FROM supplier), r AS (SELECT 'downstream' AS relation, -target - 1 AS partner, n, weight FROM edges JOIN c ON id = source UNION ALL SELECT 'upstream', source, n, weight FROM edges JOIN s ON id = target) SELECT relation, partner, CAST(sum(CASE WHEN n = 1 THEN weight ELSE 0 END) AS BIGINT) AS weight_a, CAST(sum(CASE WHEN n = 2 THEN weight ELSE 0 END) AS BIGINT) AS weight_b FROM r GROUP BY 1, 2 HAVING weight_a >= 3 AND weight_b >= 3",
     "group_matrix_grouped_only": f"WITH {CTE} SELECT CAST(source AS VARCHAR) AS source, 'n' || CAST(s_nationkey AS VARCHAR) AS target, max(weight) AS weight FROM edges JOIN supplier ON s_suppkey = target WHERE s_nationkey % 2 = 0 GROUP BY 1, 2",
     "filter_connectivity": f"WITH {CTE} SELECT pre AS source, post AS target, count(*) AS weight FROM connectors JOIN links USING (connector_id) JOIN orders ON o_orderkey = connector_id WHERE o_totalprice BETWEEN 50000 AND 150000 GROUP BY 1, 2",

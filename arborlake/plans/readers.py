@@ -115,7 +115,7 @@ def neurons_in_bbox(s, d):
 def neurons_in_volume(s, d):
     n, t, k = _t(s, d, "treenodes", "tags", "skeletons")
     soma = r.has_soma(n, t, k, min_radius=25.0).where("has_soma")
-    return r.skeletons_in_volumes(n, [((0, 0, 0), (20, 1e6, 1e9)), ((15, 0, 0), (50, 1000, 1e9)), ((0, 950, 0), (50, 1e6, 500))], min_nodes=3, intersect=True, somas=soma)
+    return r.skeletons_in_volumes(n, [((0, 0, 0), (20, 1e6, 1e9)), ((15, 0, 0), (50, 1000, 1e9)), ((0, 905, 0), (50, 1e6, 500))], min_nodes=9, intersect=True, somas=soma)
 
 
 def skeletons_by_criteria(s, d):
@@ -272,7 +272,7 @@ def annotations_of_users(s, d):
 
 def entities_selected(s, d):
     notes = _notes(s, d)
-    return a.select_entities(lake.marks(s, d), lake.entities(s, d), a.nested_ids(notes, [["click", "purchase"], ["view", "error"]]), a.nested_ids(notes, [["signup"]]), ("neuron",))
+    return a.select_entities(lake.marks(s, d).where("user_id = 7"), lake.entities(s, d), a.nested_ids(notes, [["click", "purchase"], ["view", "error"]]), a.nested_ids(notes, [["signup"]]), ("neuron",))
 
 
 def entities_below(s, d):
@@ -359,7 +359,7 @@ SQL = {
     "get_skids_by_origin": "SELECT s_suppkey * 3 AS source_id, s_suppkey AS skeleton_id FROM supplier WHERE s_nationkey % 3 = 1 AND s_nationkey % 2 = 1 AND s_suppkey * 3 IN (SELECT c_custkey FROM customer)",
     "get_skeleton_change": "SELECT l_suppkey % 10 AS skeleton_id, l_orderkey % 10 AS new_skeleton_id, count(*) AS n_nodes, min(l_shipdate) AS first, max(l_shipdate) AS last FROM lineitem WHERE l_suppkey % 10 <> l_orderkey % 10 GROUP BY 1, 2",
     "get_neurons_in_bbox": _sql("SELECT skeleton_id, count(*) AS n_nodes, round(sum(length), 3) AS cable FROM te WHERE x BETWEEN 10 AND 40 AND y >= 900 GROUP BY 1 HAVING count(*) >= 20 AND sum(length) >= 100"),
-    "get_neurons_in_volume": _sql("SELECT skeleton_id FROM (SELECT skeleton_id, v FROM (SELECT *, unnest([1, 2, 3]) AS v FROM te) WHERE (v = 1 AND x <= 20) OR (v = 2 AND x >= 15 AND y <= 1000) OR (v = 3 AND y >= 950 AND z <= 500) GROUP BY 1, 2 HAVING count(*) >= 3 AND sum(length) >= 1) WHERE skeleton_id IN (SELECT skeleton_id FROM tn JOIN tg USING (node_id) WHERE tag = 'soma' AND kind = 'node' AND radius >= 25) GROUP BY 1 HAVING count(*) = 3"),
+    "get_neurons_in_volume": _sql("SELECT skeleton_id FROM (SELECT skeleton_id, v FROM (SELECT *, unnest([1, 2, 3]) AS v FROM te) WHERE (v = 1 AND x <= 20) OR (v = 2 AND x >= 15 AND y <= 1000) OR (v = 3 AND y >= 905 AND z <= 500) GROUP BY 1, 2 HAVING count(*) >= 9 AND sum(length) >= 1) WHERE skeleton_id IN (SELECT skeleton_id FROM tn JOIN tg USING (node_id) WHERE tag = 'soma' AND kind = 'node' AND radius >= 25) GROUP BY 1 HAVING count(*) = 3"),
     "get_skeleton_ids": _sql("SELECT DISTINCT skeleton_id FROM tn WHERE creator_id = 3 AND created >= '2020-01-05' AND created < '2020-03-01' AND node_id IN (SELECT node_id FROM rv WHERE reviewer_id = 4)"),
     "get_skeleton_ids_by_size": _sql("SELECT skeleton_id FROM tn GROUP BY 1 HAVING count(*) > 75"),
     "has_soma": _sql(f"SELECT skeleton_id, coalesce(s, '') AS somas FROM sk LEFT JOIN (SELECT skeleton_id, {_list('node_id')} AS s FROM tn WHERE radius >= 45 AND node_id % 5 = 0 GROUP BY 1) USING (skeleton_id)"),
@@ -391,7 +391,7 @@ UNION ALL SELECT 'upstream', source, target, count(*) FROM (SELECT * FROM {_EDGE
     "get_annotation_id": _sql("SELECT term, annotation_id, name FROM nt, (SELECT unnest(['/[a-e].*', 'meta 2', '~click']) AS term) WHERE (term = '/[a-e].*' AND regexp_matches(name, '^[a-e]')) OR (term = 'meta 2' AND name = 'meta 2') OR (term = '~click' AND name = 'click')"),
     "get_annotation_details": _sql("""SELECT name AS annotation, login AS "user", count(*) AS n, date_trunc('minute', min(marked)) AS first, date_trunc('minute', max(marked)) AS last FROM mk JOIN nt USING (annotation_id) LEFT JOIN us USING (user_id) GROUP BY 1, 2"""),
     "get_user_annotations": _sql("SELECT user_id, annotation_id, name AS annotation, count(*) AS times_used, max(marked) AS last_used FROM mk JOIN nt USING (annotation_id) WHERE user_id < 12 GROUP BY ALL"),
-    "get_entities": _sql("SELECT entity_id, kind, name FROM en WHERE kind = 'neuron' AND entity_id IN (SELECT entity_id FROM mk JOIN nt USING (annotation_id) WHERE nt.name IN ('click', 'purchase')) AND entity_id IN (SELECT entity_id FROM mk JOIN nt USING (annotation_id) WHERE nt.name IN ('view', 'error')) AND entity_id NOT IN (SELECT entity_id FROM mk JOIN nt USING (annotation_id) WHERE nt.name = 'signup')"),
+    "get_entities": _sql("SELECT entity_id, kind, name FROM en WHERE kind = 'neuron' AND entity_id IN (SELECT entity_id FROM mk JOIN nt USING (annotation_id) WHERE user_id = 7 AND nt.name IN ('click', 'purchase')) AND entity_id IN (SELECT entity_id FROM mk JOIN nt USING (annotation_id) WHERE user_id = 7 AND nt.name IN ('view', 'error')) AND entity_id NOT IN (SELECT entity_id FROM mk JOIN nt USING (annotation_id) WHERE user_id = 7 AND nt.name = 'signup')"),
     "get_entities_expanded": _sql("SELECT entity_id, kind, name FROM en WHERE entity_id > 3 OR (entity_id IN (SELECT annotation_id FROM meta) AND entity_id < 3)"),
     "get_entity_graph": _sql("SELECT source, target, kind FROM (SELECT DISTINCT annotation_id, entity_id, nt.name AS source, en.name AS target, en.kind FROM mk JOIN nt USING (annotation_id) JOIN en USING (entity_id))"),
     "ambiguous_names": _sql("SELECT name, count(*) AS n FROM en GROUP BY 1 HAVING count(*) > 1"),

@@ -74,7 +74,7 @@ def mesh_points(x3d: Column) -> Column:
     """Vertices (array of arrays of three) in an X3D string."""
     text = F.regexp_extract(x3d, r"point=['\"]([^'\"]*)['\"]", 1)
     flat = F.transform(F.filter(F.split(text, r"[\s,]+"), lambda s: s != ""), lambda s: s.cast("double"))
-    return F.transform(F.sequence(F.lit(0), F.size(flat) / 3 - 1), lambda i: F.slice(flat, (i * 3 + 1).cast("int"), 3))
+    return F.when(F.size(flat) < 3, F.array().cast("array<array<double>>")).otherwise(F.transform(F.sequence(F.lit(0), (F.size(flat) / 3).cast("int") - 1), lambda i: F.slice(flat, i * 3 + 1, 3)))
 
 
 def match_landmarks(members: DataFrame, locations: DataFrame, group1: str, group2: str) -> DataFrame:
@@ -208,3 +208,25 @@ def boxes_around(points: DataFrame, size: tuple[float, float] = (500.0, 500.0))
     """Boxes of a size in the plane around points (x, y, z)."""
     (w, h), half = size, lambda v: v / 2
     return points.select("*", *[(F.col(c) + s * half(v)).alias(f"{c}{n}") for c, v in (("x", w), ("y", h)) for n, s in ((1, -1), (2, 1))], F.col("z").alias("z1"), F.col("z").alias("z2"))
+
+
+def mesh_faces(x3d: Column) -> Column:
+    """Triangles (array of arrays of three vertex numbers, from 0) in an X3D string of a triangle set, or of a face set whose faces have three corners."""
+    text = F.regexp_extract(x3d, r"(?:coordIndex|index)=['\"]([^'\"]*)['\"]", 1)
+    flat = F.filter(F.transform(F.filter(F.split(text, r"[\s,]+"), lambda s: s != ""), lambda s: s.cast("int")), lambda i: i >= 0)
+    return F.when(F.size(flat) < 3, F.array().cast("array<array<int>>")).otherwise(F.transform(F.sequence(F.lit(0), (F.size(flat) / 3).cast("int") - 1), lambda i: F.slice(flat, i * 3 + 1, 3)))
+
+
+def landmark_locations(landmarks: DataFrame) -> DataFrame:
+    """A row a landmark and location. landmarks: landmark_id, name, locations (array of structs of id, x, y, z)."""
+    return landmarks.select("landmark_id", "name", F.explode("locations").alias("at")).select("landmark_id", "name", F.col("at.id").alias("location_id"), "at.x", "at.y", "at.z")
+
+
+def resolve_nodes(terms: DataFrame, nodes: DataFrame | None = None, connectors: DataFrame | None = None) -> DataFrame:
+    """(node_id): ids from text or numbers (term), and those of tables of nodes (node_id) and connectors (connector_id), each once; what is no number is left out."""
+    out = terms.select(F.col("term").cast("string").try_cast("long").alias("node_id")).where("node_id IS NOT NULL")
+    if nodes is not None:
+        out = out.unionByName(nodes.select("node_id"))
+    if connectors is not None:
+        out = out.unionByName(connectors.select(F.col("connector_id").alias("node_id")))
+    return out.distinct()

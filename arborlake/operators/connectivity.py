@@ -65,14 +65,21 @@ def adjacency(edge_table: DataFrame, sources: DataFrame, targets: DataFrame, syn
 
 
 def group_matrix(matrix: DataFrame, row_groups: DataFrame | None = None, col_groups: DataFrame | None = None, method: str = "SUM", drop_ungrouped: bool = False) -> DataFrame:
-    """Collapse a long matrix (source, target, weight), rows first and columns then, so AVERAGE is a mean of means. Groups: (id, grp)."""
+    """Collapse a long matrix (source, target, weight), rows first and columns then, so AVERAGE is a mean of means. Groups: (id, grp).
+
+    For the other methods the order makes no difference, and one aggregation serves both.
+    """
+    both = method != "AVERAGE" and row_groups is not None and col_groups is not None
     for groups, own, other in ((row_groups, "source", "target"), (col_groups, "target", "source")):
         if groups is None:
             continue
         matrix = matrix.join(groups.select(F.col("id").alias(own), "grp"), own, "inner" if drop_ungrouped else "left")
         label = F.coalesce(F.col("grp").cast("string"), F.col(own).cast("string"))
-        matrix = matrix.groupBy(label.alias(own), other).agg(METHODS[method]("weight").alias("weight"))
-    return matrix
+        if both:
+            matrix = matrix.select(label.alias(own), other, "weight")
+        else:
+            matrix = matrix.groupBy(label.alias(own), other).agg(METHODS[method]("weight").alias("weight"))
+    return matrix.groupBy("source", "target").agg(METHODS[method]("weight").alias("weight")) if both else matrix
 
 
 def partners(edge_table: DataFrame, query: DataFrame, sizes: DataFrame, threshold: int = 1, min_size: int = 2) -> DataFrame:
@@ -195,7 +202,7 @@ def similarity(edge_table: DataFrame, ids: DataFrame, c1: float = 0.5, c2: float
     contribute follows from each neuron's totals. The rows for pairs without shared
     partners come from the grid of the given ids.
     """
-    own = edge_table.join(ids.select(F.col("id").alias("source")).distinct(), "source", "left_semi").select("source", "target", F.col("weight").cast("double").alias("w"))
+    own = cut(edge_table.join(ids.select(F.col("id").alias("source")).distinct(), "source", "left_semi").select("source", "target", F.col("weight").cast("double").alias("w")))
     w = F.col("w")
     total = own.groupBy(F.col("source").alias("id")).agg(F.sum("w").alias("sum"), F.count("*").alias("n"), F.sum(w - c1 * w * F.exp(-c2 * w)).alias("best"))
     x = own.select(F.col("source").alias("a"), "target", F.col("w").alias("wa"))

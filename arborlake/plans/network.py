@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import connectivity as c
+from ..operators.trees import cut
 from ..sources import lake
 
 CTE = "connectors AS (SELECT o_orderkey AS connector_id, o_custkey AS pre FROM orders), links AS (SELECT l_orderkey AS connector_id, l_suppkey AS post, (l_linenumber - 1) % 5 + 1 AS confidence FROM lineitem), edges AS (SELECT pre AS source, post AS target, count(*) AS weight FROM connectors JOIN links USING (connector_id) GROUP BY 1, 2)"
@@ -124,7 +125,7 @@ NATIONS = "nations AS (SELECT c_nationkey AS source, s_nationkey AS target, sum(
 
 
 def _strong(spark, d):
-    e = _people(spark, d)
+    e = cut(_people(spark, d))  # for the level and for the edges
     level = e.agg(F.expr("percentile_disc(0.9) WITHIN GROUP (ORDER BY weight)").alias("level"))
     return e.join(level, F.col("weight") >= F.col("level")).select("source", "target", "weight")
 

@@ -22,7 +22,9 @@ tokens, by a join.
 
 Offsets are code points, ends exclusive. Nulls: a null text is empty; a null repository
 or owner counts as one of its own, ""; a null doc_id is kept. Repeated rows count once per
-repository and owner, and each has its row in the result. Extra columns are not read.
+repository and owner, and each has its row in the result. Spans that begin at one place stand in the
+order of the kinds. Texts are scanned whole, one at a time, whatever their length; an empty table gives
+no rows. Extra columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

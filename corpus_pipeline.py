@@ -2,7 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; what it returns is
 written and read again before the next one. All but the last return the columns of
-``documents``.
+``documents``, extra ones included, whatever their names (but for those that begin with two underscores).
+
+Null texts, empty ones and those of blanks go through all stages until mixing, which takes documents with tokens
+only. A null doc_id is kept throughout. Repeated rows and rows of equal texts are one group of near copies, of which one row stays: of the smallest doc_id,
+null last; of ties the first as read. Of a text of any length the whole is read. Empty tables give empty results; without labels nothing
+is toxic, and without benchmark items nothing is taken out.
 """
 
 from __future__ import annotations
@@ -14,27 +19,27 @@ from arborlake.llm.scratch import Scratch
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score as toxic go; the classifier learns from labelled rows of ``docs``."""
+    """Documents that score 0.7 or more as toxic go; the classifier learns from labelled rows of ``docs``. Empty texts score low and stay."""
     return toxicity.keep_clean(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays (five-word shingles, similarity 0.8)."""
+    """One document of each group of near copies stays (five-word shingles, similarity 0.8 or more). Texts without words are no copies of one another."""
     return minhash.keep_first(docs)
 
 
 def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a passage of the benchmark go."""
+    """Documents with a passage of the benchmark go: ten words of an item in a row, or all of a shorter one. Null and empty items have none."""
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents by the target weights; one that two epochs take comes twice."""
+    """Documents by the target weights; one that two epochs take comes twice. Null languages and sources are values of their own."""
     return mixing.mix(docs, mixing.WEIGHTS).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shards of token ids, and their digest as read back."""
+    """Shards of token ids in the order of doc_id (null first, equal ids by a hash of their text), and their digest as read back."""
     return token_output.token_output(docs)
 
 

@@ -123,4 +123,39 @@ page AS (SELECT p.page_id, p.host, p.path, fit.rule, fit.verdict, coalesce(trust
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN distrust - trust > {TIE}::DOUBLE * greatest(distrust, trust) THEN 'block' ELSE 'allow' END) AS verdict, round(trust, 9) AS trust, round(distrust, 9) AS distrust FROM page
 """
 
-SQL = {"op2_line_dedup": LINES, "op3_decontaminate": LEAKS, "op4_mixing": MIXED, "op5_embed_dedup": VECTORS, "op8_url_filter": URLS, "op9_minhash": NEAR}
+_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+DIVERGENCE = rf"""
+WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_words("text", _TERM)} AS w FROM documents),
+words AS (SELECT d, lang, source, unnest(w) AS term FROM docs),
+kept AS MATERIALIZED (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM words GROUP BY ALL HAVING count(DISTINCT d) >= 30),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+found AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM words GROUP BY ALL),
+grid AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(f.n, 0) AS n, k.n AS all_n FROM groups g JOIN kept k USING (lang) LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term),
+shares AS MATERIALIZED (SELECT *, 1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * count(*) OVER (PARTITION BY lang, source)) AS p, 1 + (1000000000 * (all_n + 5)) // (sum(all_n) OVER (PARTITION BY lang, source) + 5 * count(*) OVER (PARTITION BY lang, source)) AS q FROM grid),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+_ROUNDS = range(1, 7)
+_FLOOR = "CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS HUGEINT)"
+
+#: Vectors and centroids in long form, a row a component; table a{i} assigns by the centroids of table c{i}.
+CENTROIDS = f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+v AS MATERIALIZED (SELECT r, i, CAST(floor(256 * CAST(embedding[i] AS DOUBLE)) AS HUGEINT) AS x FROM (SELECT r, embedding, unnest(range(1, 65)) AS i FROM kept)),
+first AS (SELECT r, row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)) NULLS LAST, embedding) - 1 AS c FROM kept QUALIFY c < 40),
+c1 AS MATERIALIZED (SELECT c, i, x AS y FROM first JOIN v USING (r)),
+{",".join(f"""
+a{n} AS MATERIALIZED (SELECT r, min(c) AS c, min(d) AS d FROM (SELECT r, c, sum((x - y) * (x - y)) AS d FROM v JOIN c{n} USING (i) GROUP BY r, c QUALIFY d = min(d) OVER (PARTITION BY r)) GROUP BY r),
+s{n} AS (SELECT c, i, {_FLOOR} AS y FROM a{n} JOIN v USING (r) GROUP BY c, i),
+c{n + 1} AS MATERIALIZED (SELECT o.c, o.i, coalesce(s.y, o.y) AS y FROM c{n} o LEFT JOIN s{n} s ON s.c = o.c AND s.i = o.i)""" for n in _ROUNDS)},
+names AS (SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c6 GROUP BY c)
+SELECT vec_id, CAST(c AS INT) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a6 JOIN kept USING (r) JOIN names USING (c)
+"""
+
+SQL = {"op2_line_dedup": LINES, "op3_decontaminate": LEAKS, "op4_mixing": MIXED, "op5_embed_dedup": VECTORS, "op8_url_filter": URLS, "op9_minhash": NEAR, "op11_divergence": DIVERGENCE, "op12_centroids": CENTROIDS}

@@ -445,3 +445,37 @@ def test_all_pairs_of_sets_agree():
 
     assert all(line_dedup.within_one(a, b) == (distance(a, b) <= 1) for a in words for b in words)
     assert union_find([1, 2, 3], [(2, 3)]) == {1: 1, 2: 2, 3: 2}
+
+
+def test_secrets_in_long_tokens(spark):
+    """Tokens of megabytes: time and memory follow their length, and what is in them is found."""
+    import time
+    import tracemalloc
+
+    r = random.Random(31)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    text = "".join(r.choices(chars, k=2_000_000))
+    spent = []
+    secrets.Hashes.powers(1)
+    for n in (250_000, 500_000, 1_000_000, 2_000_000):
+        tracemalloc.start()
+        begin = time.perf_counter()
+        secrets.bare_tokens(text[:n], [])
+        spent.append((time.perf_counter() - begin, tracemalloc.get_traced_memory()[1]))
+        tracemalloc.stop()
+    assert spent[-1][1] < 300e6 and spent[-1][1] < 10 * spent[0][1] and spent[-1][0] < 20 * max(spent[0][0], 0.05)
+    live = "Zx9Qw8Er7Ty6Ui5Op4As"
+    dotted = ".".join("a1" for _ in range(100_000))
+    rows = [(1, f"password={live}", "en", "s"), (2, f"data:image/png;base64,{text[:1_000_000]}/{live}", "en", "s"), (3, f"{dotted}={live}", "en", "t"), (4, text[:1_000_000] + " token: " + text[1_000_000:] + "==", "en", "t"), (5, text[1_000_000:].strip("/"), "en", "t")]
+    got = collect(secrets.find(docs_of(spark, rows)))
+    found = {i: [(s["kind"], s["start"], s["stop"]) for s in x["spans"]] for i, x in got.items()}
+    assert found[1] == [("assign", 0, 29)] and found[2] == [("repeat", 22 + 1_000_001, 22 + 1_000_021)] and found[3] == [("repeat", len(dotted) + 1, len(dotted) + 21)]
+    assert found[4][-1] == ("assign", 1_000_001, 2_000_010) and ("repeat", 0, len(rows[4][1])) in found[5]
+
+
+def test_secret_hashes_are_those_of_substrings():
+    r = random.Random(32)
+    for n in (12, 90, 3000, 70_000):
+        token = "".join(r.choices("abc123+/=.", k=n))
+        start, stop = secrets.candidates(token)
+        assert secrets.Hashes(token.encode()).of(start, stop).tolist()[:300] == [secrets.value_hash(token[a:b]) for a, b in zip(start[:300], stop[:300])]

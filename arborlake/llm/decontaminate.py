@@ -107,11 +107,16 @@ def without(text: str | None, spans: list) -> str | None:
 
 
 def item_groups(benchmark: DataFrame, item: str = "item_id", text: str = "text", limit: int = BROADCAST_BYTES) -> list[DataFrame]:
-    """The benchmark in parts whose texts are within ``limit`` bytes each (a single item may exceed it by its own length)."""
+    """The benchmark's distinct items in parts whose texts are within ``limit`` bytes each, which is checked (a single item may exceed it by its own length)."""
     rows = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-2 * total // limit) if total > limit else 1
-    return [rows] if n == 1 else [rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) for k in range(n)]
+    if total <= limit:
+        return [rows]
+    rows, n = rows.distinct(), -(-3 * total // (2 * limit))
+    part = lambda n: F.pmod(F.xxhash64("item", "text"), F.lit(n))
+    while not rows.groupBy(part(n)).agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n")).where((F.col("bytes") > limit) & (F.col("n") > 1)).isEmpty():
+        n *= 2
+    return [rows.where(part(n) == k) for k in range(n)]
 
 
 def _windows_of(group: DataFrame, n: int) -> Windows:
@@ -137,18 +142,26 @@ def find(docs: DataFrame, benchmark: DataFrame, n: int = 10, limit: int = BROADC
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(scan, FOUND)
 
 
-def _merged(docs: DataFrame, groups: list[DataFrame], n: int) -> DataFrame:
-    """Several scans: a document's hit words are those in the union of its spans."""
+def _numbered(docs: DataFrame, columns: list) -> DataFrame:
+    from .scratch import Scratch
+
+    return Scratch(docs.sparkSession, "decontaminate").keep(docs.select(*columns, F.monotonically_increasing_id().alias("__row")), "rows")
+
+
+def _runs(rows: DataFrame, groups: list[DataFrame], n: int) -> DataFrame:
+    """(__row, items, runs) of the rows (text, __row) that are hit: their runs of hit words, from one scan a group.
+
+    The scans run one after the other and leave tables of hits, so driver and workers hold the windows of one group at a time.
+    """
     from .scratch import Scratch
 
-    rows = Scratch(docs.sparkSession, "decontaminate").keep(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.monotonically_increasing_id().alias("row")), "rows")
-    found = None
+    scratch, found = Scratch(rows.sparkSession, "decontaminate"), None
     for group in groups:
-        held = docs.sparkSession.sparkContext.broadcast(_windows_of(group, n))
+        held = rows.sparkSession.sparkContext.broadcast(_windows_of(group, n))
 
         def scan(batches, held=held):
-            for batch in slices(batches, 1):
-                words = Words(batch.column(1))
+            for batch in slices(batches, 0):
+                words = Words(batch.column(0))
                 hit, items = held.value.scan(words)
                 hits = np.concatenate(([0], np.cumsum(hit)))[words.first]
                 own = np.flatnonzero(np.diff(hits))
@@ -157,50 +170,78 @@ def _merged(docs: DataFrame, groups: list[DataFrame], n: int) -> DataFrame:
                     a = words.first[i]
                     edge = np.flatnonzero(np.diff(hit[a : words.first[i + 1]].view(np.int8), prepend=np.int8(0), append=np.int8(0)))
                     runs.append([{"start": int(s), "stop": int(e)} for s, e in zip(edge[::2], edge[1::2])])
-                yield pa.RecordBatch.from_arrays([batch.column(2).take(pa.array(own)), pa.array([sorted(items[i]) for i in own], pa.list_(pa.string())), pa.array(runs, _SPANS)], ["row", "items", "runs"])
+                yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(own)), pa.array([sorted(items[i]) for i in own], pa.list_(pa.string())), pa.array(runs, _SPANS)], ["__row", "items", "runs"])
 
-        part = rows.mapInArrow(scan, "row long, items array<string>, runs array<struct<start:long,stop:long>>")
+        part = rows.select(F.col("text").cast("string"), "__row").mapInArrow(scan, "__row long, items array<string>, runs array<struct<start:long,stop:long>>")
+        part = scratch.keep(part, "hits")
+        held.destroy()
         found = part if found is None else found.unionByName(part)
-    found = found.groupBy("row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("runs")).alias("runs"))
+    return found.groupBy("__row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("runs")).alias("runs"))
+
+
+def _marked(words: Words, runs: list) -> np.ndarray:
+    """Flags of the words in the runs of each text."""
+    hit = np.zeros(len(words.hash), bool)
+    for i, own in enumerate(runs):
+        for r in own or []:
+            hit[words.first[i] + r["start"] : words.first[i] + r["stop"]] = True
+    return hit
+
+
+def _merged(docs: DataFrame, groups: list[DataFrame], n: int) -> DataFrame:
+    """Several scans: a document's hit words are those in the union of its spans."""
+    rows = _numbered(docs, [F.col("doc_id").cast("long"), F.col("text").cast("string")])
+    found = _runs(rows, groups, n)
 
     def finish(batches):
         for batch in slices(batches, "text"):
             words = Words(batch.column("text"))
-            hit = np.zeros(len(words.hash), bool)
-            for i, runs in enumerate(batch.column("runs").to_pylist()):
-                for r in runs or []:
-                    hit[words.first[i] + r["start"] : words.first[i] + r["stop"]] = True
+            hit = _marked(words, batch.column("runs").to_pylist())
             hits = np.concatenate(([0], np.cumsum(hit)))[words.first]
             items = pa.array([x or [] for x in batch.column("items").to_pylist()], pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(words.counts), pa.array(np.diff(hits)), items, pa.array([hit_spans(words, hit, i) for i in range(batch.num_rows)], _SPANS)], ["doc_id", "n_words", "n_hit", "items", "spans"])
 
-    return rows.join(found, "row", "left").select("doc_id", "text", "items", "runs").mapInArrow(finish, FOUND)
+    return rows.join(found, "__row", "left").select("doc_id", "text", "items", "runs").mapInArrow(finish, FOUND)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, remove: str = "document", limit: int = BROADCAST_BYTES) -> DataFrame:
     """``docs`` with all its columns, without hit documents or (``remove="span"``) without their hit spans."""
     if remove not in ("document", "span"):
         raise ValueError("remove is 'document' or 'span'")
-    place, kind = docs.columns.index("text"), docs.schema
-    out = docs
-    for group in item_groups(benchmark, limit=limit):
-        held = docs.sparkSession.sparkContext.broadcast(_windows_of(group, n))
+    place, groups = docs.columns.index("text"), item_groups(benchmark, limit=limit)
+
+    def cut(batch: pa.RecordBatch, words: Words, hit: np.ndarray, hits: np.ndarray) -> pa.RecordBatch:
+        texts = [without(t, hit_spans(words, hit, i)) if hits[i] else t for i, t in enumerate(batch.column(place).to_pylist())]
+        return pa.RecordBatch.from_arrays([*batch.columns[:place], pa.array(texts, batch.schema.field(place).type), *batch.columns[place + 1 :]], schema=batch.schema)
 
-        def clean(batches, held=held):
+    if len(groups) > 1:
+        rows = _numbered(docs, ["*"])
+        found = _runs(rows, groups, n).select("__row", F.col("runs").alias("__runs"))
+        if remove == "document":
+            return rows.join(found, "__row", "left_anti").select(docs.columns)
+
+        def spans(batches):
             for batch in slices(batches, place):
                 words = Words(batch.column(place))
-                hit, _ = held.value.scan(words)
-                hits = np.diff(np.concatenate(([0], np.cumsum(hit)))[words.first])
-                if remove == "document":
-                    yield batch.filter(pa.array(hits == 0))
-                elif hits.any():
-                    texts = [without(t, hit_spans(words, hit, i)) if hits[i] else t for i, t in enumerate(batch.column(place).to_pylist())]
-                    yield pa.RecordBatch.from_arrays([*batch.columns[:place], pa.array(texts, batch.schema.field(place).type), *batch.columns[place + 1 :]], schema=batch.schema)
-                else:
-                    yield batch
-
-        out = out.mapInArrow(clean, kind)
-    return out
+                hit = _marked(words, batch.column("__runs").to_pylist())
+                kept = batch.select(docs_columns)
+                yield cut(kept, words, hit, np.diff(np.concatenate(([0], np.cumsum(hit)))[words.first]))
+
+        docs_columns = docs.columns
+        return rows.join(found, "__row", "left").select(*docs_columns, "__runs").mapInArrow(spans, docs.schema)
+    held = docs.sparkSession.sparkContext.broadcast(_windows_of(groups[0], n))
+
+    def clean(batches):
+        for batch in slices(batches, place):
+            words = Words(batch.column(place))
+            hit, _ = held.value.scan(words)
+            hits = np.diff(np.concatenate(([0], np.cumsum(hit)))[words.first])
+            if remove == "document":
+                yield batch.filter(pa.array(hits == 0))
+            else:
+                yield cut(batch, words, hit, hits) if hits.any() else batch
+
+    return docs.mapInArrow(clean, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,6 +37,15 @@ def _delete(spark: SparkSession, uri: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def delete_matching(spark: SparkSession, pattern: str) -> None:
+    """Delete the files that a glob pattern names, in any store that Spark writes to."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in store.globStatus(path) or []:
+        store.delete(status.getPath(), True)
+
+
 @atexit.register
 def _clear() -> None:
     for folder, spark in _left.items():

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from .scratch import Scratch, delete_matching
 from .tokenize import default_vocabulary, encoder
 
 SKIP, FOOTER = 0x184D2A50, 0x8F92EAB1
@@ -180,6 +180,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: i
             yield pa.RecordBatch.from_pydict(row, schema=pa.schema([("shard", pa.int64()), ("path", pa.string()), ("width", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("bytes", pa.int64())]))
 
     rows.select("doc_id", "text").mapInArrow(shard, MANIFEST).write.mode("overwrite").parquet(f"{folder}/manifest")
+    delete_matching(spark, f"{folder}/_part-*")  # of tasks that were lost
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
@@ -229,9 +230,9 @@ def fetch(manifest: DataFrame, folder: str, doc_ids: list[int]) -> DataFrame:
     return manifest.repartition(max(1, manifest.count())).mapInArrow(pick, "doc_id long, ids array<int>")
 
 
-def token_output(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2) -> DataFrame:
-    """Write shards to the shared folder and return the digest that reading them back gives."""
-    folder = Scratch(docs.sparkSession, "token-output").path("shards")
+def token_output(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2, folder: str | None = None) -> DataFrame:
+    """Write shards and return the digest that reading them back gives. Files in a given ``folder`` stay; without one they go to a folder of the shared store that lasts as long as the driver."""
+    folder = folder or Scratch(docs.sparkSession, "token-output").path("shards")
     return read(write(docs, folder, vocabulary, end_id), folder)
 
 

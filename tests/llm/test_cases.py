@@ -479,3 +479,52 @@ def test_secret_hashes_are_those_of_substrings():
         token = "".join(r.choices("abc123+/=.", k=n))
         start, stop = secrets.candidates(token)
         assert secrets.Hashes(token.encode()).of(start, stop).tolist()[:300] == [secrets.value_hash(token[a:b]) for a, b in zip(start[:300], stop[:300])]
+
+
+def test_decontaminate_holds_one_group_at_a_time(spark):
+    """A limit of a tenth of the benchmark: groups within it, one Python worker in any plan, and the same result."""
+    r = random.Random(33)
+    word = lambda: f"w{r.randrange(3000)}"
+    items = [(f"i{i}", " ".join(word() for _ in range(r.randrange(1, 40)))) for i in range(120)] + [("i1", "once more"), ("i1", "once more")]
+    rows = [(i, " ".join([word() for _ in range(20)] + ([items[i % 120][1]] if i % 3 else []) + [word() for _ in range(9)]), "en", "s") for i in range(150)] + mixed_rows()
+    bench, docs = spark.createDataFrame(items, "item_id string, text string"), docs_of(spark, rows)
+    limit = sum(len(t) for _, t in items) // 10
+    groups = decontaminate.item_groups(bench, limit=limit)
+    sizes = [[len(x["text"]) for x in g.collect()] for g in groups]
+    assert len(groups) >= 10 and all(sum(x) <= limit or len(x) == 1 for x in sizes) and sum(map(len, sizes)) == len(set(items))
+    for remove in ("document", "span"):
+        many = decontaminate.decontaminate(docs, bench, remove=remove, limit=limit)
+        assert many._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") <= 1 and many.columns == docs.columns
+        assert Counter(map(str, many.collect())) == Counter(map(str, decontaminate.decontaminate(docs, bench, remove=remove).collect()))
+
+
+def test_pipeline_keeps_its_files(tmp_path):
+    """A second session reads what the first one wrote, after it has ended."""
+    import subprocess
+    import sys
+
+    data, shared, out = tmp_path / "data", tmp_path / "shared", tmp_path / "corpus"
+    code = """
+import sys
+from pyspark.sql import SparkSession
+import corpus_pipeline
+from arborlake.llm import token_output
+step, data, shared, out = sys.argv[1:]
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", shared).getOrCreate()
+if step == "write":
+    rows = [(i, f"text number {i} of some words " * (i % 5), "en", "src1", 0) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{data}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{data}/labels.parquet")
+    spark.createDataFrame([], "item_id string, text string").write.parquet(f"{data}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, data, None if out == "default" else out).collect()
+else:
+    manifest = spark.read.parquet(f"{out}/manifest")
+    got = token_output.read(manifest, out).collect()
+print("DIGEST", *sorted({getattr(r, "folder", out) for r in got}), sorted((r["doc_id"], r["start"], r["ids_crc32"]) for r in got), sep="|")
+"""
+    say = lambda *args: next(x for x in subprocess.run([sys.executable, "-c", code, *map(str, args)], capture_output=True, text=True, check=True).stdout.splitlines() if x.startswith("DIGEST")).split("|")
+    _, folder, rows = say("write", f"file://{data}", f"file://{shared}", f"file://{out}")
+    assert folder == f"file://{out}" and len(rows) > 20
+    assert say("read", f"file://{data}", f"file://{shared}", folder)[2] == rows
+    _, folder, rows = say("write", f"file://{data}2", f"file://{shared}", "default")
+    assert folder.startswith(f"file://{shared}/") and say("read", f"file://{data}2", f"file://{shared}", folder)[2] == rows

@@ -6,16 +6,20 @@ written and read again before the next one. All but the last return the columns
 
 Null texts, empty ones and those of blanks go through all stages until mixing, which takes documents with tokens
 only. A null doc_id is kept throughout. Repeated rows and rows of equal texts are one group of near copies, of which one row stays: of the smallest doc_id,
-null last; of ties the first as read. Of a text of any length the whole is read. Empty tables give empty results; without labels nothing
+null last; of ties the first as read. The token files stay when the driver ends: in the folder that ``run`` is given, or in one of its own
+below ``spark.checkpoint.dir``; the result's column ``folder`` names it. Of a text of any length the whole is read. Empty tables give empty results; without labels nothing
 is toxic, and without benchmark items nothing is taken out.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from arborlake.llm import decontaminate, minhash, mixing, token_output, toxicity
-from arborlake.llm.scratch import Scratch
+from arborlake.llm.scratch import Scratch, shared_dir
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +42,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, mixing.WEIGHTS).select(*docs.columns)
 
 
-def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shards of token ids in the order of doc_id (null first, equal ids by a hash of their text), and their digest as read back."""
-    return token_output.token_output(docs)
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, output: str | None = None) -> DataFrame:
+    """Shards of token ids in the order of doc_id (null first, equal ids by a hash of their text) in the folder ``output``, and their digest as read back."""
+    folder = output or f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
+    return token_output.token_output(docs, folder=folder).withColumn("folder", F.lit(folder))
 
 
 STAGES = [("toxicity", clean), ("minhash", unique), ("decontamination", unseen), ("mixing", mixed), ("tokens", tokens)]
@@ -49,13 +54,12 @@ STAGES = [("toxicity", clean), ("minhash", unique), ("decontamination", unseen),
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, output: str | None = None) -> DataFrame:
+    """Digest of the token files of the corpus (see ``tokens``), which lie in ``output``."""
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        before, docs = docs, stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = scratch.keep(docs, name)
-            if i:
-                scratch.drop(before)
-    return docs
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, scratch.keep(stage(spark, docs, sf_dir), name)
+        if i:
+            scratch.drop(before)
+    return tokens(spark, docs, sf_dir, output)

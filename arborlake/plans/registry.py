@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import activity, editing, extras, network, neurons, readers, searching, shapes
+from . import activity, clusters, editing, extras, network, neurons, readers, searching, shapes
 
-QUERIES = {**network.QUERIES, **searching.QUERIES, **activity.QUERIES, **shapes.QUERIES, **neurons.QUERIES, **readers.QUERIES, **editing.QUERIES, **extras.QUERIES}
-SQL = {**network.SQL, **searching.SQL, **activity.SQL, **shapes.SQL, **neurons.SQL, **readers.SQL, **editing.SQL, **extras.SQL}
+QUERIES = {**network.QUERIES, **searching.QUERIES, **activity.QUERIES, **shapes.QUERIES, **neurons.QUERIES, **readers.QUERIES, **editing.QUERIES, **extras.QUERIES, **clusters.QUERIES}
+SQL = {**network.SQL, **searching.SQL, **activity.SQL, **shapes.SQL, **neurons.SQL, **readers.SQL, **editing.SQL, **extras.SQL, **clusters.SQL}

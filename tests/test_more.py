@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from arborlake.functions import text
 from arborlake.operators import annotations, clustering, connectivity, mutate, readers, spatial, trees
 
+from . import linkage
+
 
 @pytest.mark.parametrize("method", ["single", "complete", "average", "ward"])
 def test_linkage(spark, method):
@@ -17,11 +19,11 @@ def test_linkage(spark, method):
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
     rows = [(a, b, float(d[a, b])) for a in range(14) for b in range(14)]
     table = spark.createDataFrame(rows, "a long, b long, distance double")
-    want = clustering.merge_all(d, method)
+    want = linkage.merge_all(d, method)
     got = sorted(r["height"] for r in clustering.merges(table, method).collect())
     assert np.allclose(got, np.sort(want[:, 2]))
     out = {r["id"]: (r["cluster"], r["position"]) for r in clustering.clusters(table, 4, method).collect()}
-    assert [out[i][0] for i in range(14)] == clustering.cut_tree(want, 4).tolist()
+    assert [out[i][0] for i in range(14)] == linkage.cut_tree(want, 4).tolist()
     assert sorted(p for _, p in out.values()) == list(range(14))
     # clusters are runs of the leaf order
     order = [out[i][0] for i in sorted(out, key=lambda i: out[i][1])]

@@ -7,6 +7,8 @@ from arborlake.functions import text
 from arborlake.operators import activity, clustering, mutate, search, spatial
 from arborlake.streaming import live
 
+from . import linkage
+
 
 def rows(df, *columns):
     return {tuple(r[c] for c in columns) for r in df.collect()}
@@ -77,14 +79,14 @@ def test_nearest_against_brute_force(spark):
 def test_linkage():
     x = np.array([0.0, 1.0, 5.0, 7.0])
     m = np.abs(x[:, None] - x[None])
-    assert clustering.merge_all(m, "single")[:, 2].tolist() == [1, 2, 4]
-    assert clustering.merge_all(m, "complete")[:, 2].tolist() == [1, 2, 7]
-    assert clustering.merge_all(m, "average")[:, 2].tolist() == [1, 2, 5.5]
-    assert clustering.cut_tree(clustering.merge_all(m, "ward"), 2).tolist() == [1, 1, 2, 2]
-    merges = clustering.merge_all(m, "single")
-    assert clustering.cophenetic(merges)[0, 3] == 4
-    assert clustering.agglomerative_coefficient(merges) == pytest.approx((0.75 * 2 + 0.5 * 2) / 4)
-    assert sorted(clustering.leaf_order(merges)) == [0, 1, 2, 3]
+    assert linkage.merge_all(m, "single")[:, 2].tolist() == [1, 2, 4]
+    assert linkage.merge_all(m, "complete")[:, 2].tolist() == [1, 2, 7]
+    assert linkage.merge_all(m, "average")[:, 2].tolist() == [1, 2, 5.5]
+    assert linkage.cut_tree(linkage.merge_all(m, "ward"), 2).tolist() == [1, 1, 2, 2]
+    merges = linkage.merge_all(m, "single")
+    assert linkage.cophenetic(merges)[0, 3] == 4
+    assert linkage.agglomerative_coefficient(merges) == pytest.approx((0.75 * 2 + 0.5 * 2) / 4)
+    assert sorted(linkage.leaf_order(merges)) == [0, 1, 2, 3]
 
 
 def test_labels(spark):

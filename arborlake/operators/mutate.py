@@ -139,14 +139,15 @@ def transfer(source: DataFrame, target: DataFrame, skeletons: DataFrame, offset:
     return target.unionByName(shifted.select(*target.columns))
 
 
-def replace_skeleton(nodes: DataFrame, new: DataFrame, links: DataFrame, skeleton_id: int, radius: float) -> tuple[DataFrame, DataFrame]:
-    """The skeleton's nodes replaced by ``new``, and links with their nodes moved to the nearest new one within ``radius`` (null beyond it, which the caller may refuse)."""
+def replace_skeleton(nodes: DataFrame, new: DataFrame, links: DataFrame, skeleton_id: int, radius: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """The skeleton's nodes replaced by ``new``, and links with their nodes moved to the nearest new one, however far. With a ``radius`` those further off become null, which the caller may refuse."""
     from .spatial import nearest
+    from .stitching import nearest_any
 
     old = nodes.where(F.col("skeleton_id") == skeleton_id)
     used = old.join(links.select("node_id").distinct(), "node_id", "left_semi")
     point = lambda df: df.select(F.col("node_id").alias("point_id"), "x", "y", "z")
-    to = nearest(point(used), point(new), radius).select(F.col("a").alias("node_id"), F.col("b").alias("new_node"))
+    to = (nearest_any(point(used), point(new)) if radius is None else nearest(point(used), point(new), radius)).select(F.col("a").alias("node_id"), F.col("b").alias("new_node"))
     moved = links.join(used.select("node_id", F.lit(True).alias("__old")), "node_id", "left").join(to, "node_id", "left")
     out = moved.select(*[F.when(F.col("__old"), F.col("new_node")).otherwise(F.col("node_id")).alias(c) if c == "node_id" else F.col(c) for c in links.columns])
     rest = nodes.where(F.col("skeleton_id") != skeleton_id)

@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-#: Points and faces that a mesh test holds against each other at once.
-POINTS, FACES = 1024, 1024
-
-
 def in_box(low: tuple, high: tuple) -> Column:
     return reduce(Column.__and__, [F.col(c).between(a, b) for c, a, b in zip("xyz", low, high)])
 
@@ -60,13 +54,14 @@ def predict_connectivity(presynapses: DataFrame, nodes: DataFrame, radius: float
     return full.groupBy("source", "target").agg(F.count_distinct("point_id").alias("weight"))
 
 
-def synapse_similarity(points: DataFrame, sigma: float = 2000.0, omega: float = 2000.0) -> DataFrame:
+def synapse_similarity(points: DataFrame, sigma: float = 2000.0, omega: float = 2000.0, reach: float | None = 8.0) -> DataFrame:
     """(a, b, similarity) of every ordered pair of neurons by where their synapses lie. points: point_id, neuron, kind, x, y, z.
 
     Each synapse of A is compared with the nearest of B of its kind: how near it is, and
     how alike the numbers of synapses of that kind within ``omega`` are, both counts
     taken with the point itself. Kinds that B lacks count 0. Neighbours are looked for in grid cells, of
-    ``omega`` for the counts and of eight ``sigma`` for the nearest: what lies further off would add less than 2e-14.
+    ``omega`` for the counts and of ``reach`` times ``sigma`` for the nearest: what lies further off than eight would add less than 2e-14.
+    Without a ``reach`` every point looks for its nearest of each neuron at any distance, which takes a row for each point and neuron of its kind.
     """
     p = points.select("point_id", "neuron", "kind", "x", "y", "z")
 
@@ -79,8 +74,11 @@ def synapse_similarity(points: DataFrame, sigma: float = 2000.0, omega: float =
         return out.where("neuron = o_neuron") if same else out
 
     own = close(omega, True).groupBy("point_id").agg(F.count("*").alias("own"))
-    per = close(8 * sigma, False).groupBy("point_id", "neuron", F.col("o_neuron").alias("b")).agg(F.min(F.struct("d", "o_point_id")).alias("m"))
-    per = per.select("point_id", F.col("neuron").alias("a"), "b", F.col("m.d").alias("d"), F.col("m.o_point_id").alias("n"))
+    if reach is None:
+        per = _nearest_of_each(p)
+    else:
+        per = close(reach * sigma, False).groupBy("point_id", "neuron", F.col("o_neuron").alias("b")).agg(F.min(F.struct("d", "o_point_id")).alias("m"))
+        per = per.select("point_id", F.col("neuron").alias("a"), "b", F.col("m.d").alias("d"), F.col("m.o_point_id").alias("n"))
     scored = per.join(own.withColumnRenamed("own", "mine"), "point_id").join(own.withColumnRenamed("point_id", "n"), "n")
     score = F.exp(-F.abs(F.col("mine") - F.col("own")) / (F.col("mine") + F.col("own"))) * F.exp(-(F.col("d") ** 2) / (2 * sigma**2))
     sums = scored.groupBy("a", "b").agg(F.sum(score).alias("s"))
@@ -90,6 +88,17 @@ def synapse_similarity(points: DataFrame, sigma: float = 2000.0, omega: float =
     return grid.join(sums, ["a", "b"], "left").select("a", "b", (F.coalesce("s", F.lit(0.0)) / F.col("size")).alias("similarity"))
 
 
+def _nearest_of_each(p: DataFrame) -> DataFrame:
+    """(point_id, a, b, d, n): the nearest point of the same kind of every neuron that has the kind, at any distance; the smallest id of equals."""
+    from .stitching import closest
+
+    owners = p.select("kind", F.col("neuron").alias("b")).distinct()
+    asks = p.join(owners, "kind").select(F.struct("point_id", F.col("neuron").alias("a"), "b").alias("grp"), "point_id", "kind", F.col("b").alias("of"), "x", "y", "z")
+    of = p.select(F.lit(None).cast(dict(asks.dtypes)["grp"]).alias("own"), "point_id", "kind", F.col("neuron").alias("of"), "x", "y", "z")
+    found = closest(asks, of, ties=True, on=["kind", "of"]).groupBy("grp").agg(F.min(F.struct("distance", "b")).alias("m"))
+    return found.select("grp.point_id", "grp.a", "grp.b", F.col("m.distance").alias("d"), F.col("m.b").alias("n"))
+
+
 def mutual(similarities: DataFrame) -> DataFrame:
     """Means of both directions."""
     back = similarities.select(F.col("a").alias("b"), F.col("b").alias("a"), F.col("similarity").alias("back"))
@@ -97,32 +106,11 @@ def mutual(similarities: DataFrame) -> DataFrame:
 
 
 def in_mesh(points: DataFrame, vertices: np.ndarray, faces: np.ndarray) -> DataFrame:
-    """Points inside a closed mesh, by the parity of crossings of an upward ray; a box filter comes first. Points on the surface may count either way."""
-    v, f = np.asarray(vertices, float), np.asarray(faces, int)
-    low, high = v.min(0), v.max(0)
-    a, e1, e2 = v[f[:, 0]], v[f[:, 1]] - v[f[:, 0]], v[f[:, 2]] - v[f[:, 0]]
-    area = e1[:, 0] * e2[:, 1] - e1[:, 1] * e2[:, 0]  # of the faces seen along z
-    ground = np.flatnonzero(area)
-
-    @F.pandas_udf("boolean")
-    def inside(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for xyz in parts:
-            p = np.stack([s.to_numpy(float) for s in xyz], 1)
-            out = np.zeros(len(p), bool)
-            for at in range(0, len(p), POINTS):
-                part = p[at : at + POINTS]
-                crossings = np.zeros(len(part), np.int64)
-                for k in range(0, len(ground), FACES):  # a block of points by one of faces at a time
-                    i = ground[k : k + FACES]
-                    q = part[:, None, :] - a[None, i]
-                    u = (q[..., 0] * e2[i, 1] - q[..., 1] * e2[i, 0]) / area[i]
-                    w = (e1[i, 0] * q[..., 1] - e1[i, 1] * q[..., 0]) / area[i]
-                    z = a[i, 2] + u * e1[i, 2] + w * e2[i, 2]
-                    crossings += ((u >= 0) & (w >= 0) & (u + w < 1) & (z > part[:, None, 2])).sum(1)
-                out[at : at + POINTS] = crossings % 2 == 1
-            yield pd.Series(out)
-
-    return points.where(in_box(tuple(low), tuple(high))).where(inside("x", "y", "z"))
+    """Points inside a closed mesh of the caller's, by the parity of crossings of an upward ray. Points on the surface may count either way."""
+    from .meshes import in_volumes, volume_of
+
+    inside = in_volumes(points, volume_of(points, vertices, faces))
+    return points.join(inside.select("point_id"), "point_id", "left_semi")
 
 
 def union_neurons(base: DataFrame, other: DataFrame, limit: float) -> DataFrame:

@@ -14,7 +14,7 @@ import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -44,6 +44,13 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def cut_counting(df: DataFrame, condition: Column) -> tuple[DataFrame, int]:
+    """As ``cut``, with the number of rows that meet a condition, counted while they are written. Tasks that run again may count twice, so only 0 is exact."""
+    seen = Observation()
+    out = cut(df.observe(seen, F.count_if(condition).alias("n")))
+    return out, seen.get["n"]
+
+
 @atexit.register
 def _clear() -> None:
     for folder, spark in _left.items():
@@ -74,15 +81,22 @@ def children(nodes: DataFrame) -> DataFrame:
 
 
 def to_root(nodes: DataFrame, value: Column, neutral: float = 0.0, product: bool = False) -> DataFrame:
-    """(node_id, root, hops, total): ``value`` of the nodes on the way to the root summed or multiplied, the root's left out."""
-    state = nodes.select("node_id", F.coalesce("parent_id", "node_id").alias("at"), F.when(F.col("parent_id").isNull(), neutral).otherwise(value).alias("total"), F.col("parent_id").isNotNull().cast("int").alias("hops"))
-    while True:
-        far = state.select(F.col("node_id").alias("at"), F.col("at").alias("far"), F.col("total").alias("more"), F.col("hops").alias("steps"))
+    """(node_id, root, hops, total): ``value`` of the nodes on the way to the root summed or multiplied, the root's left out.
+
+    A node whose pointer reached a root is settled and not written again; rounds look up pointers of all nodes but renew only the others.
+    """
+    start = nodes.select("node_id", F.coalesce("parent_id", "node_id").alias("at"), F.when(F.col("parent_id").isNull(), neutral).otherwise(value).alias("total"), F.col("parent_id").isNotNull().cast("int").alias("hops"), F.col("parent_id").isNull().alias("done"))
+    state, left = cut_counting(start, ~F.col("done"))
+    settled, open_, rounds = state.where("done"), state.where("NOT done"), 0
+    while left:
+        rounds += 1
+        if rounds > 48:
+            raise ValueError("parents form a ring")
+        far = settled.unionByName(open_).select(F.col("node_id").alias("at"), F.col("at").alias("far"), F.col("total").alias("more"), F.col("hops").alias("steps"), "done")
         total = F.col("total") * F.col("more") if product else F.col("total") + F.col("more")
-        state = cut(state.join(far, "at").select("node_id", F.col("far").alias("at"), total.alias("total"), (F.col("hops") + F.col("steps")).alias("hops"), (F.col("steps") > 0).alias("moved")))
-        if state.where("moved").isEmpty():
-            return state.select("node_id", F.col("at").alias("root"), "hops", "total")
-        state = state.drop("moved")
+        state, left = cut_counting(open_.drop("done").join(far, "at").select("node_id", F.col("far").alias("at"), total.alias("total"), (F.col("hops") + F.col("steps")).alias("hops"), "done"), ~F.col("done"))
+        settled, open_ = settled.unionByName(state.where("done")), state.where("NOT done")
+    return settled.select("node_id", F.col("at").alias("root"), "hops", "total")
 
 
 def depths(nodes: DataFrame) -> DataFrame:

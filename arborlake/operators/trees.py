@@ -90,7 +90,7 @@ def to_root(nodes: DataFrame, value: Column, neutral: float = 0.0, product: bool
     settled, open_, rounds = state.where("done"), state.where("NOT done"), 0
     while left:
         rounds += 1
-        if rounds > 48:
+        if rounds > 30:
             raise ValueError("parents form a ring")
         far = settled.unionByName(open_).select(F.col("node_id").alias("at"), F.col("at").alias("far"), F.col("total").alias("more"), F.col("hops").alias("steps"), "done")
         total = F.col("total") * F.col("more") if product else F.col("total") + F.col("more")
@@ -123,13 +123,14 @@ def ancestors(nodes: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     # powers of the parent step, then every sum of them: as many joins as the depth has bits
     while True:
         far = jump.select(F.col("ancestor").alias("next"), F.col("next").alias("far"))
-        jump = cut(jump.join(far, "next").select("ancestor", F.col("far").alias("next")))
-        if jump.isEmpty():
+        jump, any_ = cut_counting(jump.join(far, "next").select("ancestor", F.col("far").alias("next")), F.col("next").isNotNull())
+        if not any_:
             break
         steps.append(jump)
     out = start.select("node_id", F.col("node_id").alias("ancestor"), F.lit(0).alias("hops"))
     for i, s in enumerate(steps):
         out = out.unionByName(out.join(s, "ancestor").select("node_id", F.col("next").alias("ancestor"), (F.col("hops") + (1 << i)).alias("hops")))
+        out = cut(out) if i % 2 else out  # each step stands twice in the plan of the next
     return out
 
 

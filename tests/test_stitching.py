@@ -69,7 +69,7 @@ def least_total(points):
     return total
 
 
-def skeletons(seed=5, n=14, same=False):
+def skeletons(seed=5, n=9, same=False):
     """Chains with a side branch, some of them in several fragments, some on top of one another."""
     r, rows, k = random.Random(seed), [], 0
     for s in range(n):

@@ -30,7 +30,7 @@ class Encoder:
     """``encode`` gives a text's ids as little-endian bytes of ``dtype``."""
 
     CACHED = 700_000  # parts, and as many words; about 200 MB
-    LONGEST = 64  # characters of a part that is kept
+    LONGEST = 64  # characters of a part or word that is kept, so the caches are bounded in bytes too
 
     def __init__(self, vocabulary: str, dtype: str = "<u2"):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -78,7 +78,9 @@ class Encoder:
                 continue
             if (ids := word(base)) is None:
                 t = "\u0120" + (base if base.isascii() else base.encode().decode("latin-1").translate(_BYTES))
-                ids = self.words[base] = np.array([x.id for x in tokenize(t)], dtype).tobytes()
+                ids = np.array([x.id for x in tokenize(t)], dtype).tobytes()
+                if len(base) <= self.LONGEST:
+                    self.words[base] = ids
             if len(base) < len(part):
                 tail = part[len(base) :]
                 if (end := self.tails.get(tail)) is None:
@@ -91,13 +93,16 @@ class Encoder:
 
     def counts(self, parts: list[str]) -> list[int]:
         """Tokens of parts which all but the first begin with a space before a character (the first may)."""
-        if len(self.sizes) > self.CACHED:
-            self.sizes.clear()
+        for kept in (self.sizes, self.words):
+            if len(kept) > self.CACHED:
+                kept.clear()
         sizes, width = self.sizes, self.dtype.itemsize
         if missing := [x for x in dict.fromkeys(parts) if x not in sizes]:
             self._add_words([x[1:] for x in missing if x[0] == " " and x[1:2].strip()], into := {})
             self._add([x for x in missing if x[0] != " " or not x[1:2].strip()], other := {})
-            sizes.update({" " + x: len(v) // width for x, v in into.items()} | {x: len(v) // width for x, v in other.items()})
+            new = {" " + x: len(v) // width for x, v in into.items()} | {x: len(v) // width for x, v in other.items()}
+            sizes.update((x, n) for x, n in new.items() if len(x) <= self.LONGEST)
+            return [new[x] if x in new else sizes[x] for x in parts]
         return [sizes[x] for x in parts]
 
     def encode_all(self, texts: list[str | None]) -> list[list[bytes]]:

@@ -245,3 +245,18 @@ def test_packing_query_gives_the_digests(spark, tmp_path):
     got = Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in packing.query(spark, str(tmp_path)).collect())
     assert got == Counter((r["doc_id"], r["piece"], r["start"], r["length"], zlib.crc32(bytes(r["ids"]))) for r in packing.pack(docs).collect())
     assert len(LONG) > 1_000_000
+
+
+# caches of the encoder --------------------------------------------------------------------------
+
+
+def test_encoder_keeps_no_long_parts():
+    """Parts and words of any length are counted and encoded alike, but only short ones are kept."""
+    code = tokenize.Encoder(tokenize.default_vocabulary())
+    parts = ["first", " short,", " " + "x" * 5000, " " + "語" * 300 + ".", " a\tb" * 40, " " + "y" * 63, " " + "z" * 64]
+    exact = [len(code.tokenizer.encode(x, add_special_tokens=False).ids) for x in parts]
+    for _ in range(2):
+        assert code.counts(parts * 2) == exact * 2
+        text = "".join(parts)
+        assert b"".join(code.encode_all([text])[0]) == np.array(code.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+    assert all(len(x) <= code.LONGEST for kept in (code.sizes, code.words, code.cache) for x in kept) and " short," in code.sizes

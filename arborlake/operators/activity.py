@@ -79,6 +79,20 @@ def team_contributions(actions: DataFrame, membership: DataFrame) -> DataFrame:
     return own.groupBy("team", "action").agg(F.count("*").alias("n"))
 
 
+def team_contributions_by_neuron(actions: DataFrame, membership: DataFrame, minutes: int = 3, minimum: float = 10.0) -> DataFrame:
+    """(neuron, team, action, n, minutes) as ``team_contributions``, for actions with a neuron; minutes are the time that the team invested in the neuron, over all kinds of actions (see ``time_invested``)."""
+    own = actions.join(membership, "user_id").where(F.to_date("ts").between(F.col("since"), F.col("until")))
+    counts = own.groupBy("neuron", "team", "action").agg(F.count("*").alias("n"))
+    pair = F.struct("neuron", "team")
+    time = time_invested(own.withColumn("__pair", pair), minutes, minimum, by="__pair").select("__pair.neuron", "__pair.team", "minutes")
+    return counts.join(time, ["neuron", "team"], "left").na.fill(0, ["minutes"])
+
+
+def contributions_by_neuron(actions: DataFrame) -> DataFrame:
+    """(neuron, action, user_id, n): who did how much on each neuron by itself, as rows; ``contributor_statistics`` has all neurons in one."""
+    return actions.groupBy("neuron", "action", "user_id").agg(F.count("*").alias("n"))
+
+
 def review_status(nodes: DataFrame, by: str) -> DataFrame:
     """(by, total_node_count, nodes_reviewed, percent_reviewed): the percentage is truncated. nodes: by, node_id, reviewed."""
     total = F.count_distinct("node_id")

@@ -91,12 +91,18 @@ def synapse_similarity(points: DataFrame, sigma: float = 2000.0, omega: float =
 def _nearest_of_each(p: DataFrame) -> DataFrame:
     """(point_id, a, b, d, n): the nearest point of the same kind of every neuron that has the kind, at any distance; the smallest id of equals."""
     from .stitching import closest
-
-    owners = p.select("kind", F.col("neuron").alias("b")).distinct()
-    asks = p.join(owners, "kind").select(F.struct("point_id", F.col("neuron").alias("a"), "b").alias("grp"), "point_id", "kind", F.col("b").alias("of"), "x", "y", "z")
-    of = p.select(F.lit(None).cast(dict(asks.dtypes)["grp"]).alias("own"), "point_id", "kind", F.col("neuron").alias("of"), "x", "y", "z")
+    from .trees import cut
+
+    # points of one neuron and kind in one place have one answer and stand for one another by the smallest id
+    p = p.where("x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL")
+    one = cut(p.groupBy("neuron", "kind", "x", "y", "z").agg(F.min("point_id").alias("point_id")))
+    owners = one.select("kind", F.col("neuron").alias("b")).distinct()
+    asks = one.join(owners, "kind").select(F.struct("point_id", "b").alias("grp"), "point_id", "kind", F.col("b").alias("of"), "x", "y", "z")
+    of = one.select(F.lit(None).cast(dict(asks.dtypes)["grp"]).alias("own"), "point_id", "kind", F.col("neuron").alias("of"), "x", "y", "z")
     found = closest(asks, of, ties=True, on=["kind", "of"]).groupBy("grp").agg(F.min(F.struct("distance", "b")).alias("m"))
-    return found.select("grp.point_id", "grp.a", "grp.b", F.col("m.distance").alias("d"), F.col("m.b").alias("n"))
+    found = found.select(F.col("grp.point_id").alias("first"), "grp.b", F.col("m.distance").alias("d"), F.col("m.b").alias("n"))
+    own = p.join(one.withColumnRenamed("point_id", "first"), ["neuron", "kind", "x", "y", "z"]).select("point_id", "first", F.col("neuron").alias("a"))
+    return own.join(found, "first").select("point_id", "a", "b", "d", "n")
 
 
 def mutual(similarities: DataFrame) -> DataFrame:

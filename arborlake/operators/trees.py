@@ -297,12 +297,30 @@ def geodesic(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def connection_density(nodes: DataFrame, contacts: DataFrame, method: str = "MEDIAN", normalise: float = 1.0) -> DataFrame:
-    """(grp, density): normaliser over the geodesic distances of the pairs of contacts (grp, node_id) of each group; null below two contacts."""
-    c = contacts.select("grp", "node_id").withColumn("k", F.row_number().over(Window.partitionBy("grp").orderBy("node_id")))
-    pairs = c.alias("x").join(c.alias("y"), "grp").where("x.k < y.k").select("grp", F.col("x.node_id").alias("a"), F.col("y.node_id").alias("b"))
-    stat = {"SUM": F.sum, "AVERAGE": F.avg, "MEDIAN": F.median}[method]
-    found = pairs.join(geodesic(nodes, pairs), ["a", "b"]).groupBy("grp").agg(stat("distance").alias("d"))
-    return contacts.select("grp").distinct().join(found, "grp", "left").select("grp", F.try_divide(F.lit(float(normalise)), F.col("d")).alias("density"))
+    """(grp, density): normaliser over the geodesic distances of the pairs of contacts (grp, node_id) of each group; null below two contacts. Pairs in different trees don't count.
+
+    SUM and AVERAGE make no pairs: an edge with k of a group's K contacts of a tree below it lies between k (K - k) of
+    their pairs, so the rows are those of the contacts' ways up. The MEDIAN takes all pairs of a group.
+    """
+    groups = contacts.select("grp").distinct()
+    if method in ("SUM", "AVERAGE"):
+        own = contacts.select("grp", "node_id").groupBy("grp", "node_id").agg(F.count("*").alias("k"))
+        way = ancestors(nodes, own.select("node_id")).select("node_id", F.col("ancestor").alias("at"))
+        root = depths(nodes).select("node_id", "root")
+        per = own.join(root, "node_id").groupBy("grp", "root").agg(F.sum("k").alias("all"))
+        edge = with_length(nodes).where("parent_id IS NOT NULL").select(F.col("node_id").alias("at"), "length").join(root.withColumnRenamed("node_id", "at"), "at")
+        below = own.join(way, "node_id").groupBy("grp", "at").agg(F.sum("k").alias("k")).join(edge, "at").join(per, ["grp", "root"])
+        sums = below.groupBy("grp").agg(F.sum(F.col("length") * F.col("k") * (F.col("all") - F.col("k"))).alias("sum"))
+        pairs = per.groupBy("grp").agg(F.sum(F.col("all") * (F.col("all") - 1) / 2).alias("n")).where("n > 0")
+        value = F.coalesce("sum", F.lit(0.0)) / (F.col("n") if method == "AVERAGE" else F.lit(1.0))
+        found = pairs.join(sums, "grp", "left").select("grp", value.alias("d"))
+    elif method == "MEDIAN":
+        c = contacts.select("grp", "node_id").withColumn("k", F.row_number().over(Window.partitionBy("grp").orderBy("node_id")))
+        pairs = c.alias("x").join(c.alias("y"), "grp").where("x.k < y.k").select("grp", F.col("x.node_id").alias("a"), F.col("y.node_id").alias("b"))
+        found = pairs.join(geodesic(nodes, pairs), ["a", "b"]).groupBy("grp").agg(F.median("distance").alias("d"))
+    else:
+        raise ValueError(method)
+    return groups.join(found, "grp", "left").select("grp", F.try_divide(F.lit(float(normalise)), F.col("d")).alias("density"))
 
 
 def time_machine(versions: DataFrame, at: Column) -> DataFrame:
@@ -482,3 +500,32 @@ def equal_neurons(left: DataFrame, right: DataFrame, by: str = "skeleton_id") ->
     """(by, equal) for every neuron of either side."""
     a, b = (core_digest(n, by).withColumnRenamed("digest", k) for n, k in ((left, "a"), (right, "b")))
     return a.join(b, by, "full").select(by, F.col("a").eqNullSafe(F.col("b")).alias("equal"))
+
+
+def prune_by_strahler(nodes: DataFrame, orders: list[int]) -> DataFrame:
+    """Without the nodes of the given Strahler orders; negative ones count from the largest of each tree, -1 being that. Children of nodes that are gone become roots."""
+    order = strahler(nodes)
+    if any(o < 0 for o in orders):
+        at = order.join(fragments(nodes), "node_id")
+        top = at.groupBy("root").agg(F.max("strahler").alias("top"))
+        back = F.col("strahler") - F.col("top") - 1
+        gone = at.join(top, "root").where(F.col("strahler").isin(orders) | back.isin(orders))
+    else:
+        gone = order.where(F.col("strahler").isin(orders))
+    return subset(nodes, nodes.join(gone.select("node_id"), "node_id", "left_anti"))
+
+
+def longest_parts(nodes: DataFrame, n: int) -> DataFrame:
+    """(node_id, part): each tree split into its ``n`` longest segments by longest path and what branches off them; a part is named by its segment's end, of equal lengths the smaller one comes first.
+
+    A part begins below the node that its segment branches from. Trees of fewer segments have fewer parts.
+    """
+    part = cut(segments(nodes))
+    root = fragments(nodes).withColumnRenamed("node_id", "segment")
+    length = part.groupBy("segment").agg(F.sum("length").alias("length")).join(root, "segment")
+    order = Window.partitionBy("root").orderBy(F.desc("length"), "segment")
+    chosen = length.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).select("segment", F.lit(True).alias("own"))
+    mark = cut(nodes.select("node_id", "parent_id").join(part.select("node_id", "segment"), "node_id").join(chosen, "segment", "left"))
+    # upwards to the first node of a chosen segment; the longest one holds the root
+    way = to_root(mark.select("node_id", F.when(F.col("own").isNull(), F.col("parent_id")).alias("parent_id")), F.lit(0.0))
+    return way.select("node_id", "root").join(mark.select(F.col("node_id").alias("root"), F.col("segment").alias("part")), "root").select("node_id", "part")

@@ -97,13 +97,16 @@ class Encoder:
             if len(kept) > self.CACHED:
                 kept.clear()
         sizes, width = self.sizes, self.dtype.itemsize
-        if missing := [x for x in dict.fromkeys(parts) if x not in sizes]:
+        missing = [x for x in dict.fromkeys(parts) if x not in sizes]
+        if missing:
             self._add_words([x[1:] for x in missing if x[0] == " " and x[1:2].strip()], into := {})
             self._add([x for x in missing if x[0] != " " or not x[1:2].strip()], other := {})
-            new = {" " + x: len(v) // width for x, v in into.items()} | {x: len(v) // width for x, v in other.items()}
-            sizes.update((x, n) for x, n in new.items() if len(x) <= self.LONGEST)
-            return [new[x] if x in new else sizes[x] for x in parts]
-        return [sizes[x] for x in parts]
+            sizes.update({" " + x: len(v) // width for x, v in into.items()} | {x: len(v) // width for x, v in other.items()})
+        out = [sizes[x] for x in parts]
+        for x in missing:
+            if len(x) > self.LONGEST:
+                del sizes[x]
+        return out
 
     def encode_all(self, texts: list[str | None]) -> list[list[bytes]]:
         """The ids of each part of each text."""

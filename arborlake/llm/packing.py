@@ -12,8 +12,8 @@ Longest first and no new sequence while one fits are what the rule leaves open,
 lengths of sf0.1 the sequences are 1.0002 times the least possible number, in order of arrival 1.04 times, and
 1.01 times if the rule may begin a sequence wherever that has the least squares.
 
-Tokens go into one shuffle less than places: ``place`` carries whatever columns its pieces
-have, so a caller that needs only lengths or digests drops ``ids`` first. ``sequences`` gives whole sequences.
+Only row numbers and lengths are shuffled to be packed. ``place`` then joins the places with its pieces and whatever columns
+they have, so a caller that needs only lengths or digests drops ``ids`` first. ``sequences`` gives whole sequences.
 
 Nulls: a null text is empty, so its one piece is the end id; a null doc_id is kept. Repeated rows
 have their pieces each; pieces of equal length tie and go by their row number. Texts of any length are encoded whole. An

@@ -93,9 +93,10 @@ class Encoder:
 
     def counts(self, parts: list[str]) -> list[int]:
         """Tokens of parts which all but the first begin with a space before a character (the first may)."""
-        for kept in (self.sizes, self.words):
-            if len(kept) > self.CACHED:
-                kept.clear()
+        if len(self.sizes) > self.CACHED:
+            self.sizes.clear()
+        if len(self.words) > 2 * self.CACHED:
+            self.words.clear()
         sizes, width = self.sizes, self.dtype.itemsize
         missing = [x for x in dict.fromkeys(parts) if x not in sizes]
         if missing:

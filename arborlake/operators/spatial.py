@@ -42,9 +42,12 @@ def nearest(a: DataFrame, b: DataFrame, radius: float, strict: bool = False) ->
 
 
 def contact_radius(distances: DataFrame, column: str = "distance", n_iqr: float = 2.0, fallback: float = 1000.0) -> DataFrame:
-    """(radius): harmonic mean of link distances plus ``n_iqr`` interquartile ranges."""
+    """(radius): harmonic mean of link distances plus ``n_iqr`` interquartile ranges. The quartiles are exact and found by counting."""
+    from .quantiles import quantiles
+
     d = F.col(column)
-    return distances.agg(F.coalesce(F.try_divide(F.count(d).cast("double"), F.sum(1 / d)) + n_iqr * (F.percentile(d, F.lit(0.75)) - F.percentile(d, F.lit(0.25))), F.lit(fallback)).alias("radius"))
+    low, high = quantiles(distances, column, [0.25, 0.75])
+    return distances.agg(F.coalesce(F.try_divide(F.count(d).cast("double"), F.sum(1 / d)) + F.lit(n_iqr * ((high or 0.0) - (low or 0.0))), F.lit(fallback)).alias("radius"))
 
 
 def predict_connectivity(presynapses: DataFrame, nodes: DataFrame, radius: float) -> DataFrame:

@@ -426,7 +426,10 @@ def heal(nodes: DataFrame, reach: float) -> DataFrame:
     from .spatial import within
 
     point = nodes.select(F.col("node_id").alias("point_id"), "x", "y", "z")
-    close = cut(within(point, point, reach).where("a <> b"))
+    part = cut(fragments(nodes))
+    first = lambda k: part.select(F.col("node_id").alias(k), F.col("root").alias(f"r{k}"))
+    # pairs of one fragment never join anything
+    close = cut(within(point, point, reach).join(first("a"), "a").join(first("b"), "b").where("ra <> rb").select("a", "b", "distance"))
     while True:
         part = cut(fragments(nodes))
         of = lambda k: part.select(F.col("node_id").alias(k), F.col("root").alias(f"r{k}"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..operators import connectivity as c
+from ..operators.quantiles import value_at
 from ..operators.trees import cut
 from ..sources import lake
 
@@ -126,8 +129,8 @@ NATIONS = "nations AS (SELECT c_nationkey AS source, s_nationkey AS target, sum(
 
 def _strong(spark, d):
     e = cut(_people(spark, d))  # for the level and for the edges
-    level = e.agg(F.expr("percentile_disc(0.9) WITHIN GROUP (ORDER BY weight)").alias("level"))
-    return e.join(level, F.col("weight") >= F.col("level")).select("source", "target", "weight")
+    level = value_at(e, "weight", max(0, math.ceil(0.9 * e.count()) - 1))
+    return e.where(F.col("weight") >= level).select("source", "target", "weight")
 
 
 def nth_partners(spark, d):

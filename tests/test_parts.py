@@ -84,3 +84,19 @@ def test_orders_and_parts(spark):
             chosen |= set(sorted(total, key=lambda s: (-total[s], s))[:n])
         want = {i: segment[next(j for j in up(i) if segment[j] in chosen)] for i in at}
         assert {x["node_id"]: x["part"] for x in trees.longest_parts(df, n).collect()} == want
+
+
+def test_quantiles_by_counting(spark, monkeypatch):
+    import numpy as np
+
+    from arborlake.operators import quantiles
+
+    r = random.Random(9)
+    columns = [[r.gauss(0, 1) for _ in range(500)], [float(r.randrange(3)) for _ in range(400)], [r.random() ** 40 * 1e12 for _ in range(300)] + [5.0] * 200, [7.0], [1.0, 1.0 + 2**-52] * 3]
+    monkeypatch.setattr(quantiles, "BINS", 8)
+    for few in (1, 50):
+        monkeypatch.setattr(quantiles, "FEW", few)
+        for values in columns:
+            df = spark.createDataFrame([(v,) for v in values] + [(None,)] * 3, "v double").repartition(3)
+            assert quantiles.quantiles(df, "v", [0.0, 0.25, 0.5, 0.9, 1.0]) == pytest.approx(np.quantile(values, [0.0, 0.25, 0.5, 0.9, 1.0]).tolist(), rel=1e-12)
+    assert quantiles.quantiles(df.limit(0), "v", [0.5]) == [None]

@@ -47,10 +47,11 @@ def in_volumes(points: DataFrame, volumes: DataFrame) -> DataFrame:
     if not mean["a"]:
         return out.select(F.lit(None).cast("string").alias("name"), "point_id").limit(0)
     # with cells of this size faces fill four cells each on average, whatever their sizes are
-    size = max(mean["w"], mean["h"], mean["a"] ** 0.5)
-    cell = lambda v: F.floor(v / size).cast("long")
-    spread = face.withColumn("top", high["z"]).withColumn("i", F.explode(F.sequence(cell(low["x"]), cell(high["x"])))).withColumn("j", F.explode(F.sequence(cell(low["y"]), cell(high["y"]))))
-    pairs = out.withColumns({"i": cell(F.col("x")), "j": cell(F.col("y"))}).join(spread, ["i", "j"]).where("top > z")
+    scale = max(1.0, mean["a"] / (mean["w"] * mean["h"])) ** 0.5
+    wide, high_ = mean["w"] * scale, mean["h"] * scale
+    i_of, j_of = (lambda v: F.floor(v / wide).cast("long")), (lambda v: F.floor(v / high_).cast("long"))
+    spread = face.withColumn("top", high["z"]).withColumn("i", F.explode(F.sequence(i_of(low["x"]), i_of(high["x"])))).withColumn("j", F.explode(F.sequence(j_of(low["y"]), j_of(high["y"]))))
+    pairs = out.withColumns({"i": i_of(F.col("x")), "j": j_of(F.col("y"))}).join(spread, ["i", "j"]).where("top > z")
     sides = [_side(p, q) for p, q in ("ab", "bc", "ca")]
     pairs = pairs.where((sides[0] == sides[1]) & (sides[1] == sides[2]))
     # the face's height above the point

@@ -1,11 +1,14 @@
 """Operator 10: edit-aware token counts.
 
-A document's text is cut where its vocabulary can't join tokens (before a space that
-stands before a character other than white space). The parts are the leaves of a segment
+A document's text is cut where its vocabulary can't join tokens: before a space that
+stands before a character other than white space, and in parts of over ``LONG`` characters also
+between pre-tokens (before white space, and between letters, digits and signs of common scripts).
+The parts are the leaves of a segment
 tree that holds characters and tokens per subtree. An edit replaces a range of
-characters: only the leaves it touches, with one leaf of context on either side, are
+characters: only the leaves it touches, with a leaf or up to ``LONG`` characters of context on either side, are
 encoded again; then the sums on the way to the root change. The count always equals
-that of encoding the whole edited text.
+that of encoding the whole edited text. A run of letters, or of digits, is one pre-token, whatever
+its length, and so one leaf.
 
 The trees are kept: ``trees_of`` gives a table of texts with the tokens of each leaf, which is
 written once; ``applied`` reads it and encodes only what edits touch, and its ``renewed`` table
@@ -35,6 +38,13 @@ from .textvec import slices
 from .tokenize import default_vocabulary, encoder
 
 _CUT = re.compile(r" (?=\S)")
+#: Parts of more characters than this are cut between pre-tokens.
+LONG = 64
+_LETTER = "A-Za-z\u0410-\u044f\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+_DIGIT = "0-9"
+#: Signs that neither begin a shortened word ("'s") nor stand in the added tokens of vocabularies ("<|end|>", "[MASK]").
+_SIGN = "!-&(-.:;=?@^`{}~\u3001\u3002\uff01\uff0c\uff1a\uff1b\uff1f"
+_INNER = re.compile("|".join(rf"(?<=[{x}])(?=[{y}{z}])" for x, y, z in [(_LETTER, _DIGIT, _SIGN), (_DIGIT, _LETTER, _SIGN), (_SIGN, _LETTER, _DIGIT)]) + r"|(?<=\S)(?=[\t\n\r ])")
 TREES = "doc_id long, text string, sizes array<int>"
 COUNTED = "doc_id long, n_tokens long, n_tokens_after long, n_edits long, n_encoded_chars long, n_chars_after long"
 
@@ -44,7 +54,14 @@ _KINDS = pa.schema([*((x.split(" ")[0], pa.int64()) for x in _APPLIED.split(", "
 
 def leaves_of(text: str) -> list[str]:
     """Parts of a text that encode by themselves; they join to the text."""
-    at = [0, *(m.start() for m in _CUT.finditer(text) if m.start()), len(text)]
+    parts = _cut(_CUT, text)
+    if len(text) <= LONG or max(map(len, parts)) <= LONG:
+        return parts
+    return [x for p in parts for x in (_cut(_INNER, p) if len(p) > LONG else (p,))]
+
+
+def _cut(where: re.Pattern, text: str) -> list[str]:
+    at = [0, *(m.start() for m in where.finditer(text) if m.start()), len(text)]
     return [text[a:b] for a, b in zip(at, at[1:]) if a < b]
 
 
@@ -112,34 +129,42 @@ class TokenTree:
         while end < len(parts) and high <= stop:
             high += len(parts[end])
             end += 1
-        # a leaf of context before, so that a joint which the edit undoes is seen
-        if first:
+        # context before, to the start of a space-cut part or over LONG characters, so that joints which the edit undoes are seen and the part is known as long
+        start = low
+        while (first or a) and not (start == low and at - low > 1 and _CUT.match(parts[first])):
+            if not first:
+                a -= 1
+                parts, sizes = [*self.blocks[a][0], *parts], [*self.blocks[a][1], *sizes]
+                first = len(self.blocks[a][0])
+                end += first
+                continue
             first -= 1
             low -= len(parts[first])
-        elif a:
-            a -= 1
-            parts, sizes = [*self.blocks[a][0], *parts], [*self.blocks[a][1], *sizes]
-            first = len(self.blocks[a][0]) - 1
-            end += len(self.blocks[a][0])
-            low -= len(parts[first])
+            if start - low > LONG or _CUT.match(parts[first]):
+                break
+        # context behind, likewise
+        while end < len(parts) or b + 1 < len(self.blocks):
+            if end == len(parts):
+                b += 1
+                parts, sizes = [*parts, *self.blocks[b][0]], [*sizes, *self.blocks[b][1]]
+                continue
+            if high - stop > LONG or high > stop and _CUT.match(parts[end]):
+                break
+            high += len(parts[end])
+            end += 1
         touched = "".join(parts[first:end])
         touched = touched[: at - low] + text + touched[stop - low :]
-        # what follows must begin with a space before a character; else it belongs to the touched part
-        while end < len(parts) and not _CUT.match(parts[end]):
-            touched += parts[end]
-            end += 1
         new = leaves_of(touched)
         self.encoded += len(touched)
         parts[first:end], sizes[first:end] = new, self.count(new)
-        step = self.BLOCK
-        blocks = [(parts[i : i + step], sizes[i : i + step]) for i in range(0, len(parts), step)]
-        if len(blocks) == b + 1 - a:
-            self.blocks[a : b + 1] = blocks
-            for i, (p, s) in enumerate(blocks, a):
-                self._renew(i, sum(map(len, p)), sum(s))
+        n, k, step = len(parts), b + 1 - a, self.BLOCK
+        if n <= 2 * step * k:  # the same blocks, which may hold up to twice as many leaves
+            cuts = [n * i // k for i in range(k + 1)]
+            self.blocks[a : b + 1] = [(parts[i:j], sizes[i:j]) for i, j in zip(cuts, cuts[1:])]
+            for i, (p, c) in enumerate(self.blocks[a : b + 1], a):
+                self._renew(i, sum(map(len, p)), sum(c))
         else:
-            self.blocks[a : b + 1] = blocks
-            self.blocks = self.blocks or [([], [])]
+            self.blocks[a : b + 1] = [(parts[i : i + step], sizes[i : i + step]) for i in range(0, n, step)]
             self._build()
 
     def _renew(self, i: int, chars: int, tokens: int) -> None:

@@ -395,6 +395,38 @@ def test_kept_trees(spark):
     assert again["n_tokens"] == count(after(4, LONG)) and again["n_tokens_after"] == count(after(4, after(4, LONG)))
 
 
+@pytest.mark.parametrize("long, block", [(64, 3), (3, 2), (0, 1)])
+def test_inner_leaves(monkeypatch, long, block):
+    """Leaves between pre-tokens: counts stay those of whole texts, and edits give the leaves that the edited text has by itself."""
+    monkeypatch.setattr(token_counts, "LONG", long)
+    monkeypatch.setattr(token_counts.TokenTree, "BLOCK", block)
+    e, r = tokenize.encoder(tokenize.default_vocabulary()), random.Random(long)
+    count = lambda t: len(e.tokenizer.encode(t, add_special_tokens=False).ids)
+    part = ["a", "the", " ", "  ", "\n", "\t", "'s", "'", "é", "12", "7", ".", "!", "日本", "。", "，", "\x85", "\u3000", "\xa0", " x", "<|endoftext|>", "don't", "'re", "+", "=", "/", "ж", "!'s"]
+    say = lambda n: "".join(r.choice(part) for _ in range(r.randint(0, n)))
+    for _ in range(300):
+        text = say(r.choice((8, 60)))
+        tree = token_counts.TokenTree(text, e.counts)
+        for _ in range(4):
+            at, n, new = r.randint(0, len(text) + 2), r.choice((0, 1, 3, 20)), say(5)
+            tree.edit(at, n, new)
+            at = min(at, len(text))
+            text = text[:at] + new + text[at + n :]
+            assert [x for parts, _ in tree.blocks for x in parts] == token_counts.leaves_of(text)
+            assert (tree.tokens, tree.chars, tree.text) == (count(text), len(text), text)
+
+
+@pytest.mark.parametrize("text", ["word\tx\n" * 9000, "字母表示文字。" * 4000, "aB3/x+9=" * 20000])
+def test_edits_of_texts_without_spaces(text):
+    """What an edit encodes again is bounded, whatever the length of a text without spaces."""
+    e = tokenize.encoder(tokenize.default_vocabulary())
+    tree = token_counts.TokenTree(text, e.counts)
+    for k in range(50):
+        tree.edit(len(text) * k // 50, 2, "ab")
+    assert tree.encoded < 50 * 250
+    assert tree.tokens == len(e.tokenizer.encode(tree.text, add_special_tokens=False).ids)
+
+
 def test_query_of_edits(spark, tmp_path):
     e = tokenize.encoder(tokenize.default_vocabulary())
     docs_of(spark, mixed_rows()).write.parquet(f"{tmp_path}/documents.parquet")

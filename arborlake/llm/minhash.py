@@ -5,9 +5,8 @@ similarity of their full sets is at least ``percent`` / 100, decided in integers
 
 1. Documents of equal sets form a class; one row a class goes on, so exact copies cost
    nothing further and lose no link.
-2. A class gets ``CHUNKS * WIDTH`` MinHash values of 16 bits. The signature is split
-   into ``CHUNKS`` chunks. Signatures that differ in at most ``2 * CHUNKS - 1`` places
-   have, by the pigeonhole principle, a chunk with at most one difference. Each chunk
+2. A class gets ``WIDTH`` MinHash values of 16 bits for each of a number of chunks. Signatures of C chunks
+   that differ in at most ``2 * C - 1`` places have, by the pigeonhole principle, a chunk with at most one difference. Each chunk
    therefore gives ``WIDTH`` keys, one with each place left out: such pairs share a key.
 3. Candidates are checked on the full sets, in two waves; pairs that are already in one
    component need no check. First every member of a key against its hub, the member that
@@ -18,11 +17,12 @@ similarity of their full sets is at least ``percent`` / 100, decided in integers
    come near the threshold. A pair that shares several keys is looked at under the first
    one. No candidate is dropped, whatever the size of its key.
 
-With the defaults, a pair at exactly 0.8 shares no key with probability 2e-6. Of the
-candidates, those whose signatures differ in over ``FAR`` places are not checked: at 0.8
-this has probability 1e-7.
+The number of chunks and the places in which candidates may differ follow from ``percent`` and ``miss``: a pair
+at exactly the threshold shares no key with a probability of ``miss`` at most, and goes beyond those
+places with a twentieth of it; closer pairs less often. At 80 and 2e-6 these are 10 chunks and 27 places
+of 50, at 50 they are 64 chunks, so lower thresholds have larger signatures and more keys. ``miss`` may be as small as is wanted, but not 0.
 
-``FAR`` and the number of chunks set what may be lost; the README has the recall measured on planted
+The README has the recall measured on planted
 pairs. Texts of any length are hashed whole, about a megabyte of text at a time.
 
 Nulls: a null text, or one without words, is an empty set, linked with nothing. To
@@ -35,6 +35,8 @@ ignored by ``links_of`` and kept by ``keep_first``, except names that begin with
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -44,42 +46,72 @@ from .components import components
 from .scratch import Scratch
 from .textvec import ALNUM, NONSPACE, Words, constants, mix, shingle_sets, slices
 
-CHUNKS, WIDTH, FAR, SMALL, BLOCK = 10, 5, 27, 16, 512
+WIDTH, SMALL, BLOCK, MISS = 5, 16, 512, 2e-6
 #: Shingles of a block's member, on average, that count as one member / columns of a table of shared items.
 MEMBER, ITEMS = 4096, 4096
-PLACES = CHUNKS * WIDTH
-_xor, _times = constants(PLACES, 5), constants(PLACES, 6)
-
 
-def signatures(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """16 bits of each MinHash value; empty sets get zeros."""
-    out = np.zeros((len(bounds) - 1, PLACES), "<u2")
-    full = np.flatnonzero(np.diff(bounds))
-    if len(full):
-        for k in range(PLACES):
-            out[full, k] = np.minimum.reduceat((values ^ _xor[k]) * _times[k], bounds[full]) & np.uint64(0xFFFF)
-    return out
 
+class Index:
+    """The signature's chunks and keys for a threshold of ``percent`` and a probability ``miss`` of losing a pair at it."""
+
+    def __init__(self, percent: int = 80, miss: float = MISS):
+        if not 0 < percent <= 100 or not 0 < miss < 1:
+            raise ValueError("percent is above 0 and at most 100, miss between 0 and 1")
+        same, other = percent / 100, 1 - percent / 100
+        shared = same**WIDTH + WIDTH * same ** (WIDTH - 1) * other
+        self.chunks = max(1, math.ceil(math.log(miss) / math.log1p(-shared))) if shared < 1 else 1
+        self.places = n = self.chunks * WIDTH
+        self.far, tail = n if other else 0, 0.0  # from all places down, as long as what lies beyond has a small probability
+        while self.far:
+            log = math.lgamma(n + 1) - math.lgamma(self.far + 1) - math.lgamma(n - self.far + 1)
+            tail += math.exp(log + self.far * math.log(other) + (n - self.far) * math.log(same))
+            if tail > miss / 20:
+                break
+            self.far -= 1
+        self.xor, self.times = constants(n, 5), constants(n, 6)
+
+    def read(self, values: list[bytes]) -> np.ndarray:
+        """Signatures from their bytes, a row each."""
+        return np.frombuffer(b"".join(values), "<u2").reshape(-1, self.places)
+
+    def signatures(self, values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """16 bits of each MinHash value; empty sets get zeros."""
+        out = np.zeros((len(bounds) - 1, self.places), "<u2")
+        full = np.flatnonzero(np.diff(bounds))
+        if len(full):
+            for k in range(self.places):
+                out[full, k] = np.minimum.reduceat((values ^ self.xor[k]) * self.times[k], bounds[full]) & np.uint64(0xFFFF)
+        return out
 
-def index_keys(sig: np.ndarray) -> np.ndarray:
-    """The keys of each signature: for each chunk, one with each place left out."""
-    keys = np.empty((len(sig), PLACES), np.uint64)
-    wide = sig.astype(np.uint64)
-    for c in range(CHUNKS):
-        for m in range(WIDTH):
-            h = np.full(len(sig), c * WIDTH + m + 1, np.uint64)
-            for j in range(WIDTH):
-                if j != m:
-                    h = mix(h * np.uint64(0x10001) + wide[:, c * WIDTH + j])
-            keys[:, c * WIDTH + m] = h
-    return keys
+    def keys(self, sig: np.ndarray) -> np.ndarray:
+        """The keys of each signature: for each chunk, one with each place left out."""
+        keys = np.empty((len(sig), self.places), np.uint64)
+        wide = sig.astype(np.uint64)
+        for c in range(self.chunks):
+            for m in range(WIDTH):
+                h = np.full(len(sig), c * WIDTH + m + 1, np.uint64)
+                for j in range(WIDTH):
+                    if j != m:
+                        h = mix(h * np.uint64(0x10001) + wide[:, c * WIDTH + j])
+                keys[:, c * WIDTH + m] = h
+        return keys
+
+    def first_shared(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For all pairs of signatures: the number of places that differ, and the first key shared (a number past all keys if none)."""
+        differ = x[:, None, :] != y[None, :, :]
+        parts = differ.reshape(*differ.shape[:2], self.chunks, WIDTH)
+        count = parts.sum(3, dtype=np.int8)
+        good = count <= 1
+        chunk = good.argmax(2)
+        at = np.take_along_axis(parts, chunk[:, :, None, None], 2)[:, :, 0].argmax(2)
+        return count.sum(2, dtype=np.int16), np.where(good.any(2), chunk * WIDTH + at, self.places)
 
 
 def _sets(batch: pa.RecordBatch, flags: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return shingle_sets(Words(batch.column("text"), flags), size)
 
 
-def _signed(docs: DataFrame, flags: np.ndarray, size: int) -> DataFrame:
+def _signed(docs: DataFrame, flags: np.ndarray, size: int, how: Index) -> DataFrame:
     """Per row: size of the set, 128 bits that identify it, and its signature."""
     a, b = constants(2, 7)
 
@@ -87,21 +119,23 @@ def _signed(docs: DataFrame, flags: np.ndarray, size: int) -> DataFrame:
         for batch in slices(batches, "text"):
             values, bounds = _sets(batch, flags, size)
             total = lambda c, v=values, at=bounds: np.diff(np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(v ^ c), dtype=np.uint64)))[at]).view(np.int64)
-            sig = signatures(values, bounds)
+            sig = how.signatures(values, bounds)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(bounds)), pa.array(total(a)), pa.array(total(b)), pa.array([x.tobytes() for x in sig], pa.binary())], ["doc_id", "n_shingles", "h1", "h2", "sig"])
 
     return docs.mapInArrow(sign, "doc_id long, n_shingles long, h1 long, h2 long, sig binary")
 
 
-def _indexed(classes: DataFrame) -> DataFrame:
+def _indexed(classes: DataFrame, how: Index) -> DataFrame:
+    places = how.places
+
     def index(batches):
         for batch in batches:
-            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u2").reshape(-1, PLACES)
+            sig = how.read(batch.column("sig").to_pylist())
             n = batch.num_rows
-            keys = pa.array(index_keys(sig).view(np.int64).reshape(-1))
-            place = pa.array(np.tile(np.arange(PLACES, dtype=np.int32), n))
-            for at in range(0, n * PLACES, 1 << 16):
-                yield pa.RecordBatch.from_arrays([keys.slice(at, 1 << 16), pa.array(np.repeat(batch.column("rep").to_numpy(zero_copy_only=False), PLACES)[at : at + (1 << 16)]), place.slice(at, 1 << 16)], ["key", "rep", "place"])
+            keys = pa.array(how.keys(sig).view(np.int64).reshape(-1))
+            place = pa.array(np.tile(np.arange(places, dtype=np.int32), n))
+            for at in range(0, n * places, 1 << 16):
+                yield pa.RecordBatch.from_arrays([keys.slice(at, 1 << 16), pa.array(np.repeat(batch.column("rep").to_numpy(zero_copy_only=False), places)[at : at + (1 << 16)]), place.slice(at, 1 << 16)], ["key", "rep", "place"])
 
     return classes.select("rep", "sig").mapInArrow(index, "key long, rep long, place int")
 
@@ -109,8 +143,8 @@ def _indexed(classes: DataFrame) -> DataFrame:
 class _Join:
     """Candidates, checks and components of one run."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, flags: np.ndarray, size: int, percent: int, scratch: Scratch):
-        self.docs, self.classes, self.flags, self.size, self.percent, self.scratch = docs, classes, flags, size, percent, scratch
+    def __init__(self, docs: DataFrame, classes: DataFrame, flags: np.ndarray, size: int, percent: int, how: Index, scratch: Scratch):
+        self.docs, self.classes, self.flags, self.size, self.percent, self.how, self.scratch = docs, classes, flags, size, percent, how, scratch
         self.links: DataFrame | None = None
         self.tested: DataFrame | None = None
         self.sets: DataFrame | None = None
@@ -135,10 +169,12 @@ class _Join:
         sig = self.classes.select("rep", "sig")
         pairs = pairs.join(sig.withColumnsRenamed({"rep": "a", "sig": "sa"}), "a").join(sig.withColumnsRenamed({"rep": "b", "sig": "sb"}), "b")
 
+        how = self.how
+
         def near(batches):
             for batch in batches:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, PLACES) for c in ("sa", "sb"))
-                yield batch.select(["a", "b"]).filter(pa.array((x != y).sum(1) <= FAR))
+                x, y = (how.read(batch.column(c).to_pylist()) for c in ("sa", "sb"))
+                yield batch.select(["a", "b"]).filter(pa.array((x != y).sum(1) <= how.far))
 
         pairs = self.scratch.keep(pairs.mapInArrow(near, "a long, b long"), "pairs")
         percent = self.percent
@@ -183,17 +219,6 @@ def _cross(left: DataFrame, right: DataFrame) -> DataFrame:
     return x.join(y, "key").where("a < b AND cx <> cy").select("a", "b")
 
 
-def first_shared(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For all pairs of signatures: the number of places that differ, and the first key shared (a number past all keys if none)."""
-    differ = x[:, None, :] != y[None, :, :]
-    parts = differ.reshape(*differ.shape[:2], CHUNKS, WIDTH)
-    count = parts.sum(3, dtype=np.int8)
-    good = count <= 1
-    chunk = good.argmax(2)
-    at = np.take_along_axis(parts, chunk[:, :, None, None], 2)[:, :, 0].argmax(2)
-    return count.sum(2, dtype=np.int16), np.where(good.any(2), chunk * WIDTH + at, PLACES)
-
-
 def _shared_items(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all pairs of sets, over the items that occur on both sides, ``ITEMS`` of these at a time."""
     items = np.intersect1d(np.concatenate(x), np.concatenate(y))
@@ -216,14 +241,15 @@ def _shared_items(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return both
 
 
-def _block_pairs(left: list, right: list, place: int, percent: int) -> list[tuple[int, int]]:
+def _block_pairs(left: list, right: list, place: int, percent: int, how: Index) -> list[tuple[int, int]]:
     """Pairs of one block, of rows (rep, comp, sig, items), that belong to this key and come within a hundredth of the threshold."""
-    sig = [np.frombuffer(b"".join(r[2] for r in rows), "<u2").reshape(-1, PLACES) for rows in (left, right)]
+    sig = [how.read([r[2] for r in rows]) for rows in (left, right)]
     out = []
-    for at in range(0, len(left), 64):
-        rows = left[at : at + 64]
-        distance, owner = first_shared(sig[0][at : at + 64], sig[1])
-        fit = (distance <= FAR) & (owner == place) & (np.array([r[1] for r in rows])[:, None] != np.array([r[1] for r in right])[None])
+    step = max(1, 3200 // how.places)
+    for at in range(0, len(left), step):
+        rows = left[at : at + step]
+        distance, owner = how.first_shared(sig[0][at : at + step], sig[1])
+        fit = (distance <= how.far) & (owner == place) & (np.array([r[1] for r in rows])[:, None] != np.array([r[1] for r in right])[None])
         i, j = np.flatnonzero(fit.any(1)), np.flatnonzero(fit.any(0))
         if not len(i):
             continue
@@ -235,7 +261,7 @@ def _block_pairs(left: list, right: list, place: int, percent: int) -> list[tupl
     return out
 
 
-def _blocks(many: DataFrame, sets: DataFrame, sig: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def _blocks(many: DataFrame, sets: DataFrame, sig: DataFrame, sizes: DataFrame, percent: int, how: Index) -> DataFrame:
     """Pairs (a, b) of members (key, place, n, rep, comp) of large keys, those outside the key's largest component against all."""
     top = many.join(sizes, "rep").groupBy("key", "comp").agg(F.count("*").alias("c"), (F.sum("n_shingles") / MEMBER).alias("s"))
     first = F.struct("c", "comp")
@@ -261,7 +287,7 @@ def _blocks(many: DataFrame, sets: DataFrame, sig: DataFrame, sizes: DataFrame,
         now, held, place = None, ([], []), 0
 
         def close():
-            pairs = _block_pairs(*held, place, percent) if held[0] and held[1] else []
+            pairs = _block_pairs(*held, place, percent, how) if held[0] and held[1] else []
             for at in range(0, len(pairs), 1 << 14):
                 a, b = zip(*pairs[at : at + (1 << 14)])
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -278,16 +304,16 @@ def _blocks(many: DataFrame, sets: DataFrame, sig: DataFrame, sizes: DataFrame,
     return rows.mapInArrow(compare, "a long, b long")
 
 
-def links_of(docs: DataFrame, words: np.ndarray = ALNUM, size: int = 5, percent: int = 80, small: int = SMALL) -> DataFrame:
+def links_of(docs: DataFrame, words: np.ndarray = ALNUM, size: int = 5, percent: int = 80, small: int = SMALL, miss: float = MISS) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest id reachable) and kept (component_id = doc_id)."""
-    scratch = Scratch(docs.sparkSession, "minhash")
+    how, scratch = Index(percent, miss), Scratch(docs.sparkSession, "minhash")
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = scratch.keep(_signed(docs, words, size), "signatures")
+    rows = scratch.keep(_signed(docs, words, size, how), "signatures")
     full = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = scratch.keep(full.groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "classes")
-    run = _Join(docs, classes, words, size, percent, scratch)
+    run = _Join(docs, classes, words, size, percent, how, scratch)
 
-    index = _indexed(classes)
+    index = _indexed(classes, how)
     keys = index.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("n")).where("low <> high").select("key", "n")
     members = scratch.keep(index.join(keys, "key").dropDuplicates(["key", "rep"]), "members")
     run.sets_of(members)
@@ -298,7 +324,7 @@ def links_of(docs: DataFrame, words: np.ndarray = ALNUM, size: int = 5, percent:
 
     left = scratch.keep(_open(run.placed(members.drop("weight"))), "open")
     few = left.where(F.col("n") <= small)
-    near = _blocks(left.where(F.col("n") > small), run.sets, classes.select("rep", "sig"), classes.select("rep", "n_shingles"), percent)
+    near = _blocks(left.where(F.col("n") > small), run.sets, classes.select("rep", "sig"), classes.select("rep", "n_shingles"), percent, how)
     run.check(_cross(few, few).unionByName(near))
 
     # rows of one doc_id but different sets are one document

@@ -348,6 +348,42 @@ def test_minhash_recall(spark):
     assert len(pairs) > 300 and together == len(pairs)
 
 
+@pytest.mark.parametrize("percent", [50, 65])
+def test_minhash_recall_below(spark, percent):
+    """Pairs at or a little above lower thresholds: the signature follows the threshold."""
+    r = random.Random(percent)
+    texts = []
+    for i in range(80):
+        words = [f"w{i}x{j}" for j in range(104)]
+        texts.append(" ".join(words))
+        # k new words at the end replace k of 100 shingles: 100 - k are shared of 100 + k
+        for k in (int(100 * (100 - percent) / (100 + percent)), r.randint(5, 15)):
+            texts.append(" ".join(words[: 104 - k] + [f"n{i}k{k}j{j}" for j in range(k)]))
+    _, pairs = brute_links(texts, WORD, 5, percent)
+    got = collect(minhash.links_of(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), percent=percent))
+    together = sum(got[a]["component_id"] == got[b]["component_id"] for a, b in pairs)
+    assert len(pairs) > 150 and together == len(pairs)
+    assert {x["component_id"] for x in got.values()} == set(range(0, 240, 3))
+
+
+def test_minhash_index():
+    """Chunks and places follow from the threshold and what may be missed; at the defaults they are those the README's figures were taken with."""
+    at = minhash.Index()
+    assert (at.chunks, at.places, at.far) == (10, 50, 27)
+    assert minhash.Index(50).chunks > minhash.Index(65).chunks > at.chunks < minhash.Index(80, 1e-9).chunks
+    assert (minhash.Index(100).chunks, minhash.Index(100).far) == (1, 0)
+    g = np.random.default_rng(3)
+    for percent in (50, 65, 80):
+        # places of signatures at the threshold, drawn as they are distributed
+        how = minhash.Index(percent, 1e-3)
+        differ = g.random((20_000, how.chunks, 5)) >= percent / 100
+        lost = (differ.sum(2) > 1).all(1) | (differ.sum((1, 2)) > how.far)
+        assert lost.mean() < 2e-3
+    for percent, miss in ((0, 0.1), (101, 0.1), (80, 0), (80, 1)):
+        with pytest.raises(ValueError):
+            minhash.Index(percent, miss)
+
+
 def test_shared_items_in_slices(monkeypatch):
     monkeypatch.setattr(minhash, "ITEMS", 7)
     g = np.random.default_rng(5)

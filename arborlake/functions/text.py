@@ -189,14 +189,15 @@ def mirrors(stacks: DataFrame, stack: str, mirror: str) -> DataFrame:
     return own.where(fits(F.col("m.id"), F.col("m.title"), mirror)).select("stack_id", "m.*")
 
 
-def whole_slices(broken: DataFrame, last: int) -> DataFrame:
-    """(slice, use): each broken slice with the whole one that stands for it; what replaces may be broken itself. broken: slice, step (to the replacement)."""
+def whole_slices(broken: DataFrame, last: int | None = None) -> DataFrame:
+    """(slice, use): each broken slice with the whole one that stands for it; what replaces may be broken itself. broken: slice, step (to the replacement). Replacements below 0 or behind ``last`` don't count; None is a stack without an end."""
     from ..operators.trees import to_root
 
     jump = broken.select(F.col("slice").alias("node_id"), (F.col("slice") + F.col("step")).alias("parent_id"))
     ends = jump.select(F.col("parent_id").alias("node_id")).distinct().join(jump.select("node_id"), "node_id", "left_anti").select("node_id", F.lit(None).cast("long").alias("parent_id"))
     found = to_root(jump.unionByName(ends), F.lit(0.0)).select(F.col("node_id").alias("slice"), F.col("root").alias("use"))
-    return found.where((F.col("slice") != F.col("use")) & F.col("use").between(0, last))
+    inside = F.col("use") >= 0 if last is None else F.col("use").between(0, last)
+    return found.where((F.col("slice") != F.col("use")) & inside)
 
 
 def tile_memory(tiles: DataFrame, width: int, keys: tuple[str, ...] = ("col", "row", "z")) -> DataFrame:

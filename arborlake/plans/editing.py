@@ -192,7 +192,7 @@ def scales(s, d):
 def whole_slices(s, d):
     broken = lake.table(s, d, "supplier").select(F.col("s_suppkey").alias("slice"), (F.col("s_nationkey") % 3 - 1).alias("step")).where("slice % 4 > 1 AND step <> 0")
     broken = broken.where("NOT (slice % 4 = 2 AND step = 1)")
-    return text.whole_slices(broken, 10_000)
+    return text.whole_slices(broken)
 
 
 def tile_memory(s, d):

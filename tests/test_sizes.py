@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arborlake.functions import text
+from arborlake.operators import connectivity
 from arborlake.plans import registry
 
 
@@ -18,3 +19,22 @@ def test_broken_slices_of_a_long_stack(spark, tmp_path):
     # a stack that ends has no replacement behind its end
     broken = spark.createDataFrame([(3, 1), (7, 1)], "slice long, step int")
     assert {tuple(r) for r in text.whole_slices(broken, 5).collect()} == {(3, 4)}
+
+
+def exact_kurtosis(values):
+    n, mean = len(values), Fraction(sum(values), len(values))
+    second = sum((v - mean) ** 2 for v in values) / n
+    return float(sum((v - mean) ** 4 for v in values) / n / second**2 - 3) if second else None
+
+
+def test_kurtosis_of_whole_numbers_is_rounded_once(spark):
+    r = random.Random(5)
+    rows = {k: [r.choice([1, 1, 1, 1, 2, 2, 3, 9]) for _ in range(r.randrange(2, 400))] for k in range(200)} | {500: [4], 501: [3] * 49}
+    df = spark.createDataFrame([(k, v) for k, own in rows.items() for v in own], "target long, weight long")
+    got = {x["target"]: x["sparseness"] for x in connectivity.sparseness(df, which="LTK").collect()}
+    want = {k: exact_kurtosis(own) for k, own in rows.items()}
+    assert {k for k, v in want.items() if v is None} == {k for k, v in got.items() if v is None}
+    assert max(abs(got[k] - v) / max(abs(v), 1e-9) for k, v in want.items() if v is not None) < 5e-16
+    # beyond the range of exact sums
+    large = spark.createDataFrame([(0, v) for v in (10**12, 3 * 10**12, 10**13)], "target long, weight long")
+    assert abs(connectivity.sparseness(large, which="LTK").first()["sparseness"] + 1.5) < 1e-9

@@ -38,3 +38,24 @@ def test_kurtosis_of_whole_numbers_is_rounded_once(spark):
     # beyond the range of exact sums
     large = spark.createDataFrame([(0, v) for v in (10**12, 3 * 10**12, 10**13)], "target long, weight long")
     assert abs(connectivity.sparseness(large, which="LTK").first()["sparseness"] + 1.5) < 1e-9
+
+
+@pytest.mark.parametrize("how", [{}, {"syn_cutoff": 3, "syn_threshold": 2}, {"syn_threshold": 0}, {"fractions": True}])
+def test_grid_of_adjacency_is_not_shuffled(spark, monkeypatch, how):
+    monkeypatch.setattr(connectivity, "LISTED", 4)
+    r = random.Random(6)
+    edges = {(r.randrange(20), r.randrange(15)): r.randrange(1, 6) for _ in range(90)}
+    df = spark.createDataFrame([(a, b, w) for (a, b), w in edges.items()], "source long, target long, weight long")
+    out = connectivity.adjacency(df, spark.range(0, 25, 2), spark.range(1, 18), **how)
+    total = {b: sum(w for (_, t), w in edges.items() if t == b) for b in range(18)}
+
+    def want(a, b):
+        w = float(min(edges.get((a, b), 0), how.get("syn_cutoff", 99)))
+        w = 0.0 if w < how.get("syn_threshold", 0) else w
+        return (w / total[b] if total[b] else None) if how.get("fractions") else w
+
+    got = out.collect()
+    assert len(got) == 13 * 17 and {(x["source"], x["target"]): x["weight"] for x in got} == {(a, b): want(a, b) for a in range(0, 25, 2) for b in range(1, 18)}
+    # nothing is dealt anew after the grid is unfolded
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan and "Exchange" not in plan[: plan.index("Generate explode")]

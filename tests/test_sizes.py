@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arborlake.functions import text
-from arborlake.operators import connectivity, trees
+from arborlake.operators import clustering, connectivity, trees
 from arborlake.plans import registry
 
 
@@ -71,3 +71,37 @@ def test_rounds_over_trees_send_no_nodes_to_the_driver(spark, monkeypatch):
     plans += [df._jdf.queryExecution().executedPlan().toString() for df in (order, far, trees.prune_by_strahler(n, [1, -1]), trees.with_length(n))]
     assert len(plans) > 8 and [p for p in plans if "Broadcast" in p] == []
     assert {r["node_id"] for r in order.where("strahler = 1").collect()} == set(range(20, 40)) and far.count() == 40
+
+
+def whole_tree(items, distance, height):
+    """Clusters by the whole tree of merges, named by their smallest items."""
+    left, name = set(items), {}
+    while left:
+        part, front = set(), {min(left)}
+        while front:
+            part |= front
+            front = {b for a in front for b in left - part if distance(a, b) <= height}
+        name |= dict.fromkeys(part, min(part))
+        left -= part
+    return name
+
+
+def test_clusters_on_a_line_make_no_pairs(spark, monkeypatch):
+    monkeypatch.setattr(clustering, "STRETCHES", 5)
+    monkeypatch.setattr(clustering, "merges", lambda *_: pytest.fail("a table of pairs"))
+    r = random.Random(8)
+    at = {k: r.choice([0.0, 1.0, round(r.uniform(0, 60), 2)]) for k in r.sample(range(500), 80)}
+    got = clustering.cut_on_a_line(spark.createDataFrame(list(at.items()) + [(900, None)], "id long, v double"), 1.5)
+    assert {x["id"]: x["cluster"] for x in got.collect()} == whole_tree(at, lambda a, b: abs(at[a] - at[b]), 1.5) | {900: 900}
+    assert [tuple(x) for x in clustering.cut_on_a_line(spark.createDataFrame([(4, 1.0)], "id long, v double"), 1.5).collect()] == [(4, 4)]
+
+
+def test_single_clusters_need_no_tree(spark, monkeypatch):
+    r = random.Random(9)
+    pairs = {(a, b): r.choice([0.2, 0.5, 0.9, 0.9, 0.9, 0.9, 0.9, 0.9]) for a in range(25) for b in range(a)}
+    df = spark.createDataFrame([(a, b, d) for (a, b), d in pairs.items()] + [(b, a, d) for (a, b), d in pairs.items()] + [(a, a, 0.0) for a in range(25)], "a long, b long, distance double")
+    height = 0.2
+    tree = {tuple(x) for x in clustering.cut_by_distance(clustering.dendrogram(df, "single"), height).collect()}
+    monkeypatch.setattr(clustering, "merges", lambda *_: pytest.fail("merges one after the other"))
+    got = clustering.cut_single(df, height).collect()
+    assert {tuple(x) for x in got} == tree == set(whole_tree(range(25), lambda a, b: pairs[max(a, b), min(a, b)] if a != b else 0, height).items()) and len(got) == 25

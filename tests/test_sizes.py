@@ -105,3 +105,32 @@ def test_single_clusters_need_no_tree(spark, monkeypatch):
     monkeypatch.setattr(clustering, "merges", lambda *_: pytest.fail("merges one after the other"))
     got = clustering.cut_single(df, height).collect()
     assert {tuple(x) for x in got} == tree == set(whole_tree(range(25), lambda a, b: pairs[max(a, b), min(a, b)] if a != b else 0, height).items()) and len(got) == 25
+
+
+def test_sums_below_take_as_many_rounds_as_the_depth_has_bits(spark, monkeypatch):
+    r = random.Random(8)
+    up = {i: (i - 1) // 2 if i < 255 else r.choice([i - 1, r.randrange(i)]) for i in range(1, 400)} | {0: None, 1000: None, 1001: 1000}
+    value = {i: float(i % 13) for i in up}
+    nodes = spark.createDataFrame([(i, p, value[i]) for i, p in up.items()], "node_id long, parent_id long, v double")
+    written = []
+    cut = trees.cut
+    monkeypatch.setattr(trees, "cut", lambda df: written.append(1) or cut(df))
+    got = {x["node_id"]: x["v"] for x in trees.sum_below(nodes, ["v"]).collect()}
+    want, depth = dict.fromkeys(up, 0.0), 0
+    for i in up:
+        at, steps = i, 0
+        while at is not None:
+            want[at] += value[i]
+            at, steps = up[at], steps + 1
+        depth = max(depth, steps)
+    assert got == want and len(written) == (depth - 1).bit_length()
+    ring = spark.createDataFrame([(1, 2, 1.0), (2, 1, 1.0)], "node_id long, parent_id long, v double")
+    with pytest.raises(ValueError, match="ring"):
+        trees.sum_below(ring, ["v"])
+
+
+def test_words_of_a_name_are_told_apart_once(spark):
+    df = spark.createDataFrame([("a b neuron 77 kc JJ PS",), (None,), ("plain",)], "name string")
+    for out in (df.select(text.parse_name(F.col("name")).alias("n")).select("n.*"), df.select(text.shorten_name(F.col("name"), 12))):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("split(name#") == 1
+    assert df.select(text.parse_name(F.col("name")).alias("n")).select("n.*").collect()[0] == ("a b", "kc", "JJ PS", "neuron 77")

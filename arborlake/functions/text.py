@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,37 +89,44 @@ def match_landmarks(members: DataFrame, locations: DataFrame, group1: str, group
     return side(group1, 1).join(side(group2, 2), "landmark")
 
 
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is worked out once, however often ``f`` names it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def name_words(name: Column) -> Column:
     """Words of a neuron's name as structs (word, says).
 
     Numbers, and ``neuron`` before a number, are generic. After the first generic word, capitals alone are a
     tracer's initials and other words a nickname; before it words are the type, and so is any other ``neuron``.
     """
-    words = F.split(name, " ")
     digits = lambda w: F.coalesce(w.rlike(r"^\d+$"), F.lit(False))
-    generic = lambda w, i: digits(w) | ((w == "neuron") & digits(F.get(words, i + 1)))
-    first = F.array_position(F.transform(words, generic), True)
 
-    def says(w: Column, i: Column) -> Column:
+    def kinds(words: Column) -> Column:
+        generic = F.transform(words, lambda w, i: digits(w) | ((w == "neuron") & digits(F.get(words, i + 1))))
+        return _let(F.struct(generic.alias("generic"), F.array_position(generic, True).alias("first")), lambda k: F.transform(words, lambda w, i: F.struct(w.alias("word"), says(w, i, F.get(k["generic"], i), k["first"]).alias("says"))))
+
+    def says(w: Column, i: Column, generic: Column, first: Column) -> Column:
         after = (first > 0) & (i + 1 > first)
-        return F.when(generic(w, i), "generic").when(w == "neuron", "type").when(w.rlike(r"^\p{Lu}{2,}$") & after, "tracer").when(after, "nickname").otherwise("type")
+        return F.when(generic, "generic").when(w == "neuron", "type").when(w.rlike(r"^\p{Lu}{2,}$") & after, "tracer").when(after, "nickname").otherwise("type")
 
-    return F.transform(words, lambda w, i: F.struct(w.alias("word"), says(w, i).alias("says")))
+    return _let(F.split(name, " "), kinds)
 
 
 def parse_name(name: Column) -> Column:
     """Struct of type, nickname, tracer and generic words of a name."""
-    words = name_words(name)
-    of = lambda kind: F.array_join(F.transform(F.filter(words, lambda w: w["says"] == kind), lambda w: w["word"]), " ").alias(kind)
-    return F.struct(of("type"), of("nickname"), of("tracer"), of("generic"))
+
+    def parts(words: Column) -> Column:
+        of = lambda kind: F.array_join(F.transform(F.filter(words, lambda w: w["says"] == kind), lambda w: w["word"]), " ").alias(kind)
+        return F.struct(of("type"), of("nickname"), of("tracer"), of("generic"))
+
+    return _let(name_words(name), parts)
 
 
 def shorten_name(name: Column, most: int = 30, mark: str = "[..]") -> Column:
     """The name with words replaced by a mark, in the order generic, tracer, nickname, type and each from the right, until it is short enough or one word is left."""
-    words = name_words(name)
-    backwards = F.reverse(words)
-    of = lambda kind: F.filter(backwards, lambda w: w["says"] == kind)
-    order = F.concat(*[of(kind) for kind in ("generic", "tracer", "nickname", "type")])
+    of = lambda words, kind: F.filter(words, lambda w: w["says"] == kind)
+    order = _let(F.reverse(name_words(name)), lambda words: F.concat(*[of(words, kind) for kind in ("generic", "tracer", "nickname", "type")]))
 
     def merged(s: Column) -> Column:
         return F.regexp_replace(s, re.escape(mark) + "(?: " + re.escape(mark) + ")+", mark)

@@ -8,6 +8,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Points of a neuron and kind in a cell of the smallest size that nearest ones are looked for in, and how often the reach is halved at most.
+CROWD, HALVES = 16, 12
+
 
 def in_box(low: tuple, high: tuple) -> Column:
     return reduce(Column.__and__, [F.col(c).between(a, b) for c, a, b in zip("xyz", low, high)])
@@ -68,20 +71,14 @@ def synapse_similarity(points: DataFrame, sigma: float = 2000.0, omega: float =
     """
     p = points.select("point_id", "neuron", "kind", "x", "y", "z")
 
-    def close(reach: float, same: bool) -> DataFrame:
-        """Pairs of points of one kind within a reach: (point_id, neuron, o_point_id, o_neuron, d)."""
-        x = cells(p, reach, around=True)
-        y = cells(p, reach).select(*[F.col(c).alias(f"o_{c}") for c in ("point_id", "neuron", "x", "y", "z")], "kind", "cx", "cy", "cz")
-        d = F.sqrt(sum(((F.col(c) - F.col(f"o_{c}")) ** 2 for c in "xyz"), F.lit(0.0)))
-        out = x.join(y, ["kind", "cx", "cy", "cz"]).withColumn("d", d).where(F.col("d") <= reach)
-        return out.where("neuron = o_neuron") if same else out
-
-    own = close(omega, True).groupBy("point_id").agg(F.count("*").alias("own"))
+    x = cells(p, omega, around=True)
+    y = cells(p, omega).select(*[F.col(c).alias(f"o_{c}") for c in "xyz"], "neuron", "kind", "cx", "cy", "cz")
+    close = x.join(y, ["neuron", "kind", "cx", "cy", "cz"]).where(_to_other() <= omega)
+    own = close.groupBy("point_id").agg(F.count("*").alias("own"))
     if reach is None:
         per = _nearest_of_each(p)
     else:
-        per = close(reach * sigma, False).groupBy("point_id", "neuron", F.col("o_neuron").alias("b")).agg(F.min(F.struct("d", "o_point_id")).alias("m"))
-        per = per.select("point_id", F.col("neuron").alias("a"), "b", F.col("m.d").alias("d"), F.col("m.o_point_id").alias("n"))
+        per = _nearest_within(p, reach * sigma)
     scored = per.join(own.withColumnRenamed("own", "mine"), "point_id").join(own.withColumnRenamed("point_id", "n"), "n")
     score = F.exp(-F.abs(F.col("mine") - F.col("own")) / (F.col("mine") + F.col("own"))) * F.exp(-(F.col("d") ** 2) / (2 * sigma**2))
     sums = scored.groupBy("a", "b").agg(F.sum(score).alias("s"))
@@ -91,6 +88,39 @@ def synapse_similarity(points: DataFrame, sigma: float = 2000.0, omega: float =
     return grid.join(sums, ["a", "b"], "left").select("a", "b", (F.coalesce("s", F.lit(0.0)) / F.col("size")).alias("similarity"))
 
 
+def _to_other() -> Column:
+    return F.sqrt(sum(((F.col(c) - F.col(f"o_{c}")) ** 2 for c in "xyz"), F.lit(0.0)))
+
+
+def _nearest_within(p: DataFrame, reach: float) -> DataFrame:
+    """(point_id, a, b, d, n): the nearest point of the same kind within ``reach`` of every neuron that has one there; the smallest id of equals.
+
+    Points look around themselves in small cells first, as wide as to hold few points of a neuron and kind. What lies within a cell's width is the
+    nearest; who has found none of a neuron looks for it again in cells twice as wide, at last in those of ``reach``.
+    """
+    from .trees import cut
+
+    p = p.where("x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL")
+    # points of one neuron and kind in one place have one answer and stand for one another by the smallest id
+    one = cut(p.groupBy("neuron", "kind", "x", "y", "z").agg(F.min("point_id").alias("point_id")))
+    crowds = [cells(one, reach / 2**k).groupBy("neuron", "kind", "cx", "cy", "cz").count().agg(F.lit(k).alias("k"), F.max("count").alias("most")) for k in range(HALVES + 1)]
+    last = min((r["k"] for r in reduce(DataFrame.unionByName, crowds).collect() if (r["most"] or 0) <= CROWD), default=HALVES)  # a row a level
+    left = one.join(one.select("kind", F.col("neuron").alias("b")).distinct(), "kind").select("point_id", "kind", "b", "x", "y", "z")
+    found = None
+    for k in range(last, -1, -1):
+        size = reach / 2**k
+        y = cells(one, size).select(F.col("point_id").alias("n"), F.col("neuron").alias("b"), "kind", *[F.col(c).alias(f"o_{c}") for c in "xyz"], "cx", "cy", "cz")
+        pair = cells(left, size, around=True).join(y, ["kind", "b", "cx", "cy", "cz"]).withColumn("d", _to_other())
+        # a little less than the width, for what rounding may move into a cell further off
+        near = pair.where(F.col("d") <= (size * (1 - 1e-9) if k else size)).groupBy("point_id", "b").agg(F.min(F.struct("d", "n")).alias("m"))
+        near = cut(near.select(F.col("point_id").alias("first"), "b", "m.d", "m.n"))
+        found = near if found is None else found.unionByName(near)
+        if k:
+            left = cut(left.join(near.withColumnRenamed("first", "point_id"), ["point_id", "b"], "left_anti"))
+    own = p.join(one.withColumnRenamed("point_id", "first"), ["neuron", "kind", "x", "y", "z"]).select("point_id", "first", F.col("neuron").alias("a"))
+    return own.join(found, "first").select("point_id", "a", "b", "d", "n")
+
+
 def _nearest_of_each(p: DataFrame) -> DataFrame:
     """(point_id, a, b, d, n): the nearest point of the same kind of every neuron that has the kind, at any distance; the smallest id of equals."""
     from .stitching import closest

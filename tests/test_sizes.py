@@ -134,3 +134,22 @@ def test_words_of_a_name_are_told_apart_once(spark):
     for out in (df.select(text.parse_name(F.col("name")).alias("n")).select("n.*"), df.select(text.shorten_name(F.col("name"), 12))):
         assert out._jdf.queryExecution().optimizedPlan().toString().count("split(name#") == 1
     assert df.select(text.parse_name(F.col("name")).alias("n")).select("n.*").collect()[0] == ("a b", "kc", "JJ PS", "neuron 77")
+
+
+def test_nearest_within_a_wide_reach_pairs_near_points_only(spark, monkeypatch):
+    from arborlake.operators import spatial
+
+    monkeypatch.setattr(spatial, "CROWD", 3)
+    r = random.Random(4)
+    at = [(i, i % 3, i % 2, *(r.choice([r.gauss(0, 1), float(r.randrange(3))]) for _ in "xyz")) for i in range(240)]
+    at += [(i + 1000, *at[i][1:]) for i in range(20)] + [(2000, 0, 0, 40.0, 0.0, 0.0), (2001, 1, 0, 49.0, 0.0, 0.0), (2002, 2, 0, None, 0.0, 0.0)]
+    df = spark.createDataFrame(at, "point_id long, neuron int, kind int, x double, y double, z double")
+    levels = []
+    cells = spatial.cells
+    monkeypatch.setattr(spatial, "cells", lambda df, size, around=False: (around and levels.append(size)) or cells(df, size, around))
+    got = {(x["point_id"], x["b"]): (x["d"], x["n"]) for x in spatial._nearest_within(df, 10.0).collect()}
+    far = lambda p, q: ((p[3] - q[3]) ** 2 + (p[4] - q[4]) ** 2 + (p[5] - q[5]) ** 2) ** 0.5
+    known = [p for p in at if p[3] is not None]
+    want = {(p[0], b): min(near) for p in known for b in range(3) if (near := [(d, q[0]) for q in known if q[1] == b and q[2] == p[2] and (d := far(p, q)) <= 10])}
+    assert got.keys() == want.keys() and all(got[k][1] == n and abs(got[k][0] - d) < 1e-12 for k, (d, n) in want.items())
+    assert got[2000, 1] == (9.0, 2001) and len(levels) > 3 and min(levels) < 1 and levels[-1] == 10

@@ -153,3 +153,15 @@ def test_nearest_within_a_wide_reach_pairs_near_points_only(spark, monkeypatch):
     want = {(p[0], b): min(near) for p in known for b in range(3) if (near := [(d, q[0]) for q in known if q[1] == b and q[2] == p[2] and (d := far(p, q)) <= 10])}
     assert got.keys() == want.keys() and all(got[k][1] == n and abs(got[k][0] - d) < 1e-12 for k, (d, n) in want.items())
     assert got[2000, 1] == (9.0, 2001) and len(levels) > 3 and min(levels) < 1 and levels[-1] == 10
+
+
+def test_links_are_dealt_to_places_that_grow_with_them(spark, monkeypatch, tmp_path):
+    from arborlake.plans import network
+
+    spark.range(300).selectExpr("id AS o_orderkey", "id % 40 AS o_custkey", "current_date() AS o_orderdate").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(900).selectExpr("id % 300 AS l_orderkey", "id % 17 AS l_suppkey", "CAST(id % 7 + 1 AS INT) AS l_linenumber").write.parquet(str(tmp_path / "lineitem.parquet"))
+    queries = (network.edge_table, registry.QUERIES["network_changes"], registry.QUERIES["connectivity_counts_links"])
+    plain = [sorted(map(tuple, q(spark, str(tmp_path)).collect())) for q in queries]
+    monkeypatch.setattr(connectivity, "DEALT", 70)
+    assert plain == [sorted(map(tuple, q(spark, str(tmp_path)).collect())) for q in queries]
+    assert network.edge_table(spark, str(tmp_path)).rdd.getNumPartitions() == 13

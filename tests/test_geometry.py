@@ -129,3 +129,17 @@ def test_boxes_along(spark):
     want |= {box(4, 2, k, 90 + int(10 / 5 * k), 50 + int(-40 / 5 * k), 200 - 40 * k) for k in range(1, 5)} | {box(4, 2, 5, 100, 10, 0)}
     assert got == want
     assert resampling.boxes_along(spark.createDataFrame(rows, NODES), (10, 20), None).count() == 6
+
+
+@pytest.mark.parametrize("step", [0.3, 1.0, 4.0])
+def test_resampled_with_parents(spark, step):
+    """Each node knows its parent's place as a join of all new nodes would find it, branches, bent stretches and single nodes included."""
+    rng = np.random.default_rng(2)
+    rows = [(i, None if i in (0, 20) else max(i - 1 - int(rng.integers(3)) * (i % 4 == 0), 0 if i < 20 else 20), *map(float, rng.random(3) * 3), 1.0, 5) for i in range(26)] + [(90, None, 0.0, 0.0, 0.0, 1.0, 5)]
+    df = spark.createDataFrame(rows, "node_id long, parent_id long, x double, y double, z double, radius double, confidence int")
+    got = resampling.resampled(df, step).collect()
+    at = {x["node_id"]: (x["x"], x["y"], x["z"]) for x in got}
+    assert len(at) == len(got) and len(got) > 12
+    for x in got:
+        own = (x["px"], x["py"], x["pz"])
+        assert own == (None, None, None) if x["parent_id"] is None else own == pytest.approx(at[x["parent_id"]], abs=1e-12)

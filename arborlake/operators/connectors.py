@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .connectivity import dealt
 from .readers import _only, box_in_nm, inside
 
 PRE, POST = "presynaptic_to", "postsynaptic_to"
@@ -83,15 +84,21 @@ def adjacency_from_connectors(links: DataFrame, key: str = "fragment_id", a: Dat
     return edges_of(links, key, a, b)
 
 
-def partners_from_connectors(links: DataFrame, query: DataFrame, key: str = "fragment_id") -> DataFrame:
-    """(relation, partner, query, weight, total) of fragments, the query's own members included. Upstream leaves out connectors whose presynaptic side is in the query."""
+def partners_from_connectors(links: DataFrame, query: DataFrame, key: str = "fragment_id", parts: int | None = None) -> DataFrame:
+    """(relation, partner, query, weight, total) of fragments, the query's own members included. Upstream leaves out connectors whose presynaptic side is in the query.
+
+    ``parts`` are the places that links and what they make are dealt to (see ``connectivity.places``).
+    """
+    by = lambda df, *keys: dealt(df, parts, *keys)
+    links, query = by(links, key), by(query.select(key), key)
     pre, post = links.where(F.col("relation") == PRE), links.where(F.col("relation") == POST)
     own_pre, own_post = _only(pre, query, key), _only(post, query, key)
+    own_pre, own_post, pre, post = (by(df.select("connector_id", key), "connector_id") for df in (own_pre, own_post, pre, post))
     down = own_pre.select("connector_id", F.col(key).alias("query")).join(post.select("connector_id", F.col(key).alias("partner")), "connector_id")
     foreign = pre.join(own_pre.select("connector_id").distinct(), "connector_id", "left_anti")
     up = own_post.select("connector_id", F.col(key).alias("query")).join(foreign.select("connector_id", F.col(key).alias("partner")), "connector_id")
     both = down.select(F.lit("downstream").alias("relation"), "partner", "query").unionByName(up.select(F.lit("upstream").alias("relation"), "partner", "query"))
-    per = both.groupBy("relation", "partner", "query").agg(F.count("*").alias("weight"))
+    per = by(both, "relation", "partner").groupBy("relation", "partner", "query").agg(F.count("*").alias("weight"))
     total = per.groupBy("relation", "partner").agg(F.sum("weight").alias("total"))
     return per.join(total, ["relation", "partner"])
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import annotations as a
+from ..operators import connectivity
 from ..operators import connectors as c
 from ..operators import readers as r
 from ..sources import lake
@@ -239,7 +240,7 @@ def edges_from_connectors(s, d):
 
 def partners_fragments(s, d):
     k = _fragments(s, d)
-    return c.partners_from_connectors(k, k.where("skeleton_id % 20 = 3"))
+    return c.partners_from_connectors(k, k.where("skeleton_id % 20 = 3"), parts=connectivity.places(s, k.count()))
 
 
 def partners_in_volume(s, d):

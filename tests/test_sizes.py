@@ -165,3 +165,27 @@ def test_links_are_dealt_to_places_that_grow_with_them(spark, monkeypatch, tmp_p
     monkeypatch.setattr(connectivity, "DEALT", 70)
     assert plain == [sorted(map(tuple, q(spark, str(tmp_path)).collect())) for q in queries]
     assert network.edge_table(spark, str(tmp_path)).rdd.getNumPartitions() == 13
+
+
+def test_similarity_and_fragments_are_dealt_to_places_that_grow(spark, monkeypatch):
+    from arborlake.operators import connectors, similarity
+
+    links = spark.createDataFrame([(i % 23, i % 9 + 1, ("presynaptic_to", "postsynaptic_to")[i % 3 > 0]) for i in range(120)], "connector_id long, fragment_id long, relation string")
+    edges = spark.createDataFrame([(i % 12, i * i % 7 + 20, i % 4 + 1) for i in range(84)], "source long, target long, weight long").dropDuplicates(["source", "target"])
+    some = spark.createDataFrame([(0,), (5,), (7,)], "id long")
+
+    def every():
+        sim = similarity.neuron_similarity(similarity.partner_weights(edges), some, parts=2)
+        whole = similarity.neuron_similarity(similarity.partner_weights(edges), some, some, parts=2, complete=True)
+        to = connectivity.similarity_to(edges, some, parts=2)
+        part = connectors.partners_from_connectors(links, links.where("fragment_id < 4"), parts=connectivity.places(spark, 120))
+        return [sim, whole, to, part]
+
+    shown = lambda frames: [sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in x) for x in df.collect()) for df in frames]
+    plain = shown(every())
+    assert all(plain)
+    monkeypatch.setattr(connectivity, "DEALT", 6)
+    dealt = every()
+    assert plain == shown(dealt)
+    # four places are the session's
+    assert all(df.rdd.getNumPartitions() > 4 for df in dealt)

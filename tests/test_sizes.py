@@ -189,3 +189,23 @@ def test_similarity_and_fragments_are_dealt_to_places_that_grow(spark, monkeypat
     assert plain == shown(dealt)
     # four places are the session's
     assert all(df.rdd.getNumPartitions() > 4 for df in dealt)
+
+
+def test_pairs_of_a_similarity_are_not_shuffled(spark, monkeypatch):
+    """Lists of a query's neurons are dealt, and unfolded where their pairs are summed; a partner of many has several lists."""
+    from arborlake.operators import similarity
+
+    edges = spark.createDataFrame([(i, j, (i * j) % 4 + 1) for i in range(30) for j in (50, 51 + i % 3, 60 + i % 7)], "source long, target long, weight long")
+    some, weights = spark.range(0, 30, 2), similarity.partner_weights(edges)
+    every = lambda: [similarity.neuron_similarity(weights, some), connectivity.similarity_to(edges, some)]
+    shown = lambda frames: [sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in x) for x in df.collect()) for df in frames]
+    plain = shown(every())
+    assert {(a, b) for a, b, *_ in plain[1]} == {(a, b) for a in range(0, 30, 2) for b in range(30)}
+    monkeypatch.setattr(connectivity, "TOGETHER", 2)
+    for k in (1 << 17, 3):
+        monkeypatch.setattr(connectivity, "FEW", k)
+        frames = every()
+        assert plain == shown(frames)
+        for df in frames if k > 3 else ():
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan[: plan.index("Generate inline")].replace("BroadcastExchange", "")

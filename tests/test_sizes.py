@@ -209,3 +209,17 @@ def test_pairs_of_a_similarity_are_not_shuffled(spark, monkeypatch):
         for df in frames if k > 3 else ():
             plan = df._jdf.queryExecution().executedPlan().toString()
             assert "Exchange" not in plan[: plan.index("Generate inline")].replace("BroadcastExchange", "")
+
+
+def test_single_clusters_of_similar_make_no_other_pairs(spark):
+    """As from the whole matrix of distances, where pairs that are left out have a similarity of 0."""
+    r = random.Random(8)
+    sim = {(a, b): r.random() for a in range(20) for b in range(a) if r.random() < 0.12}
+    items = spark.range(22)
+    for scale, height in ((1.0, 0.3), (1.0, 0.6), (0.5, 0.7)):
+        rows = [(a, b, s * scale) for (a, b), s in sim.items()] + [(b, a, s * scale) for (a, b), s in sim.items()]
+        top = max(s for *_, s in rows)
+        whole = [(a, b, top - scale * sim.get((a, b), 0.0)) for a in range(22) for b in range(a)]
+        want = clustering.cut_single(spark.createDataFrame(whole, "a long, b long, distance double"), height).collect()
+        got = clustering.cut_single_of_similar(spark.createDataFrame(rows, "a long, b long, similarity double"), items, height).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 22

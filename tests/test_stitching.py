@@ -152,3 +152,19 @@ def test_placement_without_a_reach(spark):
                 d, _, k = min((dist(p, q), q[0], own[q[0]]) for q in rows if q[1] == b and q[2] == p[2])
                 total += math.exp(-abs(own[p[0]] - k) / (own[p[0]] + k)) * math.exp(-d * d / (2 * 1.5**2))
             assert got[a, b] == pytest.approx(total / len(mine), rel=1e-12)
+
+
+def test_nearest_of_each_neuron_writes_no_pairs_of_points(spark, monkeypatch):
+    """Of forty points of a neuron in one cell each point asks for the nearest; what is written stays near the number of asks."""
+    from arborlake.operators import spatial, stitching
+
+    r = random.Random(12)
+    rows = [(i, i % 2, 0, r.random(), r.random(), r.choice([0.0, 0.5])) for i in range(80)]
+    sizes, cut = [], stitching.cut
+    monkeypatch.setattr(stitching, "cut", lambda df: sizes.append((out := cut(df)).count()) or out)
+    df = spark.createDataFrame(rows, "point_id long, neuron int, kind int, x double, y double, z double")
+    got = {(x["point_id"], x["b"]): (x["n"], x["d"]) for x in spatial._nearest_of_each(df).collect()}
+    far = lambda p, q: sum((s - t) ** 2 for s, t in zip(p[3:], q[3:])) ** 0.5
+    want = {(p[0], b): min((far(p, q), q[0]) for q in rows if q[1] == b) for p in rows for b in (0, 1)}
+    assert got.keys() == want.keys() and all(got[k][0] == v[1] and abs(got[k][1] - v[0]) < 1e-12 for k, v in want.items())
+    assert max(sizes) <= 8 * len(want)
